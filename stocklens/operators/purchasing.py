@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,42 +79,53 @@ def inbound_open_internal(
     )
 
 
-def _oldest(fact_purchase: DataFrame, dim_product: DataFrame, status: Column) -> DataFrame:
+def _external() -> Column:
+    return ~F.col("purchase_status").isin(STATUS_CLOSED, STATUS_INTERNAL)
+
+
+def _internal() -> Column:
+    return F.col("purchase_status") == STATUS_INTERNAL
+
+
+def _oldest(
+    fact_purchase: DataFrame, dim_product: DataFrame, kinds: Mapping[str, Column]
+) -> DataFrame:
+    """Smallest open purchase id per product, one column per kind of purchase."""
     # The minimum per surrogate key comes first, so each key meets the
     # product table once however many purchase lines it has.
     per_key = (
         fact_purchase.where(
             (F.col("outstanding_quantity") > 0)
-            & status
+            & reduce(or_, kinds.values())
             & contains_none(F.col("order_type"), [CAMPAIGN_TYPE])
         )
         .groupBy("product_skey")
-        .agg(F.min("purchase_id").alias("ebe"))
+        .agg(*[F.min(F.when(kind, F.col("purchase_id"))).alias(n) for n, kind in kinds.items()])
     )
     products = dim_product.select("product_skey", F.col("product_id").alias("sku"))
     return (
-        per_key.join(products, "product_skey", "left").groupBy("sku").agg(F.min("ebe").alias("ebe"))
+        per_key.join(products, "product_skey", "left")
+        .groupBy("sku")
+        .agg(*[F.min(n).alias(n) for n in kinds])
     )
 
 
 def oldest_po_min(fact_purchase: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Smallest id among a product's open external purchases, in text order."""
-    external = ~F.col("purchase_status").isin(STATUS_CLOSED, STATUS_INTERNAL)
-    return _oldest(fact_purchase, dim_product, external)
+    return _oldest(fact_purchase, dim_product, {"ebe": _external()})
 
 
 def oldest_po_min_internal(fact_purchase: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Smallest id among a product's open internal purchases, in text order."""
-    return _oldest(fact_purchase, dim_product, F.col("purchase_status") == STATUS_INTERNAL)
+    return _oldest(fact_purchase, dim_product, {"ebe": _internal()})
 
 
 def _lines_of(fact_purchase: DataFrame, dim_product: DataFrame, oldest: DataFrame) -> DataFrame:
+    """Open lines of each product's oldest purchase, gift lines left out."""
     # The oldest id is spread to the product's surrogate keys, and lines are
     # met on purchase and key together: no shuffle on the product alone.
-    wanted = (
-        dim_product.select("product_skey", "product_id")
-        .join(oldest, F.col("product_id") == F.col("sku"))
-        .select("product_skey", "product_id", "ebe")
+    wanted = dim_product.select("product_skey", "product_id").join(
+        oldest.withColumnRenamed("sku", "product_id"), "product_id"
     )
     lines = fact_purchase.where(
         (F.col("outstanding_quantity") > 0) & contains_none(F.col("order_type"), [GIFT_TYPE])
@@ -166,7 +179,7 @@ def oldest_po_result_internal(
     order_day = F.to_date("purchase_order_date")
     return (
         _lines_of(fact_purchase, dim_product, oldest)
-        .where(F.col("purchase_status") == STATUS_INTERNAL)
+        .where(_internal())
         .join(divisions, "division_skey", "left")
         .join(leads, "division_id", "left")
         .select(
@@ -182,3 +195,33 @@ def oldest_po_result_internal(
         .distinct()
         .select("product_id", "ebe", "order_type", "delivery_status", "order_date_oldest_po")
     )
+
+
+def oldest_po_both(fact_purchase: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Oldest external and internal purchase of each product, side by side.
+
+    What the two detail lists give a report that needs only the ids and the
+    external order day, but with two passes over the purchases instead of
+    four. A product has one row per order day of its one oldest external
+    purchase; that many days are gathered per product and no more.
+    """
+    oldest = _oldest(fact_purchase, dim_product, {"ext": _external(), "int": _internal()})
+    kinds = F.array(
+        F.struct(F.col("ext").alias("ebe"), F.lit(False).alias("is_internal")),
+        F.struct(F.col("int").alias("ebe"), F.lit(True).alias("is_internal")),
+    )
+    oldest = oldest.select("sku", F.inline(kinds)).where(F.col("ebe").isNotNull())
+    external = F.struct(
+        F.col("ebe").alias("oldest_ebe_external"),
+        F.to_date("purchase_order_date").alias("order_date_oldest_po"),
+    )
+    return (
+        _lines_of(fact_purchase, dim_product, oldest)
+        .where(~F.col("is_internal") | _internal())
+        .groupBy("product_id")
+        .agg(
+            F.max(F.when(F.col("is_internal"), F.col("ebe"))).alias("oldest_ebe_internal"),
+            F.collect_set(F.when(~F.col("is_internal"), external)).alias("days"),
+        )
+        .select("product_id", "oldest_ebe_internal", F.inline_outer("days"))
+    )

@@ -14,8 +14,7 @@ from stocklens.functions.timewin import plus_days
 def ordering_master(
     stockouts: DataFrame,
     clusters: DataFrame,
-    oldest_external: DataFrame,
-    oldest_internal: DataFrame,
+    oldest: DataFrame,
     leadtimes: DataFrame,
     zero_orders: DataFrame,
     last_days: DataFrame,
@@ -27,8 +26,9 @@ def ordering_master(
 ) -> DataFrame:
     """One distinct row per out-of-stock A or B product and purchase combination.
 
-    Quantities on order are not an input: nothing of them is returned, and
-    rows are distinct. The cluster comes first, as it drops most products;
+    ``oldest`` holds the oldest purchases of both kinds per product. Quantities
+    on order are not an input: nothing of them is returned, and rows are
+    distinct. The cluster comes first, as it drops most products;
     inputs are cut to the columns returned and made distinct before they are
     joined, product inputs before division inputs so that one partitioning on
     the product serves them all.
@@ -38,18 +38,12 @@ def ordering_master(
         .select("product_id", "turnover_rate_cluster")
         .distinct()
     )
-    external = oldest_external.select(
-        "product_id", F.col("ebe").alias("oldest_ebe_external"), "order_date_oldest_po"
-    ).distinct()
-    internal = oldest_internal.select(
-        "product_id", F.col("ebe").alias("oldest_ebe_internal")
-    ).distinct()
     leads = leadtimes.select("division_id", F.col("booking_lt_avg").alias("lead")).distinct()
     divisions = dim_division.select("division_id", "supplier_name").distinct()
     codes = ek_codes.select("division_id", "ek_code").distinct()
 
     rows = stockouts.join(fast, "product_id")
-    for part in (zero_orders, external, internal, last_days, next_days, visits):
+    for part in (zero_orders, oldest, last_days, next_days, visits):
         rows = rows.join(part, "product_id", "left")
     for part in (leads, divisions, codes):
         rows = rows.join(part, "division_id", "left")

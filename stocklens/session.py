@@ -29,6 +29,7 @@ def local_session(cores: int | str = 8, memory: str = "16g", name: str = "stockl
         .appName(name)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .getOrCreate()
