@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _DDL = {
@@ -54,4 +53,6 @@ def schema(relation: str) -> T.StructType:
 
 def conform(df: DataFrame, relation: str) -> DataFrame:
     """Select and cast the columns of ``relation``; others are left out."""
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema(relation)])
+    return df.selectExpr(
+        *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema(relation)]
+    )

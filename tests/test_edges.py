@@ -1,0 +1,725 @@
+"""Rows the test tables do not have: nulls, ties, times of day, turns of the year."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from stocklens.functions import forecast_checks, labels, timewin
+from stocklens.operators import archive, assortment, demand, monitor, purchasing
+from stocklens.plans.ordering import ordering_master
+
+AS_OF = dt.datetime(2018, 6, 15, 10)
+MIDNIGHT = dt.datetime(2018, 6, 15)
+
+
+# ------------------------------------------------------------- purchasing
+def products(make, *ids):
+    return make(
+        "dim_product", *[{"product_skey": n, "product_id": i} for n, i in enumerate(ids, 1)]
+    )
+
+
+def test_open_quantity_keeps_closed_negative_and_unmatched_lines(make, rows):
+    lines = make(
+        "fact_purchase",
+        {"product_skey": 1, "purchase_status": "5", "outstanding_quantity": -3},
+        {"product_skey": 1, "purchase_status": None, "outstanding_quantity": 1},
+        {"product_skey": 9, "outstanding_quantity": 4},
+        purchase_id="P1",
+        order_type="STD",
+        purchase_order_date="2018-01-01",
+        expected_receipt_date="2018-02-01",
+    )
+    result = purchasing.purchase_open_qty(lines, products(make, "a"))
+    assert rows(result, "product_id", "outstanding_quantity_external") == [("a", -2), (None, 4)]
+
+
+def test_inbound_counts_once_per_matching_line(make, rows):
+    ledger = make(
+        "item_ledger",
+        {"item_no": "a", "remaining_quantity": "1.005", "document_no": "D1"},
+        {"item_no": "a", "remaining_quantity": 2, "document_no": "D2"},
+        {"item_no": "b", "remaining_quantity": 5, "document_no": "D3"},
+        {"item_no": "c", "remaining_quantity": 5, "document_no": "D9"},
+        {"item_no": "d", "remaining_quantity": 0, "document_no": "D1"},
+        {"item_no": "e", "remaining_quantity": 7, "document_no": "D1", "delete_flag": "true"},
+        {"item_no": "f", "remaining_quantity": 7, "document_no": "D1", "entry_type": "1"},
+        {"item_no": "g", "remaining_quantity": 7, "document_no": "D1", "location_code": "HL"},
+        location_code="MARK_WE",
+        delete_flag="false",
+        entry_type="0",
+    )
+    types = make(
+        "fact_purchase",
+        {"purchase_receipt_id": "D1", "order_type": "STD"},
+        {"purchase_receipt_id": "D1", "order_type": "STD"},
+        {"purchase_receipt_id": "D1", "order_type": "PRE"},
+        {"purchase_receipt_id": "D1", "order_type": None},
+        {"purchase_receipt_id": "D2", "order_type": "X-GWP"},
+        {"purchase_receipt_id": "D3", "order_type": "AKT-1"},
+    )
+    types = purchasing.order_type_base(types)
+    assert types.count() == 6
+    # three matching lines of 1.005 give 3.015, rounded half up
+    assert rows(purchasing.inbound_open_internal(ledger, types)) == [("a", 3.02)]
+    assert rows(purchasing.inbound_open_internal(ledger, types, exclude=["GWP"])) == [
+        ("a", 3.02),
+        ("b", 5),
+    ]
+
+
+def purchase_lines(make, *lines):
+    return make(
+        "fact_purchase",
+        *lines,
+        product_skey=1,
+        order_type="STD",
+        purchase_status="1",
+        outstanding_quantity=2,
+        purchase_order_date="2018-03-01 08:30:00",
+        expected_receipt_date="2018-04-01",
+    )
+
+
+def test_oldest_is_the_smallest_text_and_nulls_drop_out(make, rows):
+    dim = products(make, "a")
+    lines = purchase_lines(
+        make,
+        {"purchase_id": "EBE9"},
+        {"purchase_id": "EBE10"},
+        {"purchase_id": "EBE00", "order_type": None},
+        {"purchase_id": "EBE01", "purchase_status": None},
+        {"purchase_id": "EBE02", "purchase_status": "5"},
+        {"purchase_id": "EBE03", "purchase_status": "6"},
+        {"purchase_id": "EBE04", "order_type": "AKT-1"},
+        {"purchase_id": "EBE05", "outstanding_quantity": 0},
+        {"purchase_id": "EBE06", "product_skey": 9},
+    )
+    assert rows(purchasing.oldest_po_min(lines, dim)) == [("a", "EBE10"), (None, "EBE06")]
+    assert rows(purchasing.oldest_po_min_internal(lines, dim)) == [("a", "EBE03")]
+
+
+def test_no_fallback_when_the_oldest_is_a_gift_order(make, rows):
+    dim = products(make, "a", "b")
+    lines = purchase_lines(
+        make,
+        {"purchase_id": "P1", "order_type": "GWP"},
+        {"purchase_id": "P2"},
+        {"purchase_id": "P1", "product_skey": 2},
+        {"purchase_id": "P1", "product_skey": 2, "purchase_status": "5"},
+        {"purchase_id": "P1", "product_skey": 2},
+    )
+    oldest = purchasing.oldest_po_min(lines, dim)
+    assert rows(oldest) == [("a", "P1"), ("b", "P1")]
+    day = dt.date(2018, 3, 1)
+    assert rows(purchasing.oldest_po_result(lines, dim, oldest)) == [
+        ("b", "P1", "STD", "1", 4, day),
+        ("b", "P1", "STD", "5", 2, day),
+    ]
+
+
+def test_oldest_across_surrogate_keys_of_one_product(make, rows):
+    dim = products(make, "a", "a")
+    lines = purchase_lines(
+        make, {"purchase_id": "P2"}, {"purchase_id": "P1", "product_skey": 2}
+    )
+    oldest = purchasing.oldest_po_min(lines, dim)
+    assert rows(oldest) == [("a", "P1")]
+    assert rows(purchasing.oldest_po_result(lines, dim, oldest), "ebe", "open_qty_oldest_po") == [
+        ("P1", 2)
+    ]
+
+
+def internal_setup(make):
+    dim = products(make, "a")
+    lines = purchase_lines(
+        make,
+        {"purchase_id": "P1", "purchase_status": "6", "division_skey": 7},
+        {"purchase_id": "P1", "purchase_status": "6", "division_skey": 7},
+        {
+            "purchase_id": "P1",
+            "purchase_status": "6",
+            "division_skey": 7,
+            "expected_receipt_date": "2018-05-01",
+        },
+        {"purchase_id": "P1", "purchase_status": "1", "division_skey": 7},
+    )
+    division = make("dim_division", {"division_skey": 7, "division_id": "V"})
+    return dim, lines, division
+
+
+@pytest.mark.parametrize(
+    "leads, copies",
+    [
+        ([], 2),  # two receipt dates
+        ([2.5], 2),
+        ([2.5, 2.7], 2),  # both cut to two days: one expected delivery
+        ([2.5, 3.0], 4),
+    ],
+)
+def test_internal_detail_is_distinct_over_hidden_columns(make, rows, leads, copies):
+    dim, lines, division = internal_setup(make)
+    lead = purchasing.leadtime(
+        make(
+            "supplier_leadtime",
+            *[{"division_id": "V", "jahr": "2018", "booking_lt_avg": x} for x in leads],
+            {"division_id": "V", "jahr": "2017", "booking_lt_avg": 90},
+        )
+    )
+    oldest = purchasing.oldest_po_min_internal(lines, dim)
+    result = purchasing.oldest_po_result_internal(lines, dim, oldest, division, lead)
+    assert rows(result) == [("a", "P1", "STD", "6", dt.date(2018, 3, 1))] * copies
+
+
+def test_both_oldest_purchases_at_once(make, rows):
+    dim = products(make, "a", "b", "c", "d", "a")
+    lines = purchase_lines(
+        make,
+        {"purchase_id": "P2", "purchase_status": "6"},
+        {"purchase_id": "P3"},
+        {"purchase_id": "P3", "purchase_order_date": "2018-03-02"},
+        {"purchase_id": "P1", "product_skey": 2, "order_type": "GWP"},
+        {"purchase_id": "P4", "product_skey": 2, "purchase_status": "6"},
+        {"purchase_id": "P5", "product_skey": 3},
+        {"purchase_id": "P6", "product_skey": 4, "purchase_status": "5"},
+        {"purchase_id": "P0", "product_skey": 5, "outstanding_quantity": -1},
+        {"purchase_id": "P0", "product_skey": 99},
+    )
+    external = purchasing.oldest_po_result(lines, dim, purchasing.oldest_po_min(lines, dim))
+    no_leads = make("supplier_leadtime").select("division_id", "booking_lt_avg")
+    internal = purchasing.oldest_po_result_internal(
+        lines, dim, purchasing.oldest_po_min_internal(lines, dim), make("dim_division"), no_leads
+    )
+    expected = (
+        external.select("product_id", F.col("ebe").alias("x"), "order_date_oldest_po")
+        .join(internal.select("product_id", F.col("ebe").alias("n")), "product_id", "full")
+        .distinct()
+    )
+    result = purchasing.oldest_po_both(lines, dim)
+    columns = ("product_id", "oldest_ebe_external", "order_date_oldest_po", "oldest_ebe_internal")
+    assert rows(result, *columns) == rows(expected, "product_id", "x", "order_date_oldest_po", "n")
+    assert result.count() == 4
+
+
+# ----------------------------------------------------------------- archive
+def test_latest_version_and_zero_lines(make, rows):
+    lines = make(
+        "purchase_line_archive",
+        {"no_": "a", "document_no": "D1", "version_no": 1, "quantity": 0},
+        {"no_": "a", "document_no": "D1", "version_no": 2, "quantity": 0},
+        {"no_": "a", "document_no": "D1", "version_no": 2, "quantity": -1},
+        {"no_": "b", "document_no": "D1", "version_no": 1, "quantity": 0},
+        {"no_": "b", "document_no": "D1", "version_no": 2, "quantity": 5},
+        {"no_": "c", "document_no": "D2", "version_no": 1, "quantity": 0},
+        {"no_": "d", "document_no": "D3", "version_no": 1, "quantity": 0},
+        {"no_": "e", "document_no": "D9", "version_no": 1, "quantity": 0},
+        delete_flag=False,
+    ).unionAll(
+        make(
+            "purchase_line_archive",
+            # a deleted line at the chosen version still counts as a zero line
+            {"no_": "b", "document_no": "D1", "version_no": 2, "quantity": 0},
+            # a deleted line does not raise the version
+            {"no_": "a", "document_no": "D1", "version_no": 3, "quantity": 0},
+            delete_flag=True,
+        )
+    )
+    headers = make(
+        "purchase_header_archive",
+        {"no": "D1", "order_date": "2018-06-01", "delete_flag": False},
+        {"no": "D1", "order_date": "2018-06-02", "delete_flag": False},
+        {"no": "D2", "order_date": "2018-04-16", "delete_flag": False},  # a day too early
+        {"no": "D3", "order_date": "2018-06-01", "delete_flag": True},
+        {"no": "D4", "order_date": "2018-06-01", "delete_flag": False},
+    )
+    # the window starts at 10:00, so midnight of that first day is outside
+    assert AS_OF - dt.timedelta(days=60) == dt.datetime(2018, 4, 16, 10)
+    latest = archive.latest_line_version(lines, headers, AS_OF)
+    assert rows(latest) == [("a", "D1", 2), ("b", "D1", 2)]
+    zero = archive.zero_qty_lines(latest, lines)
+    assert rows(zero) == [("a", "D1", -1), ("a", "D1", 0), ("b", "D1", 0)]
+    counts = archive.zero_order_count(products(make, "a", "b", "z"), zero)
+    assert rows(counts) == [("a", 2), ("b", 1), ("z", 0)]
+
+
+# -------------------------------------------------------------- assortment
+def test_current_vendor_division(make, rows):
+    hub = make("hub_vendor_division", {"vendor_division_hashkey": "h", "no_": "N"})
+    sat = make(
+        "sat_vendor_division",
+        {"name": "midnight", "delete_flag": "false", "valid_to": "9999-12-31 00:00:00"},
+        {"name": "current", "delete_flag": "false", "valid_to": "9999-12-31 23:59:59"},
+        {"name": "deleted", "delete_flag": "true", "valid_to": "9999-12-31 23:59:59"},
+        {"name": "no end", "delete_flag": "false", "valid_to": None},
+        vendor_division_hashkey="h",
+    )
+    assert rows(assortment.vendor_division_current(hub, sat)) == [("N", "current")]
+
+
+def test_stockouts(make, rows):
+    dim = make(
+        "dim_product",
+        {"product_id": "a", "quantity_instock": 0, "product_status": "Basis"},
+        {"product_id": "b", "quantity_instock": -1, "product_status": "Limitiert"},
+        {"product_id": "c", "quantity_instock": 1, "product_status": "Basis"},
+        {"product_id": "d", "quantity_instock": 0, "product_status": "Ex"},
+        {"product_id": "e", "quantity_instock": None, "product_status": "Basis"},
+        {"product_id": "f", "quantity_instock": 0, "product_status": None},
+    )
+    assert rows(assortment.stockout_products(dim), "product_id") == [("a",), ("b",)]
+
+
+def member(**fields):
+    return {
+        "product_status": "Basis",
+        "release_date": "2018-01-01",
+        "quantity_instock": 0,
+        **fields,
+    }
+
+
+SHOP = {
+    "shop_activity_status": "activated",
+    "shop_activity_status_config": "activated",
+    "shop_visibility": "Einzeln nicht sichtbar",
+    "shop_visibility_config": "Katalog, Suche",
+}
+
+
+def assortment_inputs(make, table):
+    dim = make(
+        "dim_product",
+        member(product_id="any group"),  # groups +5 and -8: total -3, still a member
+        member(product_id="negative"),
+        member(product_id="null group"),
+        member(product_id="stock", quantity_instock=1),
+        member(product_id="inbound"),
+        member(product_id="nothing"),
+        member(product_id="shop", **SHOP),
+        member(product_id="shop groups", **SHOP),
+        member(product_id="shop null", **{**SHOP, "shop_visibility": None}),
+        member(product_id="shop null stock", quantity_instock=2, shop_visibility=None),
+        member(product_id="unreleased", quantity_instock=1, release_date="2018-06-16"),
+        member(product_id="today", quantity_instock=1, release_date="2018-06-15"),
+        member(product_id="status", quantity_instock=1, product_status="x OneShot y"),
+        member(product_id="archived", quantity_instock=1, product_status="Archiv"),
+        member(product_id="no status", quantity_instock=1, product_status=None),
+        member(product_id=None, quantity_instock=1),
+    )
+    on_order = table(
+        "product_id string, purchase_id string, outstanding_quantity_external decimal(28,4)",
+        ("any group", "P1", 5),
+        ("any group", "P2", -8),
+        ("negative", "P1", -1),
+        ("null group", "P1", None),
+        ("shop groups", "P1", -1),
+        ("shop groups", "P2", 1),
+        (None, "P3", 100),
+    )
+    internal = table("item_no string, outstanding_quantity_internal decimal(18,2)", ("inbound", 1))
+    units = table("product_id string, sold_qty_ytd bigint", ("stock", 7), (None, 9))
+    return dim, on_order, internal, units, AS_OF
+
+
+def test_assortment(make, table, rows):
+    inputs = assortment_inputs(make, table)
+    result = assortment.assortment_base(*inputs)
+    expected = [
+        ("any group", 0),
+        ("inbound", 0),
+        ("shop", 0),
+        ("shop groups", 0),
+        ("shop groups", 0),  # one row per group
+        ("shop null stock", 0),
+        ("status", 0),
+        ("stock", 7),
+        ("today", 0),
+        (None, 0),
+    ]
+    assert rows(result, "product_id", "sold_qty_ytd") == sorted(expected, key=repr)
+    assert rows(assortment.assortment_members(*inputs).distinct()) == rows(result.distinct())
+
+
+ASSORTMENT = "product_id string, product_status string, sold_qty_ytd bigint"
+
+
+def clusters_of(table, rows, quantities):
+    base = table(ASSORTMENT, *[(f"p{i}", "Basis", q) for i, q in enumerate(quantities)])
+    result = assortment.abc_clustering(base)
+    return rows(result, "product_id", "cumulative_sales_ytd", "turnover_rate_cluster")
+
+
+def test_clusters(table, rows):
+    # two equal quantities share the total 60 of 100, past the first cut
+    assert clusters_of(table, rows, [30, 30, 20, 14, 6]) == [
+        ("p0", 60, "B"),
+        ("p1", 60, "B"),
+        ("p2", 80, "B"),
+        ("p3", 94, "C"),
+        ("p4", 100, "D"),
+    ]
+    assert clusters_of(table, rows, [5]) == [("p0", 5, "D")]
+    assert clusters_of(table, rows, [0, 0]) == [("p0", 0, "D"), ("p1", 0, "D")]
+
+
+def test_clusters_merge_copies_but_not_statuses(table, rows):
+    base = table(ASSORTMENT, ("p", "Basis", 4), ("p", "Basis", 4), ("p", "Ex", 4))
+    result = assortment.abc_clustering(base)
+    assert rows(result, "product_id", "product_status", "total_sales_ytd") == [
+        ("p", "Basis", 8),
+        ("p", "Ex", 8),
+    ]
+
+
+# ------------------------------------------------------------------ demand
+def test_units_round_half_up_and_keep_unmatched(make, rows):
+    dim = products(make, "a", "a", "b")
+    sales = make(
+        "fact_sales",
+        {"product_skey": 1, "quantity": "1.25", "order_date": "2018-01-01"},
+        {"product_skey": 2, "quantity": "1.25", "order_date": "2018-06-15 00:00:00"},
+        {"product_skey": 2, "quantity": 50, "order_date": "2018-06-15 00:00:01"},
+        {"product_skey": 1, "quantity": 50, "order_date": "2017-12-31 23:59:59"},
+        {"product_skey": 3, "quantity": None, "order_date": "2018-03-01"},
+        {"product_skey": 8, "quantity": 2, "order_date": "2018-03-01"},
+    )
+    assert rows(demand.units_ytd(sales, dim, AS_OF)) == [("a", 3), ("b", 0), (None, 2)]
+
+
+def test_last_days_are_bounded_by_time_of_day(make, rows):
+    dim = products(make, "a")
+    sales = make(
+        "fact_sales",
+        {"order_date": "2018-06-07 09:59:59", "quantity": 1},
+        {"order_date": "2018-06-07 10:00:00", "quantity": 10},
+        {"order_date": "2018-06-15 10:00:00", "quantity": 100},
+        {"order_date": "2018-06-15 10:00:01", "quantity": 1000},
+        product_skey=1,
+    )
+    assert rows(demand.units_last_days(sales, dim, AS_OF)) == [("a", 110)]
+
+
+@pytest.mark.parametrize(
+    "as_of, mode, total",
+    [
+        (AS_OF, timewin.FAITHFUL, 110),  # own day is already past at 10:00
+        (MIDNIGHT, timewin.FAITHFUL, 111),
+        (AS_OF, timewin.CALENDAR, 111),
+    ],
+)
+def test_next_days(make, rows, as_of, mode, total):
+    forecast = make(
+        "daily_forecast",
+        {"calendar_date": "2018-06-14", "snop_daily_forecast": 10000},
+        {"calendar_date": "2018-06-15", "snop_daily_forecast": 1},
+        {"calendar_date": "2018-06-16", "snop_daily_forecast": 10},
+        {"calendar_date": "2018-06-21", "snop_daily_forecast": 100},
+        {"calendar_date": "2018-06-22", "snop_daily_forecast": 1000},
+        product_id="a",
+    )
+    assert rows(demand.forecast_next_days(forecast, as_of, mode=mode)) == [("a", total)]
+
+
+def test_visits_yesterday(make, rows):
+    visits = make(
+        "visits_per_sku",
+        {"visit_date": "2018-06-14", "oos_visits": 3},
+        {"visit_date": "2018-06-15", "oos_visits": 5},
+        product_id="a",
+    )
+    assert rows(demand.oos_visits(visits, AS_OF)) == [("a", 3)]
+    assert rows(demand.oos_visits(visits, AS_OF, mode=timewin.FAITHFUL)) == []
+    assert rows(demand.oos_visits(visits, MIDNIGHT, mode=timewin.FAITHFUL)) == [("a", 3)]
+
+
+def test_horizons(make, rows):
+    forecast = make(
+        "daily_forecast_by_business_id",
+        {"calendar_date": "2018-06-15", "daily_married_forecast": 1000},
+        {"calendar_date": "2018-06-16", "daily_married_forecast": "1.5"},
+        {"calendar_date": "2018-06-22", "daily_married_forecast": 10},
+        {"calendar_date": "2018-06-23", "daily_married_forecast": 100},
+        {"calendar_date": "2018-12-01", "daily_married_forecast": 9999},
+        productbusinessid="a",
+    ).unionAll(
+        make(
+            "daily_forecast_by_business_id",
+            {"productbusinessid": "late", "calendar_date": "2019-01-01"},
+            {"productbusinessid": "unknown", "calendar_date": "2018-06-16"},
+            {"productbusinessid": "twice", "calendar_date": "2018-06-16"},
+            daily_married_forecast="0.25",
+        )
+    )
+    product = make(
+        "product",
+        {"productbusinessid": "a", "unitcost": 1.5},
+        {"productbusinessid": "a", "unitcost": 2.5},
+        {"productbusinessid": "late", "unitcost": None},
+        {"productbusinessid": "twice", "unitcost": 1},
+        {"productbusinessid": "twice", "unitcost": 1},
+    )
+    # at 10:00 the seven days end before midnight of the eighth: the 22nd counts
+    assert rows(demand.forecast_horizons(forecast, product, AS_OF)) == [
+        ("a", 12, 112, 112, 112, 1.5),
+        ("a", 12, 112, 112, 112, 2.5),
+        ("late", 0, 0, 0, 0, None),
+        ("twice", 1, 1, 1, 1, 1.0),  # 2 x 0.25 rounds up after adding
+    ]
+    # a date exactly as_of + 7 days is outside
+    assert rows(
+        demand.forecast_horizons(forecast, product, MIDNIGHT), "productbusinessid", "fcst_7days"
+    ) == [("a", 1002), ("a", 1002), ("late", 0), ("twice", 1)]
+
+
+def test_sold_units(make, rows):
+    report = make(
+        "management_report_daily",
+        {"snapshot_day": "2017-01-01", "invoiced_sales_ad": 10, "invoiced_db3_ad": 1},
+        {"snapshot_day": "2017-01-02", "invoiced_sales_ad": 0, "invoiced_db3_ad": 1},
+        {"snapshot_day": "2017-01-02", "invoiced_sales_ad": 10, "invoiced_db3_ad": 0},
+        {"snapshot_day": "2017-01-02", "invoiced_sales_ad": 10, "invoiced_db3_ad": None},
+        {"snapshot_day": "2017-01-02", "invoiced_sales_ad": 10, "invoiced_db3_ad": 4},
+        {"snapshot_day": "2018-01-02", "invoiced_sales_ad": 30, "invoiced_db3_ad": 6},
+        productname="n",
+        productbusinessid="a",
+        ordered_qty=1,
+    )
+    assert rows(demand.sold_units_per_sku(report)) == [("n", "a", 2, 40, 10, 0.25)]
+
+
+# ----------------------------------------------------------------- monitor
+def week(year, number):
+    return dt.date.fromisocalendar(year, number, 1)
+
+
+def weekly(make, *weeks, **common):
+    return make(
+        "weekly_history",
+        *[
+            {"week_start_date": week(y, w), "bulk_order_qty": qty, **common}
+            for y, w, qty in weeks
+        ],
+        product_id="a",
+    )
+
+
+def prior(rows, history, mode):
+    result = monitor.prior_week_bulk(history, mode)
+    return [
+        (*day.isocalendar()[:2], value)
+        for day, value in rows(result, "week_start_date", "bulk_order_last_kw")
+    ]
+
+
+TURN_OF_YEAR = [(2018, 52, 1), (2019, 1, 2), (2019, 2, 3), (2019, 4, 4)]
+
+
+def test_prior_week_across_the_turn_of_the_year(make, rows):
+    history = weekly(make, *TURN_OF_YEAR)
+    expected = {(2018, 52): None, (2019, 1): None, (2019, 2): 2, (2019, 4): None}
+    for mode in (monitor.WEEK_NUMBER, monitor.ISO_YEAR):
+        assert {r[:2]: r[2] for r in prior(rows, history, mode)} == expected
+    by_date = {r[:2]: r[2] for r in prior(rows, history, monitor.CALENDAR)}
+    assert by_date == {**expected, (2019, 1): 1}
+
+
+def test_prior_week_after_a_53rd_week(make, rows):
+    history = weekly(make, (2020, 53, 1), (2021, 1, 2))
+    assert prior(rows, history, monitor.CALENDAR)[-1] == (2021, 1, 1)
+    assert prior(rows, history, monitor.ISO_YEAR)[-1] == (2021, 1, None)
+
+
+def test_same_week_number_in_two_years(make, rows):
+    history = weekly(make, (2018, 7, 1), (2018, 8, 2), (2019, 7, 3), (2019, 8, 4))
+    assert len(prior(rows, history, monitor.WEEK_NUMBER)) == 2 + 2 * 2
+    assert prior(rows, history, monitor.ISO_YEAR) == [
+        (2018, 7, None),
+        (2018, 8, 1),
+        (2019, 7, None),
+        (2019, 8, 3),
+    ]
+
+
+def test_one_lookup_equals_three_on_unique_weeks_only(make, rows):
+    history = weekly(make, (2019, 7, 1), (2019, 8, 2), oos_correction_qty=5)
+    once = monitor.with_prior_week(history, one_row_per_week=True)
+    columns = sorted(once.columns)
+    assert rows(once, *columns) == rows(monitor.with_prior_week(history), *columns)
+    doubled = weekly(make, (2019, 7, 1), (2019, 7, 9), (2019, 8, 2))
+    assert monitor.with_prior_week(doubled).count() == 2 + 2**3
+
+
+def test_week_text(make, rows):
+    assert rows(monitor.prior_week_oos(weekly(make, (2019, 3, 1))), "kw") == [("03",)]
+
+
+MARRIED = "married_forecast_quantity"
+
+
+@pytest.mark.parametrize(
+    "net, forecast, mad, mape, above",
+    [
+        (0, 0, 0, 0.0, False),
+        (0, 5, 5, 9.99, True),
+        (None, 5, 5, 9.99, True),
+        (0, -1, 1, None, None),
+        (0, None, None, None, None),
+        (-4, 2, 6, -1.5, False),
+        (10, 9, 1, 0.1, False),  # exactly at the limit
+        (3, "2.7", 0.3, None, False),
+        (10, "8.995", 1, 0.1, False),  # half up to 9.00
+        (10, "8.994", 1.01, 0.101, True),
+    ],
+)
+def test_forecast_error(spark, rows, net, forecast, mad, mape, above):
+    data = spark.sql(
+        "SELECT CAST({n} AS decimal(18,4)) AS n, CAST({f} AS decimal(18,4)) AS f".format(
+            n="NULL" if net is None else net, f="NULL" if forecast is None else forecast
+        )
+    )
+    n, f = F.col("n"), F.col("f")
+    [result] = rows(
+        data.select(
+            forecast_checks.forecast_mad(n, f),
+            forecast_checks.forecast_mape(n, f),
+            forecast_checks.mape_above(n, f),
+        )
+    )
+    assert result[0] == mad
+    if (net, forecast) != (3, "2.7"):
+        assert result[1] == mape
+    assert result[2] is above
+
+
+def flag(spark, column):
+    return spark.range(1).select(column).first()[0]
+
+
+def number(value):
+    return F.lit(value).cast("decimal(18,4)")
+
+
+def test_flags(spark):
+    n = number
+    checks = forecast_checks
+    assert flag(spark, checks.flag_bulk_order(n(1), n(1))) == "1"
+    assert flag(spark, checks.flag_bulk_order(n(None), n(1))) == "0"
+    assert flag(spark, checks.flag_bulk_order(n(1), n(0))) == "0"
+    assert flag(spark, checks.flag_uplift_low(n(1), n(2), n(3))) == "1"
+    assert flag(spark, checks.flag_uplift_low(n(0), n(2), n(3))) == "0"
+    assert flag(spark, checks.flag_uplift_low(n(1), n(3), n(3))) == "0"
+    assert flag(spark, checks.flag_top_down(n(2), n(3), n(5), n(4))) == "1"
+    assert flag(spark, checks.flag_top_down(n(1), n(3), n(5), n(4))) == "0"
+    assert flag(spark, checks.flag_top_down(n(2), n(4), n(5), n(4))) == "0"
+    assert flag(spark, checks.flag_top_down(n(2), n(3), n(4), n(4))) == "0"
+    assert flag(spark, checks.flag_oos(n(0), n(1), n(2), n(3))) == "1"
+    assert flag(spark, checks.flag_oos(n(None), n(1), n(2), n(3))) == "0"
+    assert flag(spark, checks.flag_oos(n(0), n(0), n(2), n(3))) == "0"
+    assert flag(spark, checks.flag_oos(n(0), n(1), n(3), n(3))) == "0"
+    assert flag(spark, checks.flag_outlier(n(1), n(1))) == "1"
+    assert flag(spark, checks.flag_outlier(n(1), n(None))) == "0"
+
+
+def test_monitor_reads_the_snapshot_of_the_week(make, rows):
+    history = make(
+        "weekly_history",
+        {"week_start_date": week(2019, 7), "bulk_order_qty": 1, "net_qty": 10},
+        {"week_start_date": week(2019, 8), "bulk_order_qty": 1, "net_qty": 10},
+        product_id="a",
+        outlier_correction_qty=0,
+        oos_correction_qty=0,
+    )
+    base = make(
+        "base_history",
+        {"week_start_date": week(2019, 8), "as_of_date": week(2019, 8), MARRIED: "20.005"},
+        {"week_start_date": week(2019, 8), "as_of_date": week(2019, 7), MARRIED: 50},
+        {"week_start_date": week(2019, 7), "as_of_date": week(2019, 7), MARRIED: "10.5"},
+        product_id="a",
+    )
+    result = monitor.forecast_monitor(history, base)
+    assert rows(
+        result, "kw", "snop_fcst", "snop_mad", "snop_mape", "bulk_order_fail", "topdown_fail"
+    ) == [("08", 20.01, 10.01, 1.001, "1", "0")]
+
+
+# ------------------------------------------------------------ ordering list
+@pytest.mark.parametrize(
+    "day, text",
+    [
+        ("1753-01-01", "[Available]"),
+        ("2018-06-14", "[Available]"),
+        ("2018-06-15", "[Available]"),  # its midnight lies before 10:00
+        ("2018-06-16", "2018-06-16"),
+        (None, None),
+    ],
+)
+def test_availability(spark, day, text):
+    assert flag(spark, labels.availability_label(F.lit(day).cast("date"), AS_OF)) == text
+
+
+@pytest.mark.parametrize("lead, day", [(2.5, dt.date(2018, 3, 3)), (None, None)])
+def test_expected_delivery(spark, lead, day):
+    column = timewin.plus_days(F.lit("2018-03-01").cast("date"), F.lit(lead).cast("double"))
+    assert flag(spark, column) == day
+
+
+def test_ordering_list(make, table, rows):
+    dim = make(
+        "dim_product",
+        *[
+            {"product_skey": n, "product_id": i, "quantity_instock": 0, "division_id": d}
+            for n, (i, d) in enumerate([("a", "V"), ("b", "V"), ("c", "W")], 1)
+        ],
+        product_status="Basis",
+        available_again_from="2018-07-01",
+    )
+    result = ordering_master(
+        assortment.stockout_products(dim),
+        table(
+            "product_id string, turnover_rate_cluster string",
+            ("a", "A"),
+            ("a", "B"),
+            ("b", "C"),
+            ("c", "B"),
+        ),
+        table(
+            "product_id string, oldest_ebe_internal string, oldest_ebe_external string,"
+            " order_date_oldest_po date",
+            ("a", "I1", "E1", "2018-03-01"),
+        ),
+        table("division_id string, booking_lt_avg double", ("V", 2.5), ("V", 2.7), ("V", 9)),
+        table("product_id string, zero_order_delivery bigint", ("a", 3), ("b", 0), ("c", 0)),
+        table("product_id string, sold_qty_7days bigint"),
+        table("product_id string, fcst_7days decimal(28,4)"),
+        table("product_id string, oos_visits decimal(28,4)"),
+        make("dim_division", {"division_id": "V", "supplier_name": "S"}),
+        make(
+            "division_ek_code",
+            {"division_id": "V", "ek_code": "K1"},
+            {"division_id": "V", "ek_code": "K2"},
+        ),
+        AS_OF,
+    )
+    march = dt.date(2018, 3, 3)
+    assert rows(
+        result,
+        "product_id",
+        "turnover_rate_cluster",
+        "ek_code",
+        "lieferdatum_o_ebe_ex",
+        "oldest_ebe_internal",
+        "sold_units_7days",
+        "available_again_from",
+    ) == sorted(
+        [
+            ("a", cluster, code, day, "I1", 0, "2018-07-01")
+            for cluster in "AB"
+            for code in ("K1", "K2")
+            for day in (march, dt.date(2018, 3, 10))
+        ]
+        + [("c", "B", None, None, None, 0, "2018-07-01")],
+        key=repr,
+    )
