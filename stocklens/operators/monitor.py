@@ -59,20 +59,20 @@ def _join_prior(
 
 
 def with_prior_week(
-    weekly: DataFrame, mode: str = ISO_YEAR, one_row_per_week: bool = False
+    weeks: DataFrame, weekly: DataFrame, mode: str = ISO_YEAR, one_row_per_week: bool = False
 ) -> DataFrame:
-    """Weekly history with last week's bulk order and corrections beside it.
+    """Weeks with the bulk order and corrections of the week before beside them.
 
-    Each quantity is looked up on its own, so several rows in the week before
-    multiply. With ``one_row_per_week`` the caller states that product and
-    week are unique, and a single lookup gives the same rows.
+    Each quantity is looked up in the ``weekly`` history on its own, so several
+    rows in the week before multiply. With ``one_row_per_week`` the caller
+    states that product and week are unique there, and a single lookup gives
+    the same rows.
     """
     if one_row_per_week:
-        return _join_prior(weekly, weekly, {**BULK, **OOS, **OUTLIER}, mode)
-    result = weekly
+        return _join_prior(weeks, weekly, {**BULK, **OOS, **OUTLIER}, mode)
     for columns in (BULK, OOS, OUTLIER):
-        result = _join_prior(result, weekly, columns, mode)
-    return result
+        weeks = _join_prior(weeks, weekly, columns, mode)
+    return weeks
 
 
 def _prior_week(weekly: DataFrame, columns: Mapping[str, str], mode: str) -> DataFrame:
@@ -143,13 +143,14 @@ def forecast_monitor(
 ) -> DataFrame:
     """Product weeks with a bad forecast and the steps that caused it.
 
+    The error decides first, so that only bad weeks look up the week before.
     Sorted by product and week number.
     """
     net, married = F.col("net_qty"), F.col("married_forecast_quantity")
-    bad = with_released_forecast(
-        with_prior_week(weekly, mode, one_row_per_week), base_history
-    ).where(checks.mape_above(net, married, min_mape) & checks.mad_above(net, married, min_mad))
-    return bad.select(
+    bad = with_released_forecast(weekly, base_history).where(
+        checks.mape_above(net, married, min_mape) & checks.mad_above(net, married, min_mad)
+    )
+    return with_prior_week(bad, weekly, mode, one_row_per_week).select(
         "product_id",
         iso_week(F.col("week_start_date")).alias("kw"),
         "net_qty",

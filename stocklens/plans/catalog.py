@@ -7,192 +7,66 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocklens.constants import GIFT_TYPE
-from stocklens.operators import archive, assortment, demand, monitor, purchasing
-from stocklens.plans.ordering import ordering_master
+from stocklens.plans.reports import ReportDates, Reports
 from stocklens.session import tune
 from stocklens.sources.startables import StarTables
 
 # Report dates suited to the test tables.
-AS_OF = dt.datetime(2000, 6, 15, 10)
-YTD_START = dt.date(2000, 1, 1)
-LEADTIME_YEAR = "2000"
-SALES_SINCE = dt.date(2000, 1, 1)
-
-
-def _units_ytd(t: StarTables) -> DataFrame:
-    return demand.units_ytd(t.fact_sales, t.dim_product, AS_OF, YTD_START)
-
-
-def _inbound(t: StarTables) -> DataFrame:
-    return purchasing.inbound_open_internal(
-        t.item_ledger, purchasing.order_type_base(t.fact_purchase)
-    )
-
-
-def _inbound_incl_campaigns(t: StarTables) -> DataFrame:
-    return purchasing.inbound_open_internal(
-        t.item_ledger, purchasing.order_type_base(t.fact_purchase), exclude=[GIFT_TYPE]
-    )
-
-
-def _on_order(t: StarTables) -> DataFrame:
-    return purchasing.purchase_open_qty(t.fact_purchase, t.dim_product)
-
-
-def _assortment(t: StarTables) -> DataFrame:
-    return assortment.assortment_base(
-        t.dim_product, _on_order(t), _inbound(t), _units_ytd(t), AS_OF
-    )
-
-
-def _clusters(t: StarTables) -> DataFrame:
-    return assortment.abc_clustering(
-        assortment.assortment_members(
-            t.dim_product, _on_order(t), _inbound(t), _units_ytd(t), AS_OF
-        )
-    )
-
-
-def _oldest(t: StarTables) -> DataFrame:
-    return purchasing.oldest_po_min(t.fact_purchase, t.dim_product)
-
-
-def _oldest_result(t: StarTables) -> DataFrame:
-    return purchasing.oldest_po_result(t.fact_purchase, t.dim_product, _oldest(t))
-
-
-def _oldest_internal(t: StarTables) -> DataFrame:
-    return purchasing.oldest_po_min_internal(t.fact_purchase, t.dim_product)
-
-
-def _leadtime(t: StarTables) -> DataFrame:
-    return purchasing.leadtime(t.supplier_leadtime, LEADTIME_YEAR)
-
-
-def _oldest_result_internal(t: StarTables) -> DataFrame:
-    return purchasing.oldest_po_result_internal(
-        t.fact_purchase,
-        t.dim_product,
-        _oldest_internal(t),
-        t.dim_division,
-        _leadtime(t),
-    )
-
-
-def _latest(t: StarTables) -> DataFrame:
-    return archive.latest_line_version(
-        t.purchase_line_archive, t.purchase_header_archive, AS_OF
-    )
-
-
-def _zero_lines(t: StarTables) -> DataFrame:
-    return archive.zero_qty_lines(_latest(t), t.purchase_line_archive)
-
-
-def _zero_count(t: StarTables) -> DataFrame:
-    return archive.zero_order_count(t.dim_product, _zero_lines(t))
-
-
-def _last_days(t: StarTables) -> DataFrame:
-    return demand.units_last_days(t.fact_sales, t.dim_product, AS_OF)
-
-
-def _next_days(t: StarTables) -> DataFrame:
-    return demand.forecast_next_days(t.daily_forecast, AS_OF)
-
-
-def _visits(t: StarTables) -> DataFrame:
-    return demand.oos_visits(t.visits_per_sku, AS_OF)
-
-
-def _ordering(t: StarTables) -> DataFrame:
-    return ordering_master(
-        assortment.stockout_products(t.dim_product),
-        _clusters(t),
-        purchasing.oldest_po_both(t.fact_purchase, t.dim_product),
-        _leadtime(t),
-        _zero_count(t),
-        _last_days(t),
-        _next_days(t),
-        _visits(t),
-        t.dim_division,
-        t.division_ek_code,
-        AS_OF,
-    )
-
-
-def _check(column: str) -> Callable[[StarTables], DataFrame]:
-    """One flag or error measure per product week, over the whole history."""
-
-    def query(t: StarTables) -> DataFrame:
-        weeks = monitor.with_prior_week(t.weekly_history, one_row_per_week=True)
-        return monitor.with_released_forecast(weeks, t.base_history).select(
-            "product_id", "week_start_date", monitor.check_columns()[column].alias("value")
-        )
-
-    return query
-
-
-def _monitor(mode: str) -> Callable[[StarTables], DataFrame]:
-    return lambda t: monitor.forecast_monitor(
-        t.weekly_history, t.base_history, mode=mode, one_row_per_week=True
-    )
-
-
-_QUERIES: dict[str, Callable[[StarTables], DataFrame]] = {
-    "stockout_products": lambda t: assortment.stockout_products(t.dim_product),
-    "purchase_open_qty": _on_order,
-    "order_type_base": lambda t: purchasing.order_type_base(t.fact_purchase),
-    "inbound_open_internal": _inbound,
-    "inbound_open_internal_incl_akt": _inbound_incl_campaigns,
-    "vendor_division_current": lambda t: assortment.vendor_division_current(
-        t.hub_vendor_division, t.sat_vendor_division
-    ),
-    "units_ytd": _units_ytd,
-    "assortment_base": _assortment,
-    "abc_clustering": _clusters,
-    "oldest_po_min": _oldest,
-    "oldest_po_result": _oldest_result,
-    "oldest_po_min_internal": _oldest_internal,
-    "leadtime": _leadtime,
-    "oldest_po_result_internal": _oldest_result_internal,
-    "latest_line_version": _latest,
-    "zero_qty_lines": _zero_lines,
-    "zero_order_count": _zero_count,
-    "units_last_days": _last_days,
-    "forecast_next_days": _next_days,
-    "oos_visits": _visits,
-    "ordering_master": _ordering,
-    "prior_week_bulk": lambda t: monitor.prior_week_bulk(t.weekly_history),
-    "prior_week_outlier": lambda t: monitor.prior_week_outlier(t.weekly_history),
-    "prior_week_oos": lambda t: monitor.prior_week_oos(t.weekly_history),
-    "prior_week_bulk_any_year": lambda t: monitor.prior_week_bulk(
-        t.weekly_history, monitor.WEEK_NUMBER
-    ),
-    "prior_week_bulk_calendar": lambda t: monitor.prior_week_bulk(
-        t.weekly_history, monitor.CALENDAR
-    ),
-    "flag_bulk_order": _check("bulk_order_fail"),
-    "flag_uplift_low": _check("uplift_zu_niedrig"),
-    "flag_top_down": _check("topdown_fail"),
-    "flag_oos": _check("oos_correction_fail"),
-    "flag_outlier": _check("outlier_correction_fail"),
-    "forecast_mad": _check("snop_mad"),
-    "forecast_mape": _check("snop_mape"),
-    "forecast_monitor": _monitor(monitor.ISO_YEAR),
-    "forecast_monitor_calendar": _monitor(monitor.CALENDAR),
-    "forecast_horizons": lambda t: demand.forecast_horizons(
-        t.daily_forecast_by_business_id, t.product, AS_OF
-    ),
-    "sold_units_per_sku": lambda t: demand.sold_units_per_sku(
-        t.management_report_daily, SALES_SINCE
-    ),
-}
+TEST_DATES = ReportDates(
+    as_of=dt.datetime(2000, 6, 15, 10),
+    ytd_start=dt.date(2000, 1, 1),
+    leadtime_year="2000",
+    sales_since=dt.date(2000, 1, 1),
+)
+
+NAMES = (
+    "stockout_products",
+    "purchase_open_qty",
+    "order_type_base",
+    "inbound_open_internal",
+    "inbound_open_internal_incl_akt",
+    "vendor_division_current",
+    "units_ytd",
+    "assortment_base",
+    "abc_clustering",
+    "oldest_po_min",
+    "oldest_po_result",
+    "oldest_po_min_internal",
+    "leadtime",
+    "oldest_po_result_internal",
+    "latest_line_version",
+    "zero_qty_lines",
+    "zero_order_count",
+    "units_last_days",
+    "forecast_next_days",
+    "oos_visits",
+    "ordering_master",
+    "prior_week_bulk",
+    "prior_week_outlier",
+    "prior_week_oos",
+    "prior_week_bulk_any_year",
+    "prior_week_bulk_calendar",
+    "flag_bulk_order",
+    "flag_uplift_low",
+    "flag_top_down",
+    "flag_oos",
+    "flag_outlier",
+    "forecast_mad",
+    "forecast_mape",
+    "forecast_monitor",
+    "forecast_monitor_calendar",
+    "forecast_horizons",
+    "sold_units_per_sku",
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bind(build: Callable[[StarTables], DataFrame]):
-        return lambda spark, path: build(StarTables(tune(spark), path))
+    def query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+        def run(spark: SparkSession, path: str) -> DataFrame:
+            tables = StarTables(tune(spark), path)
+            # the derived weekly history is grouped by product and week
+            return getattr(Reports(tables, TEST_DATES, unique_weeks=True), name)()
+
+        return run
 
-    return {name: bind(build) for name, build in _QUERIES.items()}
+    return {name: query(name) for name in NAMES}

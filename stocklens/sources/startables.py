@@ -301,7 +301,7 @@ class StarTables:
         return conform(
             self._read("lineitem")
             .groupBy(
-                F.col("l_suppkey").alias("product_id"),
+                _text(F.col("l_suppkey")).alias("product_id"),
                 monday(F.col("l_shipdate")).alias("week_start_date"),
             )
             .agg(
@@ -321,7 +321,7 @@ class StarTables:
         weeks = (
             self._read("lineitem")
             .groupBy(
-                F.col("l_suppkey").alias("product_id"),
+                _text(F.col("l_suppkey")).alias("product_id"),
                 monday(F.col("l_shipdate")).alias("week_start_date"),
             )
             .agg(

@@ -545,11 +545,11 @@ def test_same_week_number_in_two_years(make, rows):
 
 def test_one_lookup_equals_three_on_unique_weeks_only(make, rows):
     history = weekly(make, (2019, 7, 1), (2019, 8, 2), oos_correction_qty=5)
-    once = monitor.with_prior_week(history, one_row_per_week=True)
+    once = monitor.with_prior_week(history, history, one_row_per_week=True)
     columns = sorted(once.columns)
-    assert rows(once, *columns) == rows(monitor.with_prior_week(history), *columns)
+    assert rows(once, *columns) == rows(monitor.with_prior_week(history, history), *columns)
     doubled = weekly(make, (2019, 7, 1), (2019, 7, 9), (2019, 8, 2))
-    assert monitor.with_prior_week(doubled).count() == 2 + 2**3
+    assert monitor.with_prior_week(doubled, doubled).count() == 2 + 2**3
 
 
 def test_week_text(make, rows):
