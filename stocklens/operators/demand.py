@@ -86,31 +86,50 @@ def forecast_horizons(
     """Forecast per product over nested windows from ``as_of``, with unit cost.
 
     Products without demand in a window keep 0; forecasts without a product
-    row drop out. Product rows are counted per unit cost, so the forecast is
-    summed once per product and then multiplied.
+    row drop out. Only rows inside the longest window are summed, so the date
+    bound reaches their scan; a second narrow scan finds the products that
+    have rows elsewhere. Product rows are counted per unit cost, and a
+    product's forecast is multiplied by that count instead of joined to each.
     """
     start = timewin.anchor(as_of, mode)
-    day, amount = F.col("calendar_date"), exact("daily_married_forecast")
-    totals = daily_forecast.groupBy("productbusinessid").agg(
-        *[
-            F.sum(
-                F.when(
-                    timewin.from_until(day, start, start + timewin.days(n)), amount
-                ).otherwise(F.lit(0))
-            ).alias(f"total_{n}")
-            for n in horizons
-        ]
+
+    def within(days: int) -> Column:
+        return timewin.from_until(F.col("calendar_date"), start, start + timewin.days(days))
+
+    longest = within(max(horizons))
+    amount = exact("daily_married_forecast")
+    totals = (
+        daily_forecast.where(longest)
+        .groupBy("productbusinessid")
+        .agg(
+            *[
+                F.sum(F.when(within(n), amount).otherwise(F.lit(0))).alias(f"total_{n}")
+                for n in horizons
+            ]
+        )
+    )
+    # A row outside a window adds 0 to it, so such a product has no null total.
+    products = daily_forecast.groupBy("productbusinessid").agg(
+        F.bool_or(~F.coalesce(longest, F.lit(False))).alias("has_other_days")
     )
     costs = product.groupBy("productbusinessid", "unitcost").agg(
         F.count(F.lit(1)).alias("n_rows")
     )
-    return totals.join(costs, "productbusinessid").select(
-        "productbusinessid",
-        *[
-            F.round(F.col(f"total_{n}") * F.col("n_rows"), 0).cast("bigint").alias(f"fcst_{n}days")
-            for n in horizons
-        ],
-        F.col("unitcost").cast("double").alias("Unit Cost"),
+
+    def rounded(days: int) -> Column:
+        total = F.coalesce(
+            F.col(f"total_{days}"), F.when(F.col("has_other_days"), F.lit(0))
+        )
+        return F.round(total * F.col("n_rows"), 0).cast("bigint").alias(f"fcst_{days}days")
+
+    return (
+        products.join(totals, "productbusinessid", "left")
+        .join(costs, "productbusinessid")
+        .select(
+            "productbusinessid",
+            *[rounded(n) for n in horizons],
+            F.col("unitcost").cast("double").alias("Unit Cost"),
+        )
     )
 
 

@@ -1,12 +1,14 @@
 """The input relations, derived from the star-schema test tables.
 
-Only this module knows the test tables. Doubles become decimals before any
+Only this module knows the test tables. Doubles with two decimals become
+decimals, or whole hundredths where very many are summed, before any
 arithmetic, so sums are exact.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,6 +36,15 @@ def _money(name: str) -> Column:
     return F.col(name).cast("decimal(12,2)")
 
 
+def _hundredths(name: str) -> Column:
+    return F.rint(F.col(name) * 100).cast("bigint")
+
+
+def _scaled(total: Column, digits: int) -> Column:
+    """A whole number of units of ``10 ** -digits`` as a decimal."""
+    return total.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))
+
+
 def _lookup(column: Column, values: dict, default: Column) -> Column:
     (first, result), *rest = values.items()
     case = F.when(column == first, F.lit(result))
@@ -293,10 +304,10 @@ class StarTables:
     @cached_property
     def weekly_history(self) -> DataFrame:
         """One row per supplier and week."""
-        amount, none = _money("l_quantity"), F.lit(0)
 
         def total(condition: Column) -> Column:
-            return F.sum(F.when(condition, amount).otherwise(none))
+            amount = F.when(condition, _hundredths("l_quantity")).otherwise(F.lit(0))
+            return _scaled(F.sum(amount), 2)
 
         return conform(
             self._read("lineitem")
@@ -316,8 +327,9 @@ class StarTables:
     @cached_property
     def base_history(self) -> DataFrame:
         """Two snapshots per supplier and week: at its start and one week before."""
-        base = _money("l_quantity") * (1 - _money("l_discount"))
-        tax = _money("l_tax")
+        base = _hundredths("l_quantity") * (100 - _hundredths("l_discount"))
+        tax = _hundredths("l_tax")
+        uplift = F.when(F.col("l_linestatus") == "O", tax).otherwise(F.lit(0))
         weeks = (
             self._read("lineitem")
             .groupBy(
@@ -325,20 +337,18 @@ class StarTables:
                 monday(F.col("l_shipdate")).alias("week_start_date"),
             )
             .agg(
-                F.sum(base).alias("forecast_quantity"),
-                F.sum(F.when(F.col("l_linestatus") == "O", tax).otherwise(F.lit(0))).alias(
-                    "sku_uplift"
-                ),
-                F.sum(base * (1 + tax))
+                _scaled(F.sum(base), 4).alias("forecast_quantity"),
+                _scaled(F.sum(uplift), 2).alias("sku_uplift"),
+                _scaled(F.sum(base * (100 + tax)), 6)
                 .cast("decimal(18,4)")
                 .alias("forecast_quantity_after_uplifts_before_adjustment"),
                 (F.max("l_linenumber") - 5).alias("top_down_adjustment"),
-                F.max(tax).alias("top_tax"),
+                _scaled(100 + F.max(tax), 2).alias("top_factor"),
             )
         )
         after = F.col("forecast_quantity_after_uplifts_before_adjustment")
         return conform(
-            weeks.withColumn("married_forecast_quantity", after * (1 + F.col("top_tax")))
+            weeks.withColumn("married_forecast_quantity", after * F.col("top_factor"))
             .withColumn("lag_weeks", F.explode(F.array(F.lit(0), F.lit(1))))
             .withColumn(
                 "as_of_date", F.date_sub("week_start_date", 7 * F.col("lag_weeks"))

@@ -468,6 +468,18 @@ def test_horizons(make, rows):
         ("late", 0, 0, 0, 0, None),
         ("twice", 1, 1, 1, 1, 1.0),  # 2 x 0.25 rounds up after adding
     ]
+    # no amount known inside a window, and no row outside it
+    unknown = make(
+        "daily_forecast_by_business_id",
+        {"productbusinessid": "a", "calendar_date": "2018-06-30"},
+        {"productbusinessid": "twice", "calendar_date": "2018-06-30"},
+        {"productbusinessid": "twice", "calendar_date": None},
+    )
+    assert rows(demand.forecast_horizons(unknown, product, AS_OF)) == [
+        ("a", 0, None, None, None, 1.5),
+        ("a", 0, None, None, None, 2.5),
+        ("twice", 0, 0, 0, 0, 1.0),
+    ]
     # a date exactly as_of + 7 days is outside
     assert rows(
         demand.forecast_horizons(forecast, product, MIDNIGHT), "productbusinessid", "fcst_7days"
