@@ -25,6 +25,9 @@ from stocklens.functions.timewin import moment
 # holds at most 2**BUCKET_BITS distinct quantities.
 BUCKET_BITS = 20
 
+# Parts a product's purchase groups are dealt into where they meet its row.
+GROUP_PARTS = 8
+
 
 def stockout_products(dim_product: DataFrame) -> DataFrame:
     """Products in the regular or limited range with no stock left."""
@@ -124,9 +127,10 @@ def assortment_base(
 ) -> DataFrame:
     """The active assortment, one row per qualifying purchase group.
 
-    Products without purchases have one row. The groups are met in an inner
-    join, where Spark can split a product with very many groups; products
-    without groups are added beside it.
+    Products without purchases have one row and are added beside the others.
+    A product's groups are dealt into parts by their hash, and the product row
+    is repeated for each part, so a product with very many groups is spread
+    out; and as that gives both sides a shuffle, Spark can split parts further.
     """
     candidates = _candidates(dim_product, on_order, internal, units, as_of)
     result = ["product_id", "product_status", "sold_qty_ytd"]
@@ -135,12 +139,14 @@ def assortment_base(
     )
     groups = on_order.select(
         "product_id",
+        F.pmod(F.xxhash64(*on_order.columns), F.lit(GROUP_PARTS)).alias("part"),
         F.coalesce("outstanding_quantity_external", F.lit(0)).alias("external"),
     )
-    grouped = (
-        candidates.where(F.col("in_shop") | (F.col("on_hand") + F.col("best_external") > 0))
-        .join(groups, "product_id")
-        .where(F.col("in_shop") | (F.col("on_hand") + F.col("external") > 0))
+    repeated = candidates.where(
+        F.col("in_shop") | (F.col("on_hand") + F.col("best_external") > 0)
+    ).withColumn("part", F.explode(F.array(*[F.lit(n).cast("bigint") for n in range(GROUP_PARTS)])))
+    grouped = groups.join(repeated, ["product_id", "part"]).where(
+        F.col("in_shop") | (F.col("on_hand") + F.col("external") > 0)
     )
     return grouped.select(result).unionAll(alone.select(result))
 

@@ -123,6 +123,12 @@ def eager_split(without_broadcast):
         spark.conf.set(key, value)
 
 
+def test_purchase_groups_are_dealt_into_parts(without_broadcast):
+    text = plan(QUERIES["assortment_base"](without_broadcast, PATH))
+    [join] = re.findall(r"SortMergeJoin \[product_id#\d+, part#.*?\n(.*?)\n(.*?)\n", text)
+    assert "Sort" in join[0] and "Exchange hashpartitioning(product_id#" in join[1]
+
+
 @pytest.mark.parametrize("name", list(HOT))
 def test_hot_keys_are_split(eager_split, hot_tables, name):
     df = QUERIES[name](eager_split, hot_tables)
