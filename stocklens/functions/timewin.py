@@ -55,12 +55,6 @@ def iso_year(column: Column) -> Column:
     return F.extract(F.lit("YEAROFWEEK"), column)
 
 
-def monday(column: Column) -> Column:
-    """First day of the ISO week."""
-    day = column.cast("date")
-    return F.date_sub(day, F.weekday(day))
-
-
 def plus_days(day: Column, lead: Column) -> Column:
     """Date plus a possibly fractional number of days, fraction cut off."""
     return F.date_add(day, lead.cast("int"))

@@ -31,6 +31,7 @@ def local_session(cores: int | str = 8, memory: str = "16g", name: str = "stockl
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .getOrCreate()
     )

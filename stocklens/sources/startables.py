@@ -2,19 +2,17 @@
 
 Only this module knows the test tables. Doubles with two decimals become
 decimals, or whole hundredths where very many are summed, before any
-arithmetic, so sums are exact.
+arithmetic, so sums are exact. Columns are given as SQL expressions.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stocklens.functions.timewin import monday
 from stocklens.sources.schemas import conform
 
 # Codes and dates of the derived relations.
@@ -32,33 +30,31 @@ VISIT_SHIFT_DAYS = 8614
 NATIONS_WITH_CODE = 20
 
 
-def _money(name: str) -> Column:
-    return F.col(name).cast("decimal(12,2)")
+def _money(name: str) -> str:
+    return f"CAST({name} AS decimal(12,2))"
 
 
-def _hundredths(name: str) -> Column:
-    return F.rint(F.col(name) * 100).cast("bigint")
+def _hundredths(name: str) -> str:
+    return f"CAST(rint({name} * 100) AS bigint)"
 
 
-def _scaled(total: Column, digits: int) -> Column:
+def _scaled(total: str, digits: int) -> str:
     """A whole number of units of ``10 ** -digits`` as a decimal."""
-    return total.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))
+    return f"CAST({total} AS decimal(20,0)) * {10 ** -digits:.{digits}f}BD"
 
 
-def _lookup(column: Column, values: dict, default: Column) -> Column:
-    (first, result), *rest = values.items()
-    case = F.when(column == first, F.lit(result))
-    for key, value in rest:
-        case = case.when(column == key, F.lit(value))
-    return case.otherwise(default)
+def _literal(value: int | str | None) -> str:
+    return "NULL" if value is None else repr(value)
 
 
-def _text(column: Column) -> Column:
-    return column.cast("string")
+def _lookup(column: str, values: dict, default: str = "NULL") -> str:
+    cases = " ".join(f"WHEN {_literal(k)} THEN {_literal(v)}" for k, v in values.items())
+    return f"CASE {column} {cases} ELSE {default} END"
 
 
-def _purchase_number() -> Column:
-    return F.concat(F.lit("EBE"), F.lpad(_text(F.col("l_orderkey")), 8, "0"))
+PURCHASE_NUMBER = "concat('EBE', lpad(CAST(l_orderkey AS string), 8, '0'))"
+SUPPLIER = "CAST(l_suppkey AS string)"
+MONDAY = "date_sub(CAST(l_shipdate AS date), weekday(CAST(l_shipdate AS date)))"
 
 
 @dataclass(frozen=True)
@@ -83,31 +79,23 @@ class StarTables:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        key = F.col("p_partkey")
         return conform(
-            self._read("part").select(
-                key.alias("product_skey"),
-                _text(key).alias("product_id"),
-                F.concat(F.lit("EAN"), _text(key)).alias("ean"),
-                F.col("p_name").alias("product_name"),
-                _lookup(key % 4, AVAILABLE_FROM, F.lit(None)).alias("available_again_from"),
-                F.concat(F.lit("NATION_"), _text(key % 25)).alias("division_id"),
-                (F.col("p_size") - 10).alias("quantity_instock"),
-                F.col("p_brand").alias("manufacturer_item_no"),
-                _lookup(F.col("p_type"), STATUS_OF_TYPE, F.lit("Archiv")).alias("product_status"),
-                F.date_add(F.lit("1999-01-01").cast("date"), 12 * F.col("p_size")).alias(
-                    "release_date"
-                ),
-                F.when(key % 3 == 0, "deactivated").otherwise("activated").alias(
-                    "shop_activity_status"
-                ),
-                F.lit("activated").alias("shop_activity_status_config"),
-                F.when(key % 5 == 0, "Katalog, Suche").otherwise("Einzeln nicht sichtbar").alias(
-                    "shop_visibility"
-                ),
-                F.when(key % 7 == 0, "x").otherwise("Katalog, Suche").alias(
-                    "shop_visibility_config"
-                ),
+            self._read("part").selectExpr(
+                "p_partkey AS product_skey",
+                "CAST(p_partkey AS string) AS product_id",
+                "concat('EAN', p_partkey) AS ean",
+                "p_name AS product_name",
+                f"{_lookup('p_partkey % 4', AVAILABLE_FROM)} AS available_again_from",
+                "concat('NATION_', p_partkey % 25) AS division_id",
+                "p_size - 10 AS quantity_instock",
+                "p_brand AS manufacturer_item_no",
+                _lookup("p_type", STATUS_OF_TYPE, "'Archiv'") + " AS product_status",
+                "date_add(DATE '1999-01-01', 12 * p_size) AS release_date",
+                "if(p_partkey % 3 = 0, 'deactivated', 'activated') AS shop_activity_status",
+                "'activated' AS shop_activity_status_config",
+                "if(p_partkey % 5 = 0, 'Katalog, Suche', 'Einzeln nicht sichtbar')"
+                " AS shop_visibility",
+                "if(p_partkey % 7 = 0, 'x', 'Katalog, Suche') AS shop_visibility_config",
             ),
             "dim_product",
         )
@@ -115,28 +103,19 @@ class StarTables:
     @cached_property
     def fact_purchase(self) -> DataFrame:
         suppliers = self._read("supplier").select("s_suppkey", "s_nationkey")
-        ordered = F.col("o_orderdate")
         return conform(
-            self._lines_with_orders
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-            .select(
-                _purchase_number().alias("purchase_id"),
-                _purchase_number().alias("purchase_receipt_id"),
-                F.col("l_partkey").alias("product_skey"),
-                F.col("s_nationkey").alias("division_skey"),
-                _lookup(
-                    F.col("o_orderpriority"), ORDER_TYPE_OF_PRIORITY, F.lit("STD")
-                ).alias("order_type"),
-                _lookup(F.col("o_orderstatus"), PURCHASE_STATUS_OF_ORDER, F.lit(None)).alias(
-                    "purchase_status"
-                ),
-                ordered.alias("purchase_order_date"),
-                F.timestamp_add("DAY", F.col("l_linenumber"), ordered).alias(
-                    "expected_receipt_date"
-                ),
-                F.when(F.col("l_linestatus") == "O", _money("l_quantity") - 5)
-                .otherwise(0)
-                .alias("outstanding_quantity"),
+            self._lines_with_orders.join(
+                suppliers, F.col("l_suppkey") == F.col("s_suppkey")
+            ).selectExpr(
+                f"{PURCHASE_NUMBER} AS purchase_id",
+                f"{PURCHASE_NUMBER} AS purchase_receipt_id",
+                "l_partkey AS product_skey",
+                "s_nationkey AS division_skey",
+                _lookup("o_orderpriority", ORDER_TYPE_OF_PRIORITY, "'STD'") + " AS order_type",
+                _lookup("o_orderstatus", PURCHASE_STATUS_OF_ORDER) + " AS purchase_status",
+                "o_orderdate AS purchase_order_date",
+                "o_orderdate + make_dt_interval(l_linenumber) AS expected_receipt_date",
+                f"if(l_linestatus = 'O', {_money('l_quantity')} - 5, 0) AS outstanding_quantity",
             ),
             "fact_purchase",
         )
@@ -144,15 +123,13 @@ class StarTables:
     @cached_property
     def item_ledger(self) -> DataFrame:
         return conform(
-            self._read("lineitem").select(
-                _text(F.col("l_partkey")).alias("item_no"),
-                (_money("l_quantity") - 5).alias("remaining_quantity"),
-                _purchase_number().alias("document_no"),
-                F.when(F.col("l_returnflag") == "A", "MARK_WE").otherwise("HL").alias(
-                    "location_code"
-                ),
-                F.when(F.col("l_tax") == 0.08, "true").otherwise("false").alias("delete_flag"),
-                F.when(F.col("l_linestatus") == "O", "0").otherwise("1").alias("entry_type"),
+            self._read("lineitem").selectExpr(
+                "CAST(l_partkey AS string) AS item_no",
+                f"{_money('l_quantity')} - 5 AS remaining_quantity",
+                f"{PURCHASE_NUMBER} AS document_no",
+                "if(l_returnflag = 'A', 'MARK_WE', 'HL') AS location_code",
+                "if(l_tax = 0.08D, 'true', 'false') AS delete_flag",
+                "if(l_linestatus = 'O', '0', '1') AS entry_type",
             ),
             "item_ledger",
         )
@@ -160,8 +137,8 @@ class StarTables:
     @cached_property
     def hub_vendor_division(self) -> DataFrame:
         return conform(
-            self._read("customer").select(
-                F.col("c_custkey").alias("vendor_division_hashkey"), F.col("c_name").alias("no_")
+            self._read("customer").selectExpr(
+                "c_custkey AS vendor_division_hashkey", "c_name AS no_"
             ),
             "hub_vendor_division",
         )
@@ -178,23 +155,15 @@ class StarTables:
         order_days = (
             orders.groupBy("o_custkey", "o_orderdate")
             .agg(F.max("o_orderkey").alias("last_key"))
-            .withColumn(
-                "next_day",
-                F.lead("o_orderdate", 1).over(by_day),
-            )
+            .withColumn("next_day", F.lead("o_orderdate", 1).over(by_day))
         )
-        valid_to = F.when(
-            F.col("o_orderkey") == F.col("last_key"),
-            F.coalesce("next_day", F.lit(OPEN_END).cast("timestamp_ntz")),
-        ).otherwise(F.col("o_orderdate"))
         return conform(
-            orders.join(order_days, ["o_custkey", "o_orderdate"]).select(
-                F.col("o_custkey").alias("vendor_division_hashkey"),
-                F.col("o_orderpriority").alias("name"),
-                F.when(F.col("o_orderstatus") == "F", "true").otherwise("false").alias(
-                    "delete_flag"
-                ),
-                valid_to.alias("valid_to"),
+            orders.join(order_days, ["o_custkey", "o_orderdate"]).selectExpr(
+                "o_custkey AS vendor_division_hashkey",
+                "o_orderpriority AS name",
+                "if(o_orderstatus = 'F', 'true', 'false') AS delete_flag",
+                f"if(o_orderkey = last_key, coalesce(next_day, TIMESTAMP_NTZ '{OPEN_END}'),"
+                " o_orderdate) AS valid_to",
             ),
             "sat_vendor_division",
         )
@@ -202,10 +171,10 @@ class StarTables:
     @cached_property
     def fact_sales(self) -> DataFrame:
         return conform(
-            self._lines_with_orders.select(
-                F.col("l_partkey").alias("product_skey"),
-                _money("l_quantity").alias("quantity"),
-                F.col("o_orderdate").alias("order_date"),
+            self._lines_with_orders.selectExpr(
+                "l_partkey AS product_skey",
+                f"{_money('l_quantity')} AS quantity",
+                "o_orderdate AS order_date",
             ),
             "fact_sales",
         )
@@ -214,8 +183,7 @@ class StarTables:
     def supplier_leadtime(self) -> DataFrame:
         """Average line number per nation and year, counted per supplier first."""
         per_supplier = (
-            self._lines_with_orders
-            .groupBy("l_suppkey", F.year("o_orderdate").alias("jahr"))
+            self._lines_with_orders.groupBy("l_suppkey", F.year("o_orderdate").alias("jahr"))
             .agg(F.sum("l_linenumber").alias("total"), F.count("l_linenumber").alias("n"))
         )
         return conform(
@@ -233,10 +201,8 @@ class StarTables:
         return conform(
             self._read("nation")
             .join(self._read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                F.col("n_nationkey").alias("division_skey"),
-                F.col("n_name").alias("division_id"),
-                F.col("r_name").alias("supplier_name"),
+            .selectExpr(
+                "n_nationkey AS division_skey", "n_name AS division_id", "r_name AS supplier_name"
             ),
             "dim_division",
         )
@@ -244,12 +210,12 @@ class StarTables:
     @cached_property
     def purchase_line_archive(self) -> DataFrame:
         return conform(
-            self._read("lineitem").select(
-                _text(F.col("l_partkey") % 50).alias("no_"),
-                _text(F.col("l_orderkey")).alias("document_no"),
-                F.col("l_linenumber").alias("version_no"),
-                (_money("l_quantity") - 10).alias("quantity"),
-                (F.col("l_tax") == 0.08).alias("delete_flag"),
+            self._read("lineitem").selectExpr(
+                "CAST(l_partkey % 50 AS string) AS no_",
+                "CAST(l_orderkey AS string) AS document_no",
+                "l_linenumber AS version_no",
+                f"{_money('l_quantity')} - 10 AS quantity",
+                "l_tax = 0.08D AS delete_flag",
             ),
             "purchase_line_archive",
         )
@@ -257,10 +223,10 @@ class StarTables:
     @cached_property
     def purchase_header_archive(self) -> DataFrame:
         return conform(
-            self._read("orders").select(
-                _text(F.col("o_orderkey")).alias("no"),
-                F.col("o_orderdate").alias("order_date"),
-                (F.col("o_orderstatus") == "F").alias("delete_flag"),
+            self._read("orders").selectExpr(
+                "CAST(o_orderkey AS string) AS no",
+                "o_orderdate AS order_date",
+                "o_orderstatus = 'F' AS delete_flag",
             ),
             "purchase_header_archive",
         )
@@ -268,10 +234,10 @@ class StarTables:
     @cached_property
     def daily_forecast(self) -> DataFrame:
         return conform(
-            self._read("lineitem").select(
-                _text(F.col("l_partkey")).alias("product_id"),
-                F.to_date("l_shipdate").alias("calendar_date"),
-                (_money("l_quantity") * (1 - _money("l_discount"))).alias("snop_daily_forecast"),
+            self._read("lineitem").selectExpr(
+                "CAST(l_partkey AS string) AS product_id",
+                "CAST(l_shipdate AS date) AS calendar_date",
+                f"{_money('l_quantity')} * (1 - {_money('l_discount')}) AS snop_daily_forecast",
             ),
             "daily_forecast",
         )
@@ -280,11 +246,11 @@ class StarTables:
     def visits_per_sku(self) -> DataFrame:
         return conform(
             self._read("events")
-            .where(F.col("event_type") == "view")
-            .select(
-                _text(F.col("user_id")).alias("product_id"),
-                F.date_sub(F.to_date("ts"), VISIT_SHIFT_DAYS).alias("visit_date"),
-                _money("value").alias("oos_visits"),
+            .where("event_type = 'view'")
+            .selectExpr(
+                "CAST(user_id AS string) AS product_id",
+                f"date_sub(CAST(ts AS date), {VISIT_SHIFT_DAYS}) AS visit_date",
+                f"{_money('value')} AS oos_visits",
             ),
             "visits_per_sku",
         )
@@ -293,33 +259,34 @@ class StarTables:
     def division_ek_code(self) -> DataFrame:
         return conform(
             self._read("nation")
-            .where(F.col("n_nationkey") < NATIONS_WITH_CODE)
-            .select(
-                F.col("n_name").alias("division_id"),
-                F.concat(F.lit("EK"), _text(F.col("n_regionkey"))).alias("ek_code"),
-            ),
+            .where(f"n_nationkey < {NATIONS_WITH_CODE}")
+            .selectExpr("n_name AS division_id", "concat('EK', n_regionkey) AS ek_code"),
             "division_ek_code",
         )
 
+    def _supplier_weeks(self, **totals: str) -> DataFrame:
+        """Totals per supplier and ISO week."""
+        return (
+            self._read("lineitem")
+            .groupBy(
+                F.expr(SUPPLIER).alias("product_id"), F.expr(MONDAY).alias("week_start_date")
+            )
+            .agg(*[F.expr(total).alias(name) for name, total in totals.items()])
+        )
+
     @cached_property
     def weekly_history(self) -> DataFrame:
         """One row per supplier and week."""
 
-        def total(condition: Column) -> Column:
-            amount = F.when(condition, _hundredths("l_quantity")).otherwise(F.lit(0))
-            return _scaled(F.sum(amount), 2)
+        def units(condition: str) -> str:
+            return _scaled(f"sum(if({condition}, {_hundredths('l_quantity')}, 0))", 2)
 
         return conform(
-            self._read("lineitem")
-            .groupBy(
-                _text(F.col("l_suppkey")).alias("product_id"),
-                monday(F.col("l_shipdate")).alias("week_start_date"),
-            )
-            .agg(
-                total(F.col("l_returnflag") != "R").alias("net_qty"),
-                total(F.col("l_quantity") >= 40).alias("bulk_order_qty"),
-                total(F.col("l_discount") >= 0.08).alias("outlier_correction_qty"),
-                total(F.col("l_tax") == 0).alias("oos_correction_qty"),
+            self._supplier_weeks(
+                net_qty=units("l_returnflag <> 'R'"),
+                bulk_order_qty=units("l_quantity >= 40"),
+                outlier_correction_qty=units("l_discount >= 0.08D"),
+                oos_correction_qty=units("l_tax = 0"),
             ),
             "weekly_history",
         )
@@ -327,31 +294,21 @@ class StarTables:
     @cached_property
     def base_history(self) -> DataFrame:
         """Two snapshots per supplier and week: at its start and one week before."""
-        base = _hundredths("l_quantity") * (100 - _hundredths("l_discount"))
+        base = f"{_hundredths('l_quantity')} * (100 - {_hundredths('l_discount')})"
         tax = _hundredths("l_tax")
-        uplift = F.when(F.col("l_linestatus") == "O", tax).otherwise(F.lit(0))
-        weeks = (
-            self._read("lineitem")
-            .groupBy(
-                _text(F.col("l_suppkey")).alias("product_id"),
-                monday(F.col("l_shipdate")).alias("week_start_date"),
-            )
-            .agg(
-                _scaled(F.sum(base), 4).alias("forecast_quantity"),
-                _scaled(F.sum(uplift), 2).alias("sku_uplift"),
-                _scaled(F.sum(base * (100 + tax)), 6)
-                .cast("decimal(18,4)")
-                .alias("forecast_quantity_after_uplifts_before_adjustment"),
-                (F.max("l_linenumber") - 5).alias("top_down_adjustment"),
-                _scaled(100 + F.max(tax), 2).alias("top_factor"),
-            )
+        weeks = self._supplier_weeks(
+            forecast_quantity=_scaled(f"sum({base})", 4),
+            sku_uplift=_scaled(f"sum(if(l_linestatus = 'O', {tax}, 0))", 2),
+            after=f"CAST({_scaled(f'sum({base} * (100 + {tax}))', 6)} AS decimal(18,4))",
+            top_down_adjustment="max(l_linenumber) - 5",
+            top_factor=_scaled(f"100 + max({tax})", 2),
         )
-        after = F.col("forecast_quantity_after_uplifts_before_adjustment")
         return conform(
-            weeks.withColumn("married_forecast_quantity", after * F.col("top_factor"))
-            .withColumn("lag_weeks", F.explode(F.array(F.lit(0), F.lit(1))))
-            .withColumn(
-                "as_of_date", F.date_sub("week_start_date", 7 * F.col("lag_weeks"))
+            weeks.withColumn("lag_weeks", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
+                "*",
+                "date_sub(week_start_date, 7 * lag_weeks) AS as_of_date",
+                "after AS forecast_quantity_after_uplifts_before_adjustment",
+                "after * top_factor AS married_forecast_quantity",
             ),
             "base_history",
         )
@@ -359,10 +316,10 @@ class StarTables:
     @cached_property
     def daily_forecast_by_business_id(self) -> DataFrame:
         return conform(
-            self._read("lineitem").select(
-                F.col("l_partkey").alias("productbusinessid"),
-                F.to_date("l_shipdate").alias("calendar_date"),
-                _money("l_quantity").alias("daily_married_forecast"),
+            self._read("lineitem").selectExpr(
+                "l_partkey AS productbusinessid",
+                "CAST(l_shipdate AS date) AS calendar_date",
+                f"{_money('l_quantity')} AS daily_married_forecast",
             ),
             "daily_forecast_by_business_id",
         )
@@ -370,9 +327,8 @@ class StarTables:
     @cached_property
     def product(self) -> DataFrame:
         return conform(
-            self._read("part").select(
-                F.col("p_partkey").alias("productbusinessid"),
-                F.col("p_retailprice").alias("unitcost"),
+            self._read("part").selectExpr(
+                "p_partkey AS productbusinessid", "p_retailprice AS unitcost"
             ),
             "product",
         )
@@ -380,17 +336,17 @@ class StarTables:
     @cached_property
     def management_report_daily(self) -> DataFrame:
         parts = self._read("part").select("p_partkey", "p_name", "p_retailprice")
-        sales = _money("l_extendedprice") * (1 - _money("l_discount"))
+        sales = f"{_money('l_extendedprice')} * (1 - {_money('l_discount')})"
         return conform(
-            self._lines_with_orders
-            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                F.col("p_name").alias("productname"),
-                F.col("p_partkey").alias("productbusinessid"),
-                F.col("o_orderdate").alias("snapshot_day"),
-                _money("l_quantity").alias("ordered_qty"),
-                sales.alias("invoiced_sales_ad"),
-                (sales - _money("p_retailprice") * _money("l_quantity")).alias("invoiced_db3_ad"),
+            self._lines_with_orders.join(
+                parts, F.col("l_partkey") == F.col("p_partkey")
+            ).selectExpr(
+                "p_name AS productname",
+                "p_partkey AS productbusinessid",
+                "o_orderdate AS snapshot_day",
+                f"{_money('l_quantity')} AS ordered_qty",
+                f"{sales} AS invoiced_sales_ad",
+                f"{sales} - {_money('p_retailprice')} * {_money('l_quantity')} AS invoiced_db3_ad",
             ),
             "management_report_daily",
         )
