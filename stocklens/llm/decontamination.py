@@ -149,7 +149,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     filled = (
         seeds.select(slot.alias("slot"))
         .groupBy(F.shiftright("slot", 5).alias("word"))
-        .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(31)).cast("int"))).alias("bits"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 31 as int)))").alias("bits"))
     )
     table = np.zeros(1 << (BITS - 5), np.uint32)
     for row in filled.toLocalIterator():
