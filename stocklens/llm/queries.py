@@ -6,10 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocklens.llm import decontamination, simhash
+from stocklens.llm import decontamination, quality_classifier, quality_rules, simhash, toxicity, url_filters
 from stocklens.llm.common import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classified(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judged_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -20,8 +35,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    return quality_rules.judged(entries).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "failures",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op7_decontamination, op8_simhash)
+    found = (op1_quality_classifier, op4_toxicity, op6_url_filters, op7_decontamination, op8_simhash, op9_quality_rules)
     return {f.__name__: f for f in found}
 
 
