@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocklens.llm import decontamination, quality_classifier, quality_rules, simhash, toxicity, url_filters
+from stocklens.llm import (
+    decontamination,
+    language_model,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    toxicity,
+    url_filters,
+)
 from stocklens.llm.common import table
 
 
@@ -43,8 +51,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality_classifier, op4_toxicity, op6_url_filters, op7_decontamination, op8_simhash, op9_quality_rules)
+    found = (
+        op1_quality_classifier,
+        op4_toxicity,
+        op6_url_filters,
+        op7_decontamination,
+        op8_simhash,
+        op9_quality_rules,
+        op10_lm_scoring,
+    )
     return {f.__name__: f for f in found}
 
 
