@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stocklens.llm import (
     decontamination,
     language_model,
+    pii,
     quality_classifier,
     quality_rules,
     simhash,
@@ -24,6 +25,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.scores(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -58,6 +63,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_classifier,
+        op3_pii,
         op4_toxicity,
         op6_url_filters,
         op7_decontamination,
