@@ -13,6 +13,7 @@ from stocklens.llm import (
     quality_classifier,
     quality_rules,
     simhash,
+    suffix_dedup,
     toxicity,
     url_filters,
 )
@@ -34,6 +35,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judged_pages(table(spark, sf_dir, "pages"))
 
@@ -65,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_quality_classifier,
         op3_pii,
         op4_toxicity,
+        op5_suffix_dedup,
         op6_url_filters,
         op7_decontamination,
         op8_simhash,
