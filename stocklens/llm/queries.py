@@ -12,6 +12,7 @@ from stocklens.llm import (
     pii,
     quality_classifier,
     quality_rules,
+    sentencepiece_bpe,
     simhash,
     suffix_dedup,
     toxicity,
@@ -26,6 +27,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.encoded(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_classifier,
+        op2_sentencepiece,
         op3_pii,
         op4_toxicity,
         op5_suffix_dedup,
