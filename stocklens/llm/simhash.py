@@ -51,16 +51,14 @@ def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     schema = "simhash_ long, " + ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields
     )
-    at = docs.columns.index("text")
+    at, names = docs.columns.index("text"), ["simhash_", *docs.columns]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
             texts = (t.as_py() for t in batch.column(at).cast(pa.binary()))
             prints = [fingerprint(t or b"", shingle) for t in texts]
             column = pa.array(np.array(prints, np.uint64).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [column, *batch.columns], names=["simhash_", *docs.columns]
-            )
+            yield pa.RecordBatch.from_arrays([column, *batch.columns], names=names)
 
     return docs.mapInArrow(add, schema)
 
