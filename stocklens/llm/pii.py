@@ -43,7 +43,7 @@ GATES = {
 }
 # Proposals: kind, pattern, gate.
 GENERATORS = (
-    ("email", r"[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?\(dot\)\x20?|\x20?\[dot\]\x20?)[A-Za-z0-9-]{1,63}+)+", r"@|\(at\)|\[at\]"),
+    ("email", r"[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?\(dot\)\x20?|\x20?\[dot\]\x20?)[A-Za-z0-9-]{1,63}+)++", r"@|\(at\)|\[at\]"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}+(?:\.[0-9]{1,3}+){3}(?!\.?[0-9])", r"[0-9]\.[0-9]"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])", r"[0-9](?:[\x20-]?[0-9]){12}"),
     ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])", r"[0-9]{13}"),

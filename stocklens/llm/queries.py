@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stocklens.llm import (
     decontamination,
     language_model,
+    oracle,
     pii,
     quality_classifier,
     quality_rules,
@@ -87,4 +88,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_quality_rules": oracle.QUALITY_RULES}
