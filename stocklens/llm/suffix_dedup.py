@@ -39,8 +39,8 @@ LENGTH = 100
 GRAM = 32
 PLACES = LENGTH - GRAM + 1
 PIECE = 60_000  # strings handled at a time
-FLUSH = 1 << 24  # bytes whose tuples are gathered in a task
-BUCKET = 1 << 24  # bytes of text meant for a bucket
+FLUSH = 1 << 22  # bytes whose tuples are gathered in a task
+BUCKET = 1 << 23  # bytes of text meant for a bucket
 BITS = 24
 
 _BYTE_NAMES = np.array([xxhash.xxh64_intdigest(bytes([i])) for i in range(256)], np.uint64)
@@ -57,8 +57,8 @@ def _grams(piece: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def stretches(data: bytes) -> list[tuple[int, int, int, int]]:
-    """(gram, name, first, last): strings from first to last start share an anchor."""
+def stretches(data: bytes) -> tuple[np.ndarray, ...]:
+    """Grams, names, first and last starts of the stretches of strings that share an anchor."""
     found = []
     whole = np.frombuffer(data, np.uint8)
     strings = len(data) - LENGTH + 1
@@ -76,11 +76,15 @@ def stretches(data: bytes) -> list[tuple[int, int, int, int]]:
         first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
         last = np.append(first[1:], n) - 1
         at = anchors[first]
-        for gram, f, e, a in zip(
-            grams[at].tolist(), (first + base).tolist(), (last + base).tolist(), (at - first).tolist(), strict=True
-        ):
-            found.append((gram, name(data[f : e + LENGTH], a), f, e))
-    return found
+        gram, first, last, seed = grams[at], first + base, last + base, (at - first).tolist()
+        spans = zip(first.tolist(), (last + LENGTH).tolist(), seed, strict=True)
+        names = np.fromiter((name(data[f:e], s) for f, e, s in spans), np.uint64, len(at))
+        found.append((gram, names, first, last))
+    if len(found) == 1:
+        return found[0]
+    if not found:
+        return (*(np.zeros(0, np.uint64),) * 2, *(np.zeros(0, np.int64),) * 2)
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
 
 
 # ---- packed tuples ----------------------------------------------------------------------
@@ -230,15 +234,13 @@ def _tuples(source: DataFrame, buckets: int) -> DataFrame:
 
         for batch in rows_of(batches):
             for doc, text, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                found = stretches(data.as_py())
-                if not found:
+                raw = data.as_py()
+                if len(raw) < LENGTH:
                     continue
-                a, b, first, last = zip(*found, strict=True)
-                parts.append((
-                    np.full(len(a), doc, np.int64), np.full(len(a), text, np.int64),
-                    np.array(a, np.uint64), np.array(b, np.uint64), np.array(first, np.int64), np.array(last, np.int64),
-                ))
-                held += len(data.as_py())
+                found = stretches(raw)
+                n = len(found[0])
+                parts.append((np.full(n, doc, np.int64), np.full(n, text, np.int64), *found))
+                held += len(raw)
                 if held >= FLUSH:
                     yield flush()
                     parts, held = [], 0

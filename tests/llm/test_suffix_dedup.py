@@ -74,7 +74,7 @@ def test_every_string_has_its_anchor():
     rng = random.Random(3)
     data = bytes(rng.choice(b"ab ") for _ in range(3000))
     data += data[500:900] + b"a" * 400
-    found = suffix_dedup.stretches(data)
+    found = list(zip(*suffix_dedup.stretches(data), strict=True))
     starts = [p for _, _, first, last in found for p in range(first, last + 1)]
     assert starts == list(range(len(data) - 99))
     grams: dict[bytes, set] = {}
