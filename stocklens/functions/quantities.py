@@ -9,7 +9,12 @@ from operator import and_, or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-QUANTITY = "decimal(18,4)"
+# Quantities keep ten decimals and 18 digits before the point; a sum of them
+# has ten digits more before the point than one of them can have.
+QUANTITY = "decimal(28,10)"
+
+# Factors of a product that keeps ten decimals: 16 + 11 digits before the point.
+_FACTOR, _COUNT = "decimal(26,10)", "decimal(11,0)"
 
 
 def exact(column: str | Column) -> Column:
@@ -18,6 +23,11 @@ def exact(column: str | Column) -> Column:
     return column.cast(QUANTITY)
 
 
+def times(quantity: Column, count: Column) -> Column:
+    """A quantity times a whole number, without losing decimals."""
+    return quantity.cast(_FACTOR) * count.cast(_COUNT)
+
+
 def whole_units(total: Column) -> Column:
     """Rounded half away from zero; nothing sold counts as 0."""
     return F.coalesce(F.round(total, 0).cast("bigint"), F.lit(0).cast("bigint"))

@@ -4,51 +4,63 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocklens.constants import ARCHIVE_DAYS
 from stocklens.functions import timewin
 
 
-def latest_line_version(
-    line_archive: DataFrame,
-    header_archive: DataFrame,
-    as_of: dt.datetime,
-    days: int = ARCHIVE_DAYS,
+def _recent_lines(
+    line_archive: DataFrame, header_archive: DataFrame, as_of: dt.datetime, days: int
 ) -> DataFrame:
-    """Highest version per document and item, for documents of the last ``days``.
+    """Archive lines of undeleted documents ordered in the ``days`` up to ``as_of``.
 
-    The maximum is taken before documents are looked up, so a document with
-    very many line versions is reduced before it is shuffled on its number.
-    A semi join keeps several header versions from multiplying lines.
+    Documents are looked up first, as they drop most of the archive. The semi
+    join keeps several header versions from multiplying lines.
     """
-    latest = (
-        line_archive.where(~F.col("delete_flag"))
-        .groupBy("no_", "document_no")
-        .agg(F.max("version_no").alias("aktuelle_version"))
-    )
     recent = header_archive.where(
         timewin.between(F.col("order_date"), as_of - timewin.days(days), as_of)
         & ~F.col("delete_flag")
     ).select(F.col("no").alias("document_no"))
-    return latest.join(recent, "document_no", "left_semi").select(
-        F.col("no_").alias("sku"), F.col("document_no").alias("ebe"), "aktuelle_version"
+    return line_archive.join(recent, "document_no", "left_semi")
+
+
+def latest_line_version(
+    line_archive: DataFrame,
+    header_archive: DataFrame,
+    as_of: dt.datetime,
+    days: int = ARCHIVE_DAYS,
+) -> DataFrame:
+    """Highest undeleted version per document and item, for documents of the last ``days``."""
+    lines = _recent_lines(
+        line_archive.where(~F.col("delete_flag")), header_archive, as_of, days
+    )
+    return lines.groupBy(F.col("no_").alias("sku"), F.col("document_no").alias("ebe")).agg(
+        F.max("version_no").alias("aktuelle_version")
     )
 
 
-def zero_qty_lines(latest: DataFrame, line_archive: DataFrame) -> DataFrame:
+def zero_qty_lines(
+    line_archive: DataFrame,
+    header_archive: DataFrame,
+    as_of: dt.datetime,
+    days: int = ARCHIVE_DAYS,
+) -> DataFrame:
     """Lines at the latest version with nothing ordered; equal lines all stay.
 
-    Deleted lines take part here, although they do not decide the version.
+    Deleted lines take part here, although they do not decide the version. The
+    archive is read once: the version is found beside each line, in a window
+    over the item's lines in one document.
     """
-    empty = line_archive.where(F.col("quantity") <= 0).select(
-        F.col("no_").alias("sku"),
-        F.col("document_no").alias("ebe"),
-        F.col("version_no").alias("aktuelle_version"),
-        "quantity",
+    item = Window.partitionBy("no_", "document_no")
+    latest = F.max(F.when(~F.col("delete_flag"), F.col("version_no"))).over(item)
+    return (
+        _recent_lines(line_archive, header_archive, as_of, days)
+        .select("no_", "document_no", "version_no", "quantity", latest.alias("latest"))
+        .where((F.col("version_no") == F.col("latest")) & (F.col("quantity") <= 0))
+        .select(F.col("no_").alias("sku"), F.col("document_no").alias("ebe"), "quantity")
     )
-    return empty.join(latest, ["sku", "ebe", "aktuelle_version"]).select("sku", "ebe", "quantity")
 
 
 def zero_order_count(dim_product: DataFrame, zero_lines: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ from stocklens.functions.timewin import moment
 # holds at most 2**BUCKET_BITS distinct quantities.
 BUCKET_BITS = 20
 
-# Parts a product's purchase groups are dealt into where they meet its row.
-GROUP_PARTS = 8
+# Purchase groups of a product that meet its row in one part.
+GROUPS_IN_PART = 100_000
 
 
 def stockout_products(dim_product: DataFrame) -> DataFrame:
@@ -66,7 +66,10 @@ def _candidates(
     best = (
         on_order.where(F.col("product_id").isNotNull())
         .groupBy("product_id")
-        .agg(F.max(F.coalesce("outstanding_quantity_external", F.lit(0))).alias("best_external"))
+        .agg(
+            F.max(F.coalesce("outstanding_quantity_external", F.lit(0))).alias("best_external"),
+            F.count(F.lit(1)).alias("n_groups"),
+        )
     )
     released = dim_product.where(
         contains_any(F.col("product_status"), ASSORTMENT_STATUSES)
@@ -98,6 +101,7 @@ def _candidates(
             "in_shop",
             (F.col("instock") + F.coalesce("inbound", F.lit(0))).alias("on_hand"),
             "best_external",
+            "n_groups",
         )
     )
 
@@ -124,27 +128,45 @@ def assortment_base(
     internal: DataFrame,
     units: DataFrame,
     as_of: dt.datetime,
+    groups_in_part: int = GROUPS_IN_PART,
 ) -> DataFrame:
     """The active assortment, one row per qualifying purchase group.
 
     Products without purchases have one row and are added beside the others.
-    A product's groups are dealt into parts by their hash, and the product row
-    is repeated for each part, so a product with very many groups is spread
-    out; and as that gives both sides a shuffle, Spark can split parts further.
+    The groups of a product with more than ``groups_in_part`` are dealt into as
+    many parts as that takes, and only its row is repeated, once for each part.
     """
     candidates = _candidates(dim_product, on_order, internal, units, as_of)
     result = ["product_id", "product_status", "sold_qty_ytd"]
     alone = candidates.where(
         F.col("best_external").isNull() & (F.col("in_shop") | (F.col("on_hand") > 0))
     )
-    groups = on_order.select(
-        "product_id",
-        F.pmod(F.xxhash64(*on_order.columns), F.lit(GROUP_PARTS)).alias("part"),
-        F.coalesce("outstanding_quantity_external", F.lit(0)).alias("external"),
+    n_parts = F.ceil(F.col("n_groups") / groups_in_part)
+    large = (
+        on_order.where(F.col("product_id").isNotNull())
+        .groupBy("product_id")
+        .agg(F.count(F.lit(1)).alias("n_groups"))
+        .where(F.col("n_groups") > groups_in_part)
+        .select("product_id", n_parts.alias("n_parts"))
+    )
+    hashed = F.xxhash64(*on_order.columns)
+    groups = (
+        on_order.where(F.col("product_id").isNotNull())
+        .select(
+            "product_id",
+            hashed.alias("hashed"),
+            F.coalesce("outstanding_quantity_external", F.lit(0)).alias("external"),
+        )
+        .join(large, "product_id", "left")
+        .select(
+            "product_id",
+            F.pmod("hashed", F.coalesce("n_parts", F.lit(1).cast("bigint"))).alias("part"),
+            "external",
+        )
     )
     repeated = candidates.where(
         F.col("in_shop") | (F.col("on_hand") + F.col("best_external") > 0)
-    ).withColumn("part", F.explode(F.array(*[F.lit(n).cast("bigint") for n in range(GROUP_PARTS)])))
+    ).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), n_parts - 1)))
     grouped = groups.join(repeated, ["product_id", "part"]).where(
         F.col("in_shop") | (F.col("on_hand") + F.col("external") > 0)
     )

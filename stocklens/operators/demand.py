@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stocklens.constants import HORIZONS, LAST_DAYS, NEXT_DAYS, SALES_SINCE, YTD_START
 from stocklens.functions import timewin
-from stocklens.functions.quantities import exact, whole_units
+from stocklens.functions.quantities import exact, times, whole_units
 
 
 def _units(fact_sales: DataFrame, dim_product: DataFrame, when: Column, name: str) -> DataFrame:
@@ -53,12 +53,20 @@ def forecast_next_days(
     days: int = NEXT_DAYS,
     mode: str = timewin.FAITHFUL,
 ) -> DataFrame:
-    """Forecast per product from ``as_of`` over the next ``days``."""
+    """Forecast per product from ``as_of`` over the next ``days``.
+
+    Both ends are included; in ``calendar`` mode that is the whole last day.
+    """
     start = timewin.anchor(as_of, mode)
+    last = start + timewin.days(days)
+    day = F.col("calendar_date")
+    window = (
+        timewin.between(day, start, last)
+        if mode == timewin.FAITHFUL
+        else timewin.from_until(day, start, last + timewin.days(1))
+    )
     return (
-        daily_forecast.where(
-            timewin.between(F.col("calendar_date"), start, start + timewin.days(days))
-        )
+        daily_forecast.where(window)
         .groupBy("product_id")
         .agg(F.sum(exact("snop_daily_forecast")).alias("fcst_7days"))
     )
@@ -67,10 +75,20 @@ def forecast_next_days(
 def oos_visits(
     visits: DataFrame, as_of: dt.datetime, mode: str = timewin.CALENDAR
 ) -> DataFrame:
-    """Visits to out-of-stock product pages one day before ``as_of``."""
-    yesterday = timewin.anchor(as_of, mode) - timewin.days(1)
+    """Visits to out-of-stock product pages one day before ``as_of``.
+
+    ``faithful`` matches only visits of that very time of day.
+    """
+    today = timewin.anchor(as_of, mode)
+    yesterday = today - timewin.days(1)
+    day = F.col("visit_date")
+    window = (
+        day == timewin.moment(yesterday)
+        if mode == timewin.FAITHFUL
+        else timewin.from_until(day, yesterday, today)
+    )
     return (
-        visits.where(F.col("visit_date") == timewin.moment(yesterday))
+        visits.where(window)
         .groupBy("product_id")
         .agg(F.sum(exact("oos_visits")).alias("oos_visits"))
     )
@@ -120,7 +138,7 @@ def forecast_horizons(
         total = F.coalesce(
             F.col(f"total_{days}"), F.when(F.col("has_other_days"), F.lit(0))
         )
-        return F.round(total * F.col("n_rows"), 0).cast("bigint").alias(f"fcst_{days}days")
+        return F.round(times(total, F.col("n_rows")), 0).cast("bigint").alias(f"fcst_{days}days")
 
     return (
         products.join(totals, "productbusinessid", "left")
@@ -134,11 +152,18 @@ def forecast_horizons(
 
 
 def sold_units_per_sku(
-    management_report_daily: DataFrame, since: dt.date = SALES_SINCE
+    management_report_daily: DataFrame,
+    since: dt.date = SALES_SINCE,
+    only: Column | None = None,
 ) -> DataFrame:
-    """Units, revenue, profit and margin per product, best sellers first."""
+    """Units, revenue, profit and margin per product, best sellers first.
+
+    ``only`` picks rows before they are grouped, by brand or division for
+    example. Equal units are sorted by product, so they spread over tasks too.
+    """
+    picked = management_report_daily if only is None else management_report_daily.where(only)
     sums = (
-        management_report_daily.where(
+        picked.where(
             (F.col("snapshot_day") > timewin.moment(since))
             & (F.col("invoiced_sales_ad") > 0)
             & (F.col("invoiced_db3_ad") > 0)
@@ -159,4 +184,4 @@ def sold_units_per_sku(
         F.try_divide(F.col("profit").cast("double"), F.col("revenue").cast("double")).alias(
             "db3_marge"
         ),
-    ).orderBy(F.desc("sold_units"))
+    ).orderBy(F.desc("sold_units"), "productbusinessid", "productname")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from stocklens.constants import MIN_MAD, MIN_MAPE
@@ -58,6 +58,30 @@ def _join_prior(
     )
 
 
+def _beside(weekly: DataFrame, columns: Mapping[str, str], mode: str) -> DataFrame:
+    """Each week with columns of the week before, where product and week are unique.
+
+    The row before it in time is the week before or there is none, so the
+    history is read and shuffled once.
+    """
+    if mode == WEEK_NUMBER:
+        raise ValueError("weeks of several years have the same number")
+    week = F.col("week_start_date")
+    [(_, own)] = [k for k in _week_keys(week, mode, 0).items() if k[0] != "_year"]
+    [(_, expected)] = [
+        k for k in _week_keys(F.lag(week).over(_by_product(mode)), mode, 1).items() if k[0] != "_year"
+    ]
+    is_prior = own == expected
+    return weekly.withColumns(
+        {new: F.when(is_prior, F.lag(old).over(_by_product(mode))) for old, new in columns.items()}
+    )
+
+
+def _by_product(mode: str) -> WindowSpec:
+    year = [iso_year(F.col("week_start_date"))] if mode == ISO_YEAR else []
+    return Window.partitionBy("product_id", *year).orderBy("week_start_date")
+
+
 def with_prior_week(
     weeks: DataFrame, weekly: DataFrame, mode: str = ISO_YEAR, one_row_per_week: bool = False
 ) -> DataFrame:
@@ -65,8 +89,8 @@ def with_prior_week(
 
     Each quantity is looked up in the ``weekly`` history on its own, so several
     rows in the week before multiply. With ``one_row_per_week`` the caller
-    states that product and week are unique there, and a single lookup gives
-    the same rows.
+    states that product and week are unique there (see ``duplicate_weeks``),
+    and a single lookup gives the same rows.
     """
     if one_row_per_week:
         return _join_prior(weeks, weekly, {**BULK, **OOS, **OUTLIER}, mode)
@@ -75,9 +99,24 @@ def with_prior_week(
     return weeks
 
 
-def _prior_week(weekly: DataFrame, columns: Mapping[str, str], mode: str) -> DataFrame:
+def duplicate_weeks(weekly: DataFrame) -> DataFrame:
+    """Products and weeks that have more than one row, and how many."""
+    return (
+        weekly.groupBy("product_id", "week_start_date")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .where(F.col("n_rows") > 1)
+    )
+
+
+def _prior_week(
+    weekly: DataFrame, columns: Mapping[str, str], mode: str, one_row_per_week: bool = False
+) -> DataFrame:
     own = weekly.select("product_id", "week_start_date", *columns)
-    return _join_prior(own, own, columns, mode).select(
+    if one_row_per_week and mode != WEEK_NUMBER:
+        beside = _beside(own, columns, mode)
+    else:
+        beside = _join_prior(own, own, columns, mode)
+    return beside.select(
         F.col("product_id").alias("sku"),
         "week_start_date",
         iso_week(F.col("week_start_date")).alias("kw"),
@@ -86,19 +125,25 @@ def _prior_week(weekly: DataFrame, columns: Mapping[str, str], mode: str) -> Dat
     )
 
 
-def prior_week_bulk(weekly: DataFrame, mode: str = ISO_YEAR) -> DataFrame:
+def prior_week_bulk(
+    weekly: DataFrame, mode: str = ISO_YEAR, one_row_per_week: bool = False
+) -> DataFrame:
     """Bulk order quantity of each week and of the week before."""
-    return _prior_week(weekly, BULK, mode)
+    return _prior_week(weekly, BULK, mode, one_row_per_week)
 
 
-def prior_week_outlier(weekly: DataFrame, mode: str = ISO_YEAR) -> DataFrame:
+def prior_week_outlier(
+    weekly: DataFrame, mode: str = ISO_YEAR, one_row_per_week: bool = False
+) -> DataFrame:
     """Outlier correction of each week and of the week before."""
-    return _prior_week(weekly, OUTLIER, mode)
+    return _prior_week(weekly, OUTLIER, mode, one_row_per_week)
 
 
-def prior_week_oos(weekly: DataFrame, mode: str = ISO_YEAR) -> DataFrame:
+def prior_week_oos(
+    weekly: DataFrame, mode: str = ISO_YEAR, one_row_per_week: bool = False
+) -> DataFrame:
     """Out-of-stock correction of each week and of the week before."""
-    return _prior_week(weekly, OOS, mode)
+    return _prior_week(weekly, OOS, mode, one_row_per_week)
 
 
 def with_released_forecast(weekly: DataFrame, base_history: DataFrame) -> DataFrame:
@@ -143,14 +188,19 @@ def forecast_monitor(
 ) -> DataFrame:
     """Product weeks with a bad forecast and the steps that caused it.
 
-    The error decides first, so that only bad weeks look up the week before.
-    Sorted by product and week number.
+    Sorted by product and week number. Where weeks are unique, the week before
+    is found beside each week in the one pass over the history that the error
+    needs as well; else the error decides first, so that only bad weeks look it up.
     """
     net, married = F.col("net_qty"), F.col("married_forecast_quantity")
-    bad = with_released_forecast(weekly, base_history).where(
-        checks.mape_above(net, married, min_mape) & checks.mad_above(net, married, min_mad)
-    )
-    return with_prior_week(bad, weekly, mode, one_row_per_week).select(
+    is_bad = checks.mape_above(net, married, min_mape) & checks.mad_above(net, married, min_mad)
+    if one_row_per_week and mode != WEEK_NUMBER:
+        history = _beside(weekly, {**BULK, **OOS, **OUTLIER}, mode)
+        bad = with_released_forecast(history, base_history).where(is_bad)
+    else:
+        bad = with_released_forecast(weekly, base_history).where(is_bad)
+        bad = with_prior_week(bad, weekly, mode, one_row_per_week)
+    return bad.select(
         "product_id",
         iso_week(F.col("week_start_date")).alias("kw"),
         "net_qty",

@@ -18,7 +18,7 @@ from stocklens.constants import (
     STATUS_CLOSED,
     STATUS_INTERNAL,
 )
-from stocklens.functions.quantities import contains_none, exact
+from stocklens.functions.quantities import contains_none, exact, times
 from stocklens.functions.timewin import plus_days
 
 
@@ -72,7 +72,7 @@ def inbound_open_internal(
         received.join(kinds, F.col("document_no") == F.col("purchase_receipt_id"))
         .groupBy("item_no")
         .agg(
-            F.sum(F.col("remaining") * F.col("n_lines"))
+            F.sum(times(F.col("remaining"), F.col("n_lines")))
             .cast("decimal(18,2)")
             .alias("outstanding_quantity_internal")
         )
@@ -201,27 +201,50 @@ def oldest_po_both(fact_purchase: DataFrame, dim_product: DataFrame) -> DataFram
     """Oldest external and internal purchase of each product, side by side.
 
     What the two detail lists give a report that needs only the ids and the
-    external order day, but with two passes over the purchases instead of
-    four. A product has one row per order day of its one oldest external
-    purchase; that many days are gathered per product and no more.
+    external order day. Open lines shrink to one row per product key, purchase,
+    type, status and day first, and that one pass serves both the search for
+    the oldest and its details. A product has one row per order day of its
+    oldest external purchase.
     """
+    fact_purchase = _open_purchases(fact_purchase)
     oldest = _oldest(fact_purchase, dim_product, {"ext": _external(), "int": _internal()})
     kinds = F.array(
         F.struct(F.col("ext").alias("ebe"), F.lit(False).alias("is_internal")),
         F.struct(F.col("int").alias("ebe"), F.lit(True).alias("is_internal")),
     )
     oldest = oldest.select("sku", F.inline(kinds)).where(F.col("ebe").isNotNull())
-    external = F.struct(
-        F.col("ebe").alias("oldest_ebe_external"),
-        F.to_date("purchase_order_date").alias("order_date_oldest_po"),
+    lines = _lines_of(fact_purchase, dim_product, oldest).where(
+        ~F.col("is_internal") | _internal()
     )
+    external = (
+        lines.where(~F.col("is_internal"))
+        .select(
+            "product_id",
+            F.col("ebe").alias("oldest_ebe_external"),
+            F.col("purchase_order_date").alias("order_date_oldest_po"),
+        )
+        .distinct()
+    )
+    internal = (
+        lines.where(F.col("is_internal"))
+        .select("product_id", F.col("ebe").alias("oldest_ebe_internal"))
+        .distinct()
+    )
+    return external.join(internal, "product_id", "full_outer").select(
+        "product_id", "oldest_ebe_internal", "oldest_ebe_external", "order_date_oldest_po"
+    )
+
+
+def _open_purchases(fact_purchase: DataFrame) -> DataFrame:
+    """Distinct open purchases per product key, with their order day."""
     return (
-        _lines_of(fact_purchase, dim_product, oldest)
-        .where(~F.col("is_internal") | _internal())
-        .groupBy("product_id")
-        .agg(
-            F.max(F.when(F.col("is_internal"), F.col("ebe"))).alias("oldest_ebe_internal"),
-            F.collect_set(F.when(~F.col("is_internal"), external)).alias("days"),
+        fact_purchase.where(F.col("outstanding_quantity") > 0)
+        .groupBy(
+            "product_skey",
+            "purchase_id",
+            "order_type",
+            "purchase_status",
+            F.to_date("purchase_order_date").alias("purchase_order_date"),
         )
-        .select("product_id", "oldest_ebe_internal", F.inline_outer("days"))
+        .agg(F.max("outstanding_quantity").alias("outstanding_quantity"))
     )

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stocklens.plans.reports import ReportDates, Reports
 from stocklens.session import tune
@@ -18,6 +19,7 @@ TEST_DATES = ReportDates(
     leadtime_year="2000",
     sales_since=dt.date(2000, 1, 1),
 )
+TEST_BRAND = "Brand#13"
 
 NAMES = (
     "stockout_products",
@@ -39,6 +41,7 @@ NAMES = (
     "zero_order_count",
     "units_last_days",
     "forecast_next_days",
+    "forecast_next_days_calendar",
     "oos_visits",
     "ordering_master",
     "prior_week_bulk",
@@ -46,6 +49,9 @@ NAMES = (
     "prior_week_oos",
     "prior_week_bulk_any_year",
     "prior_week_bulk_calendar",
+    "prior_week_outlier_calendar",
+    "prior_week_oos_calendar",
+    "duplicate_weeks",
     "flag_bulk_order",
     "flag_uplift_low",
     "flag_top_down",
@@ -56,6 +62,7 @@ NAMES = (
     "forecast_monitor",
     "forecast_monitor_calendar",
     "forecast_horizons",
+    "forecast_horizons_calendar",
     "sold_units_per_sku",
 )
 
@@ -69,4 +76,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {name: query(name) for name in NAMES}
+    def brand(spark: SparkSession, path: str) -> DataFrame:
+        tables = StarTables(tune(spark), path, extra=("brand", "division"))
+        return Reports(tables, TEST_DATES).sold_units_of(F.col("brand") == TEST_BRAND)
+
+    return {name: query(name) for name in NAMES} | {"sold_units_of_brand": brand}

@@ -10,9 +10,11 @@ import datetime as dt
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from stocklens.constants import GIFT_TYPE, LEADTIME_YEAR, SALES_SINCE, YTD_START
+from stocklens.functions import timewin
 from stocklens.operators import archive, assortment, demand, monitor, purchasing
 from stocklens.plans import ordering
 
@@ -29,7 +31,10 @@ class ReportDates:
 
 @dataclass(frozen=True)
 class Reports:
-    """Results over ``tables``; ``unique_weeks`` states that product and week are unique."""
+    """Results over ``tables``; ``unique_weeks`` states that product and week are unique.
+
+    ``duplicate_weeks`` lists the rows that speak against that.
+    """
 
     tables: Any
     dates: ReportDates
@@ -118,7 +123,9 @@ class Reports:
 
     def zero_qty_lines(self) -> DataFrame:
         return archive.zero_qty_lines(
-            self.latest_line_version(), self.tables.purchase_line_archive
+            self.tables.purchase_line_archive,
+            self.tables.purchase_header_archive,
+            self.dates.as_of,
         )
 
     def zero_order_count(self) -> DataFrame:
@@ -131,22 +138,39 @@ class Reports:
             self.tables.fact_sales, self.tables.dim_product, self.dates.as_of
         )
 
-    def forecast_next_days(self) -> DataFrame:
-        return demand.forecast_next_days(self.tables.daily_forecast, self.dates.as_of)
+    def forecast_next_days(self, mode: str = timewin.FAITHFUL) -> DataFrame:
+        return demand.forecast_next_days(
+            self.tables.daily_forecast, self.dates.as_of, mode=mode
+        )
+
+    def forecast_next_days_calendar(self) -> DataFrame:
+        return self.forecast_next_days(timewin.CALENDAR)
 
     def oos_visits(self) -> DataFrame:
         return demand.oos_visits(self.tables.visits_per_sku, self.dates.as_of)
 
-    def forecast_horizons(self) -> DataFrame:
+    def forecast_horizons(self, mode: str = timewin.FAITHFUL) -> DataFrame:
         return demand.forecast_horizons(
-            self.tables.daily_forecast_by_business_id, self.tables.product, self.dates.as_of
+            self.tables.daily_forecast_by_business_id,
+            self.tables.product,
+            self.dates.as_of,
+            mode=mode,
         )
 
+    def forecast_horizons_calendar(self) -> DataFrame:
+        return self.forecast_horizons(timewin.CALENDAR)
+
     def sold_units_per_sku(self) -> DataFrame:
         return demand.sold_units_per_sku(
             self.tables.management_report_daily, self.dates.sales_since
         )
 
+    def sold_units_of(self, only: Column) -> DataFrame:
+        """Sold units of the rows that ``only`` picks, by an extra column such as the brand."""
+        return demand.sold_units_per_sku(
+            self.tables.management_report_daily, self.dates.sales_since, only
+        )
+
     def ordering_master(self) -> DataFrame:
         return ordering.ordering_master(
             self.stockout_products(),
@@ -165,16 +189,29 @@ class Reports:
     # Forecast monitoring
 
     def prior_week_bulk(self, mode: str = monitor.ISO_YEAR) -> DataFrame:
-        return monitor.prior_week_bulk(self.tables.weekly_history, mode)
+        return monitor.prior_week_bulk(self.tables.weekly_history, mode, self.unique_weeks)
 
     def prior_week_outlier(self, mode: str = monitor.ISO_YEAR) -> DataFrame:
-        return monitor.prior_week_outlier(self.tables.weekly_history, mode)
+        return monitor.prior_week_outlier(self.tables.weekly_history, mode, self.unique_weeks)
+
+    def prior_week_outlier_calendar(self) -> DataFrame:
+        return self.prior_week_outlier(monitor.CALENDAR)
 
     def prior_week_oos(self, mode: str = monitor.ISO_YEAR) -> DataFrame:
-        return monitor.prior_week_oos(self.tables.weekly_history, mode)
+        return monitor.prior_week_oos(self.tables.weekly_history, mode, self.unique_weeks)
+
+    def prior_week_oos_calendar(self) -> DataFrame:
+        return self.prior_week_oos(monitor.CALENDAR)
 
     def prior_week_bulk_any_year(self) -> DataFrame:
-        return self.prior_week_bulk(monitor.WEEK_NUMBER)
+        """The literal rule by week number alone, over the ISO year of the report it is meant for."""
+        history = self.tables.weekly_history
+        year = self.dates.as_of.isocalendar().year
+        own_year = timewin.iso_year(F.col("week_start_date")) == year
+        return monitor.prior_week_bulk(history.where(own_year), monitor.WEEK_NUMBER)
+
+    def duplicate_weeks(self) -> DataFrame:
+        return monitor.duplicate_weeks(self.tables.weekly_history)
 
     def prior_week_bulk_calendar(self) -> DataFrame:
         return self.prior_week_bulk(monitor.CALENDAR)

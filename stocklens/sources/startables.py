@@ -79,6 +79,7 @@ class StarTables:
 
     spark: SparkSession
     path: str
+    extra: tuple[str, ...] = ()  # further columns of the management report
 
     def _read(self, table: str) -> DataFrame:
         # With its columns given, opening a table runs no job.
@@ -348,7 +349,7 @@ class StarTables:
 
     @cached_property
     def management_report_daily(self) -> DataFrame:
-        parts = self._read("part").select("p_partkey", "p_name", "p_retailprice")
+        parts = self._read("part").select("p_partkey", "p_name", "p_retailprice", "p_brand", "p_type")
         sales = f"{_money('l_extendedprice')} * (1 - {_money('l_discount')})"
         return conform(
             self._lines_with_orders.join(
@@ -360,6 +361,9 @@ class StarTables:
                 f"{_money('l_quantity')} AS ordered_qty",
                 f"{sales} AS invoiced_sales_ad",
                 f"{sales} - {_money('p_retailprice')} * {_money('l_quantity')} AS invoiced_db3_ad",
+                "p_brand AS brand",
+                "p_type AS division",
             ),
             "management_report_daily",
+            self.extra,
         )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stocklens.functions import forecast_checks, labels, timewin
 from stocklens.operators import archive, assortment, demand, monitor, purchasing
 from stocklens.plans.ordering import ordering_master
+from stocklens.sources.schemas import conform
 
 AS_OF = dt.datetime(2018, 6, 15, 10)
 MIDNIGHT = dt.datetime(2018, 6, 15)
@@ -239,7 +240,7 @@ def test_latest_version_and_zero_lines(make, rows):
     assert AS_OF - dt.timedelta(days=60) == dt.datetime(2018, 4, 16, 10)
     latest = archive.latest_line_version(lines, headers, AS_OF)
     assert rows(latest) == [("a", "D1", 2), ("b", "D1", 2)]
-    zero = archive.zero_qty_lines(latest, lines)
+    zero = archive.zero_qty_lines(lines, headers, AS_OF)
     assert rows(zero) == [("a", "D1", -1), ("a", "D1", 0), ("b", "D1", 0)]
     counts = archive.zero_order_count(products(make, "a", "b", "z"), zero)
     assert rows(counts) == [("a", 2), ("b", 1), ("z", 0)]
@@ -423,6 +424,108 @@ def test_next_days(make, rows, as_of, mode, total):
     assert rows(demand.forecast_next_days(forecast, as_of, mode=mode)) == [("a", total)]
 
 
+@pytest.mark.parametrize(
+    "mode, total", [(timewin.FAITHFUL, 10 + 100), (timewin.CALENDAR, 1 + 10 + 100 + 1000 + 10_000)]
+)
+def test_next_days_with_a_time(make, rows, mode, total):
+    forecast = make(
+        "daily_forecast",
+        {"calendar_date": "2018-06-15 08:00", "snop_daily_forecast": 1},
+        {"calendar_date": "2018-06-15 12:00", "snop_daily_forecast": 10},
+        {"calendar_date": "2018-06-21 10:00", "snop_daily_forecast": 100},
+        {"calendar_date": "2018-06-21 10:01", "snop_daily_forecast": 1000},
+        {"calendar_date": "2018-06-21 23:59", "snop_daily_forecast": 10_000},
+        {"calendar_date": "2018-06-22", "snop_daily_forecast": 100_000},
+        {"calendar_date": "2018-06-14 23:59", "snop_daily_forecast": 100_000},
+        product_id="a",
+    )
+    assert rows(demand.forecast_next_days(forecast, AS_OF, mode=mode)) == [("a", total)]
+
+
+@pytest.mark.parametrize("mode, total", [(timewin.FAITHFUL, 3), (timewin.CALENDAR, 1 + 3 + 9)])
+def test_visits_with_a_time(make, rows, mode, total):
+    visits = make(
+        "visits_per_sku",
+        {"visit_date": "2018-06-14", "oos_visits": 1},
+        {"visit_date": "2018-06-14 10:00", "oos_visits": 3},
+        {"visit_date": "2018-06-14 23:59", "oos_visits": 9},
+        {"visit_date": "2018-06-15", "oos_visits": 27},
+        {"visit_date": "2018-06-13 23:59", "oos_visits": 27},
+        product_id="a",
+    )
+    assert rows(demand.oos_visits(visits, AS_OF, mode=mode)) == [("a", total)]
+
+
+@pytest.mark.parametrize("mode, week", [(timewin.FAITHFUL, 2 + 4), (timewin.CALENDAR, 1 + 2)])
+def test_horizons_with_a_time(make, rows, mode, week):
+    forecast = make(
+        "daily_forecast_by_business_id",
+        {"calendar_date": "2018-06-15 09:59", "daily_married_forecast": 1},
+        {"calendar_date": "2018-06-15 12:00", "daily_married_forecast": 2},
+        {"calendar_date": "2018-06-22 09:59", "daily_married_forecast": 4},
+        {"calendar_date": "2018-06-22 10:00", "daily_married_forecast": 8},
+        productbusinessid="a",
+    )
+    product = make("product", {"productbusinessid": "a", "unitcost": 2})
+    result = demand.forecast_horizons(forecast, product, AS_OF, mode=mode)
+    assert rows(result, "fcst_7days") == [(week,)]
+
+
+def test_small_amounts_are_summed_whole(spark, rows):
+    day = "TIMESTAMP_NTZ '2018-06-16 00:00:00' AS calendar_date"
+    forecast = spark.range(100_000).selectExpr("'a' AS product_id", day, "0.00004D AS snop_daily_forecast")
+    assert rows(demand.forecast_next_days(forecast, AS_OF)) == [("a", 4)]
+    named = conform(forecast, "daily_forecast")
+    assert rows(demand.forecast_next_days(named, AS_OF)) == [("a", 4)]
+    business = forecast.selectExpr(
+        "'a' AS productbusinessid", "calendar_date", "snop_daily_forecast AS daily_married_forecast"
+    )
+    product = spark.sql("SELECT 'a' AS productbusinessid, 1.0D AS unitcost")
+    result = demand.forecast_horizons(business, product, AS_OF)
+    assert rows(result, "fcst_7days", "fcst_56days") == [("a", 4)[1:] * 2]
+
+
+def test_inbound_is_rounded_once(spark, make, rows):
+    ledger = spark.sql(
+        "SELECT 'a' AS item_no, 0.004D AS remaining_quantity, 'E' AS document_no, 'MARK_WE' AS"
+        " location_code, 'false' AS delete_flag, '0' AS entry_type, explode(sequence(1, 5)) AS n"
+    )
+    types = spark.sql("SELECT 'E' AS purchase_receipt_id, 'STD' AS order_type")
+    assert rows(purchasing.inbound_open_internal(conform(ledger, "item_ledger"), types)) == [("a", 0.02)]
+
+
+def test_forecast_is_rounded_once(spark):
+    raw = spark.sql(
+        "SELECT 'a' AS product_id, DATE '2018-06-11' AS week_start_date, DATE '2018-06-11' AS as_of_date,"
+        " 0 AS forecast_quantity, 0 AS sku_uplift, 0 AS top_down_adjustment,"
+        " 0 AS forecast_quantity_after_uplifts_before_adjustment, 1.00495D AS married_forecast_quantity"
+    )
+    final = forecast_checks.final_forecast(F.col("married_forecast_quantity"))
+    assert str(conform(raw, "base_history").select(final).first()[0]) == "1.00"
+    assert str(raw.select(final).first()[0]) == "1.00"
+
+
+def test_only_one_brand_is_sold(make, rows):
+    report = make(
+        "management_report_daily",
+        {"productbusinessid": "a", "ordered_qty": 2}, {"productbusinessid": "b", "ordered_qty": 3},
+        productname="n", snapshot_day="2018-06-01", invoiced_sales_ad=20, invoiced_db3_ad=5,
+    ).withColumn("brand", F.when(F.col("productbusinessid") == "a", "x").otherwise("y"))
+    result = demand.sold_units_per_sku(report, only=F.col("brand") == "x")
+    assert rows(result, "productbusinessid", "sold_units") == [("a", 2)]
+
+
+def test_duplicate_weeks(make, rows):
+    history = make(
+        "weekly_history",
+        {"product_id": "a", "week_start_date": "2018-06-04"},
+        {"product_id": "a", "week_start_date": "2018-06-04"},
+        {"product_id": "a", "week_start_date": "2018-06-11"},
+        {"product_id": "b", "week_start_date": "2018-06-04"},
+    )
+    assert rows(monitor.duplicate_weeks(history)) == [("a", dt.date(2018, 6, 4), 2)]
+
+
 def test_visits_yesterday(make, rows):
     visits = make(
         "visits_per_sku",

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+from decimal import Decimal
+
 import pytest
 
+from stocklens.functions import timewin
+from stocklens.operators import demand
 from stocklens.plans.catalog import TEST_DATES
 from stocklens.plans.reports import Reports
 from stocklens.session import ADAPTIVE, tune
@@ -54,7 +60,33 @@ def test_conform_selects_and_casts(spark):
         "delete_flag": "false",
         "entry_type": "0",
     }
-    assert str(row["remaining_quantity"]) == "1.0050"
+    assert str(row["remaining_quantity"]) == "1.0050000000"
+
+
+def test_decimals_with_more_digits_and_extra_columns_stay(spark):
+    raw = spark.sql(
+        "SELECT 'p' AS product_id, TIMESTAMP_NTZ '2018-06-15 12:00:00' AS calendar_date,"
+        " CAST(0.000000000001 AS decimal(20,12)) AS snop_daily_forecast, 'x' AS brand"
+    )
+    [row] = conform(raw, "daily_forecast", ["brand"]).collect()
+    assert row["brand"] == "x" and row["calendar_date"].hour == 12
+    assert row["snop_daily_forecast"] == Decimal("0.000000000001")
+    raw.createOrReplaceTempView("wh_extra")
+    names = {"daily_forecast": "wh_extra"}
+    assert "brand" not in NamedTables(spark, names).daily_forecast.columns
+    assert "brand" in NamedTables(spark, names, {"daily_forecast": ["brand"]}).daily_forecast.columns
+
+
+def test_date_windows_of_named_tables_reach_the_scan(spark, tmp_path):
+    spark.sql(
+        "SELECT 'p' AS product_id, TIMESTAMP_NTZ '2018-06-15 12:00:00' AS calendar_date, 1.5D AS snop_daily_forecast"
+    ).write.parquet(f"{tmp_path}/f")
+    spark.read.parquet(f"{tmp_path}/f").createOrReplaceTempView("wh_forecast")
+    tables = NamedTables(spark, {"daily_forecast": "wh_forecast"})
+    for mode in (timewin.FAITHFUL, timewin.CALENDAR):
+        df = demand.forecast_next_days(tables.daily_forecast, dt.datetime(2018, 6, 15, 10), mode=mode)
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(calendar_date", text)
 
 
 def test_tune_keeps_what_the_session_sets(spark):

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from stocklens.plans import catalog, oracle
 from stocklens.sources.schemas import RELATIONS, schema
 from stocklens.sources.startables import StarTables
 
 PATH = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
-QUERIES = spark_entry.queries()
-ORACLE = spark_entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle.oracle_sql()
 
 # Rows at the smallest scale, counted independently when the inputs were laid out.
 KNOWN_COUNTS = {
@@ -51,6 +54,19 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert ORACLE.items() <= spark_entry.oracle_sql().items()
+
+
+def test_entry_works_without_the_training_data_operators():
+    code = """
+import sys
+sys.modules["stocklens.llm"] = None
+import __spark_entry__ as entry
+from stocklens.plans import catalog
+assert set(entry.queries()) == set(catalog.queries())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(spark_entry.__file__))
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -7,10 +7,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as spark_entry
+from stocklens.operators import assortment, demand
+from stocklens.plans import catalog
+from stocklens.plans.reports import Reports
+from stocklens.sources.startables import StarTables
 
 PATH = "/root/testdata/sf0.001"
-QUERIES = spark_entry.queries()
+QUERIES = catalog.queries()
 
 # Queries that contain the running total over quantity buckets.
 WITH_RUNNING_TOTAL = {"abc_clustering", "ordering_master"}
@@ -129,6 +132,58 @@ def test_purchase_groups_are_dealt_into_parts(without_broadcast):
     assert "Sort" in join[0] and "Exchange hashpartitioning(product_id#" in join[1]
 
 
+def test_only_large_products_are_repeated(spark):
+    tables = Reports(StarTables(spark, PATH), catalog.TEST_DATES)
+    whole = sorted(map(tuple, tables.assortment_base().collect()))
+    inputs = tables._assortment_inputs()
+    for size in (1, 7):
+        dealt = assortment.assortment_base(*inputs, groups_in_part=size)
+        assert sorted(map(tuple, dealt.collect())) == whole
+
+
+def executed_scans(df, name):
+    """How often the final plan reads a table."""
+    df.collect()
+    return len(re.findall(rf"Location: \S+ \[\S*/{name}\.parquet\]", plan(df, "formatted")))
+
+
+def test_archive_is_read_once_and_recent_documents_come_first(without_broadcast):
+    assert executed_scans(QUERIES["zero_qty_lines"](without_broadcast, PATH), "lineitem") == 1
+    for name in ("latest_line_version", "zero_qty_lines"):
+        text = plan(QUERIES[name](without_broadcast, PATH))
+        below = text[text.index("LeftSemi") :]
+        assert "Aggregate" not in below and "Window" not in below
+
+
+def test_history_is_read_once_for_the_week_before(without_broadcast):
+    for name in ("prior_week_bulk", "prior_week_oos_calendar"):
+        assert executed_scans(QUERIES[name](without_broadcast, PATH), "lineitem") == 1
+
+
+def test_ordering_list_gathers_no_arrays(without_broadcast):
+    df = QUERIES["ordering_master"](without_broadcast, PATH)
+    df.collect()
+    assert "ObjectHashAggregate" not in plan(df)
+    assert "collect_" not in plan(df)
+
+
+def test_equal_units_spread_over_tasks(spark):
+    report = spark.range(20_000).selectExpr(
+        "CAST(id AS string) AS productbusinessid", "'n' AS productname", "TIMESTAMP_NTZ '2018-06-01' AS snapshot_day",
+        "1.0D AS ordered_qty", "2.0D AS invoiced_sales_ad", "1.0D AS invoiced_db3_ad",
+    )
+    df = demand.sold_units_per_sku(report)
+    keys = ("spark.sql.adaptive.enabled",)
+    before = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set(keys[0], "false")
+    try:
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(sizes) < 10_000
+
+
 @pytest.mark.parametrize("name", list(HOT))
 def test_hot_keys_are_split(eager_split, hot_tables, name):
     df = QUERIES[name](eager_split, hot_tables)

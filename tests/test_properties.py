@@ -273,7 +273,13 @@ def test_one_more_zero_line_counts_one_more(make, rows, seed):
 
     def counts(line_archive):
         latest = archive.latest_line_version(line_archive, headers, AS_OF)
-        zero = archive.zero_qty_lines(latest, line_archive)
+        zero = archive.zero_qty_lines(line_archive, headers, AS_OF)
+        # the lines at the latest version, looked up in a second pass
+        again = line_archive.where("quantity <= 0").join(
+            latest.withColumnsRenamed({"sku": "no_", "ebe": "document_no", "aktuelle_version": "version_no"}),
+            ["no_", "document_no", "version_no"],
+        )
+        assert rows(zero) == rows(again.select("no_", "document_no", "quantity"))
         return dict(rows(archive.zero_order_count(dim, zero)))
 
     before = counts(lines)
@@ -321,6 +327,34 @@ def test_deviation_is_never_negative(table, seed):
         assert r["above"] == (None if r["mape"] is None else r["mape"] > 0.1)
 
 
+@pytest.mark.parametrize("mode", [monitor.ISO_YEAR, monitor.CALENDAR])
+@pytest.mark.parametrize("seed", SEEDS)
+def test_one_pass_over_unique_weeks_equals_the_lookups(make, rows, mode, seed):
+    """With gaps, the 53rd week of 2020, and turns of the year."""
+    rng = random.Random(seed)
+    first = dt.date(2019, 11, 25)
+    weeks = {(f"p{hot(rng, 3)}", first + dt.timedelta(days=7 * rng.randrange(70))) for _ in range(120)}
+    history = make(
+        "weekly_history",
+        *[
+            {
+                "product_id": p, "week_start_date": d, "net_qty": rng.randrange(9), "bulk_order_qty": i,
+                "outlier_correction_qty": None if i % 7 == 0 else i, "oos_correction_qty": -i,
+            }
+            for i, (p, d) in enumerate(sorted(weeks))
+        ],
+    )
+    for lookup in (monitor.prior_week_bulk, monitor.prior_week_outlier, monitor.prior_week_oos):
+        assert rows(lookup(history, mode, True)) == rows(lookup(history, mode, False))
+    base = history.selectExpr(
+        "product_id", "week_start_date", "week_start_date AS as_of_date", "net_qty AS forecast_quantity",
+        "net_qty AS sku_uplift", "net_qty AS forecast_quantity_after_uplifts_before_adjustment",
+        "net_qty AS top_down_adjustment", "net_qty + bulk_order_qty AS married_forecast_quantity",
+    )
+    one = monitor.forecast_monitor(history, base, mode=mode, one_row_per_week=True)
+    assert rows(one) == rows(monitor.forecast_monitor(history, base, mode=mode))
+
+
 @pytest.mark.parametrize("mode", [monitor.WEEK_NUMBER, monitor.ISO_YEAR, monitor.CALENDAR])
 def test_prior_weeks_equal_a_search(make, rows, mode):
     rng = random.Random(7)
