@@ -36,8 +36,8 @@ from stocklens.llm.common import rows_of, stored, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-PLACES = 1 << 10
-LAST = (1 << 63) - 1
+PLACES = 1 << 7
+LAST = (1 << 31) - 1
 LONG = 120  # characters; longer fragments are merged by a heap
 CUT = 32  # from here on fragments are also cut between characters that no piece has together
 HOT = 1 << 18
@@ -182,13 +182,13 @@ def _ids(symbols: Iterable[str], pieces: Pieces) -> list[int]:
 
 
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    """piece, id, and key: its own merges as rank x 1024 + place. One row per piece of the model."""
+    """piece, id, and key: its own merges as rank x 128 + place. One row per piece of the model."""
     rows = []
     for piece, number in pieces.ids.items():
         left, done = merges(piece, pieces.ranks)
         if len(left) == 1:  # others are never the result of merging
             rows.append((piece, number, sorted(r * PLACES + at for r, at in done)))
-    return spark.createDataFrame(rows, "piece string, id int, key array<long>")
+    return spark.createDataFrame(rows, "piece string, id int, key array<int>")
 
 
 def _bytes_of(c: Column, pieces: Pieces) -> Column:
@@ -225,33 +225,36 @@ def encoded_fragments(distinct: DataFrame, pieces: Pieces, carried: str | None =
     table = piece_table(spark, pieces)
     # a character that is no piece keeps its place without an id
     joined = edges.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR e = s + 1")
-    shifted = F.transform(F.coalesce("key", F.expr("CAST(array() AS array<long>)")), lambda k: k + F.col("s"))
+    edge = F.struct(
+        "e", "s", F.coalesce("id", F.lit(-1)).alias("id"),
+        F.transform(F.coalesce("key", F.expr("CAST(array() AS array<int>)")), lambda k: k + F.col("s")).alias("key"),
+    )
     lattice = joined.groupBy("fragment").agg(
-        F.collect_list(F.struct("e", "s", "id", shifted.alias("key"))).alias("edges"),
-        *[F.first(c).alias(c) for c in keep],
+        F.sort_array(F.collect_list(edge)).alias("edges"), *[F.first(c).alias(c) for c in keep]
     )
     none = F.expr("CAST(array() AS array<int>)")
     start = F.array(F.struct(F.array(F.lit(LAST)).alias("key"), none.alias("path")))
 
-    def step(best: Column, j: Column) -> Column:
-        here = F.filter(F.col("edges"), lambda x: x["e"] == j)
-
-        def extend(x: Column) -> Column:
-            before = F.get(best, x["s"])
-            fallback = _bytes_of(F.substring(F.col("fragment"), j, F.lit(1)), pieces)
-            ids = F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(fallback)
-            return F.struct(
-                F.when(F.size(x["key"]) == 0, before["key"])
-                .otherwise(F.array_sort(F.concat(before["key"], x["key"])))
-                .alias("key"),
-                F.concat(before["path"], ids).alias("path"),
+    def step(best: Column, x: Column) -> Column:
+        """Extends the best path to where the edge starts; edges come by their ends."""
+        before = F.get(best, x["s"])
+        fallback = _bytes_of(F.substring(F.col("fragment"), x["e"], F.lit(1)), pieces)
+        ids = F.when(x["id"] >= 0, F.array(x["id"])).otherwise(fallback)
+        key = F.when(F.size(x["key"]) == 0, before["key"]).otherwise(
+            F.sort_array(F.concat(before["key"], x["key"]))
+        )
+
+        def better(c: Column) -> Column:
+            return (
+                F.when(F.size(best) == x["e"], F.concat(best, F.array(c)))
+                .when(c["key"] < F.element_at(best, -1)["key"], F.concat(F.slice(best, 1, x["e"]), F.array(c)))
+                .otherwise(best)
             )
 
-        return F.concat(best, F.array(F.array_min(F.transform(here, extend))))
+        path = F.struct(key.alias("key"), F.concat(before["path"], ids).alias("path"))
+        return F.get(F.transform(F.array(path), better), 0)  # one evaluation of the new path
 
-    folded = F.aggregate(
-        F.sequence(F.lit(1), F.length("fragment")), start, step, lambda best: F.element_at(best, -1)["path"]
-    )
+    folded = F.aggregate("edges", start, step, lambda best: F.element_at(best, -1)["path"])
     by_lattice = lattice.select("fragment", *keep, folded.alias("ids"))
 
     known = spark.sparkContext.broadcast(pieces)
@@ -374,7 +377,8 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
 
         def flush() -> pa.RecordBatch:
             rows = [
-                (b, squeeze("\0".join(f).encode()), squeeze(np.array([len(i) for i in ids], np.int32).tobytes()),
+                (b, squeeze("".join(f).encode()),
+                 squeeze(np.array([[len(x) for x in f], [len(x) for x in ids]], np.int32).tobytes()),
                  squeeze(np.array([x for i in ids for x in i], np.int32).tobytes()))
                 for b, (f, ids) in held.items()
             ]
@@ -411,12 +415,12 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
         own: dict[str, bytes] = {}
         unpack = zstandard.ZstdDecompressor().decompress
         for row in lexicons.to_pylist():
-            sizes = np.frombuffer(unpack(row["sizes"]), np.int32)
-            ids = unpack(row["ids"])
-            ends = (np.cumsum(sizes) * 4).tolist()
-            starts = [0, *ends[:-1]]
-            for f, s, e in zip(unpack(row["fragments"]).decode().split("\0"), starts, ends, strict=True):
-                own[f] = ids[s:e]
+            sizes = np.frombuffer(unpack(row["sizes"]), np.int32).reshape(2, -1)
+            joined, ids = unpack(row["fragments"]).decode(), unpack(row["ids"])
+            at = at_id = 0
+            for n, n_ids in zip(sizes[0].tolist(), (4 * sizes[1]).tolist(), strict=True):
+                own[joined[at : at + n]] = ids[at_id : at_id + n_ids]
+                at, at_id = at + n, at_id + n_ids
         values, counts, same = [], [], []
         for data in docs["data"]:
             text = unpack(data.as_py()).decode(errors="replace")
