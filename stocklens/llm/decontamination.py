@@ -27,6 +27,7 @@ MIN_OVERLAP = 13
 MIN_ITEM = 5
 SIMILARITY = 0.8
 BITS = 24
+SHIFTS = (0, 20, 40)
 WORDS = re.compile(r"\w+")
 
 _FACTORS = np.array([xxhash.xxh64_intdigest(bytes([i])) | 1 for i in range(64)], np.uint64)
@@ -63,8 +64,8 @@ def _seeds(tokens: np.ndarray, mask: str) -> np.ndarray:
     return _mix(total)
 
 
-def _slots(hashes: np.ndarray) -> list[np.ndarray]:
-    return [(hashes >> np.uint64(s)) & np.uint64((1 << BITS) - 1) for s in (0, 20, 40)]
+def _slot(hashes: np.ndarray, shift: int) -> np.ndarray:
+    return ((hashes >> np.uint64(shift)) & np.uint64((1 << BITS) - 1)).view(np.int64)
 
 
 def _longest(same: np.ndarray, similarity: float) -> tuple[int, int, int]:
@@ -144,7 +145,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     short = [r.n for r in sizes.where((F.col("n") < SPAN) & (F.col("n") >= MIN_ITEM)).distinct().collect()]
     masks = _masks(short)
     slot = F.explode(F.array(*[
-        F.shiftrightunsigned("hash", s).bitwiseAND(F.lit((1 << BITS) - 1)) for s in (0, 20, 40)
+        F.shiftrightunsigned("hash", s).bitwiseAND(F.lit((1 << BITS) - 1)) for s in SHIFTS
     ]))
     filled = (
         seeds.select(slot.alias("slot"))
@@ -160,27 +161,38 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         seen, bits = _Words(), known.value
 
         def may_hit(hashes: np.ndarray) -> np.ndarray:
-            at = np.arange(len(hashes))
-            for slots in _slots(hashes):
-                s = slots[at].astype(np.int64)
-                at = at[(bits[s >> 5] >> (s & 31).astype(np.uint32)) & 1 == 1]
+            at = None
+            for shift in SHIFTS:
+                s = _slot(hashes if at is None else hashes[at], shift)
+                hit = (bits[s >> 5] >> (s & 31).astype(np.uint32)) & 1 == 1
+                at = np.flatnonzero(hit) if at is None else at[hit]
             return at
 
+        def hits_of(texts: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            """Document, places and hashes of hits; texts are laid out with gaps that match nothing."""
+            gap = np.zeros(SPAN, np.uint64)
+            line = np.concatenate([x for t in texts for x in (t, gap)])
+            starts = np.cumsum([0, *(len(t) + SPAN for t in texts)])
+            places, hashes = [], []
+            for mask in masks:
+                found = _seeds(line, mask)
+                at = may_hit(found)
+                places.append(at)
+                hashes.append(found[at])
+            places, hashes = np.concatenate(places), np.concatenate(hashes)
+            order = np.argsort(places, kind="stable")
+            places, hashes = places[order], hashes[order]
+            docs = np.searchsorted(starts, places, side="right") - 1
+            for doc in np.unique(docs).tolist():
+                here = slice(*np.searchsorted(docs, [doc, doc + 1]))
+                yield doc, places[here] - starts[doc], hashes[here]
+
         for batch in rows_of(batches):
             out = {"doc_id": [], "start": [], "tokens": [], "hashes": [], "places": []}
-            for doc, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                tokens = _tokens(data.as_py().decode(errors="replace"), seen)
-                places, hashes = [], []
-                for mask in masks:
-                    found = _seeds(tokens, mask)
-                    at = may_hit(found)
-                    places.append(at)
-                    hashes.append(found[at])
-                places, hashes = np.concatenate(places), np.concatenate(hashes)
-                if not len(places):
-                    continue
-                order = np.argsort(places, kind="stable")
-                places, hashes = places[order], hashes[order]
+            ids = batch.column(0).to_pylist()
+            texts = [_tokens(t.as_py().decode(errors="replace"), seen) for t in batch.column(1)]
+            for number, places, hashes in hits_of(texts):
+                doc, tokens = ids[number], texts[number]
                 # hits further apart than the longest item have nothing in common
                 for part in np.split(np.arange(len(places)), np.flatnonzero(np.diff(places) > widest) + 1):
                     first = max(0, int(places[part[0]]) - widest)
