@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,17 @@ from pyspark.sql import functions as F
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per context, wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "stocklens_sent", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/stocklens", "zip", root, "stocklens")
+    context.addPyFile(archive)
+    context.stocklens_sent = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

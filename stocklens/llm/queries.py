@@ -19,7 +19,7 @@ from stocklens.llm import (
     toxicity,
     url_filters,
 )
-from stocklens.llm.common import table
+from stocklens.llm.common import ship, table
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_quality_rules,
         op10_lm_scoring,
     )
-    return {f.__name__: f for f in found}
+
+    def shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return query(spark, sf_dir)
+
+        return run
+
+    return {f.__name__: shipped(f) for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

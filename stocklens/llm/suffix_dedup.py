@@ -134,6 +134,8 @@ def _documents(t: Tuples) -> np.ndarray:
 
 
 def _deal(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of hashes; mixed first, as the grams of anchors are the small ones."""
+    hashes = (hashes ^ (hashes >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     return ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
