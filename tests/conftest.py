@@ -30,7 +30,9 @@ def _value(value, kind: T.DataType):
     if isinstance(kind, T.DateType):
         return dt.date.fromisoformat(value) if isinstance(value, str) else value
     if isinstance(kind, T.TimestampNTZType):
-        return dt.datetime.fromisoformat(value) if isinstance(value, str) else value
+        if isinstance(value, str):
+            return dt.datetime.fromisoformat(value)
+        return value if isinstance(value, dt.datetime) else dt.datetime.combine(value, dt.time())
     if isinstance(kind, T.DoubleType):
         return float(value)
     return value
