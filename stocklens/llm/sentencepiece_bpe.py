@@ -40,8 +40,8 @@ PLACES = 1 << 7
 LAST = (1 << 31) - 1
 LONG = 120  # characters; longer fragments are merged by a heap
 CUT = 32  # from here on fragments are also cut between characters that no piece has together
-HOT = 1 << 18
-BUCKET = 1 << 24  # bytes of text meant for a bucket
+HOT = 1 << 17
+BUCKET = 1 << 22  # bytes of text meant for a bucket
 
 _FRAGMENTS = re.compile(rf"{SPACE}*(?:[^\W\d]+|\d|[^\w{SPACE}]+)|{SPACE}+")
 _WORDS = re.compile(rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -126,7 +126,7 @@ def fragments(text: str, pieces: Pieces) -> list[str]:
             found += [word] if whole else _FRAGMENTS.findall(word)
     else:
         found = _FRAGMENTS.findall(marked)
-    if any(len(f) > CUT for f in found):
+    if max(map(len, found)) > CUT:
         found = [p for f in found for p in (_cut(f, pieces.pairs) if len(f) > CUT else (f,))]
     return found
 
@@ -206,15 +206,14 @@ def _bytes_of(c: Column, pieces: Pieces) -> Column:
 def encoded_fragments(distinct: DataFrame, pieces: Pieces, carried: str | None = None) -> DataFrame:
     """fragment and ids of distinct fragments, with the column ``carried`` if named.
 
-    ``distinct`` should come from an aggregation by fragment; then the grouping
-    of edges needs no shuffle. The piece table is broadcast: a model's
-    vocabulary does not grow with the corpus.
+    Fragments have at most ``LONG`` characters. ``distinct`` should be dealt by
+    fragment already; then the grouping of edges needs no shuffle. The piece
+    table is broadcast: a model's vocabulary does not grow with the corpus.
     """
     spark = distinct.sparkSession
     keep = [carried] if carried else []
-    short = distinct.where(F.length("fragment") <= LONG)
     span = F.explode(F.sequence(F.lit(0), F.length("fragment") - 1)).alias("s")
-    starts = short.select("fragment", *keep, span)
+    starts = distinct.select("fragment", *keep, span)
     size = F.explode(
         F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("fragment") - F.col("s")))
     ).alias("size")
@@ -255,21 +254,7 @@ def encoded_fragments(distinct: DataFrame, pieces: Pieces, carried: str | None =
         return F.get(F.transform(F.array(path), better), 0)  # one evaluation of the new path
 
     folded = F.aggregate("edges", start, step, lambda best: F.element_at(best, -1)["path"])
-    by_lattice = lattice.select("fragment", *keep, folded.alias("ids"))
-
-    known = spark.sparkContext.broadcast(pieces)
-    kinds = {f.name: f.dataType.simpleString() for f in distinct.schema.fields}
-    names = ["fragment", *keep]
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = known.value
-        for batch in rows_of(batches):
-            ids = [_ids(merges(f, p.ranks)[0], p) for f in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*names, "ids"])
-
-    schema = ", ".join(f"{n} {kinds[n]}" for n in names) + ", ids array<int>"
-    by_heap = distinct.where(F.length("fragment") > LONG).select(*names).mapInArrow(merge, schema)
-    return by_lattice.union(by_heap)
+    return lattice.select("fragment", *keep, folded.alias("ids"))
 
 
 # ---- documents --------------------------------------------------------------------------
@@ -295,7 +280,7 @@ def _frequent(docs: DataFrame, pieces: Pieces, bound: int) -> DataFrame:
         found: Counter = Counter()
         for batch in rows_of(batches):
             for data in batch.column(0):
-                found.update(fragments(_text(data), known.value))
+                found.update(f for f in fragments(_text(data), known.value) if len(f) <= LONG)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["fragment", "n"]
         )
@@ -310,10 +295,25 @@ def _frequent(docs: DataFrame, pieces: Pieces, bound: int) -> DataFrame:
     )
 
 
-def _lexicon(encoded: DataFrame) -> dict[str, bytes]:
-    """At most HOT fragments with their ids as packed numbers."""
+class Lexicon(dict):
+    """Frequent fragments with their ids as packed numbers; asks ``others`` for the rest."""
+
+    def __init__(self, entries: Iterable, pieces: Pieces):
+        super().__init__(entries)
+        self.pieces, self.others = pieces, {}
+
+    def __missing__(self, fragment: str) -> bytes:
+        if len(fragment) > LONG:
+            ids = _ids(merges(fragment, self.pieces.ranks)[0], self.pieces)
+            return np.array(ids, np.int32).tobytes()
+        return self.others[fragment]
+
+
+def _lexicon(encoded: DataFrame, pieces: Pieces) -> Lexicon:
+    """At most HOT fragments."""
     table = encoded.toArrow()
-    return {f: np.array(i, np.int32).tobytes() for f, i in zip(table["fragment"].to_pylist(), table["ids"].to_pylist(), strict=True)}
+    ids = (np.array(i, np.int32).tobytes() for i in table["ids"].to_pylist())
+    return Lexicon(zip(table["fragment"].to_pylist(), ids, strict=True), pieces)
 
 
 
@@ -330,7 +330,7 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
     context = spark.sparkContext
     model = context.broadcast(pieces)
     frequent = _frequent(docs, pieces, bound).repartition(F.col("fragment"))
-    lexicon = _lexicon(stored(encoded_fragments(frequent, pieces), "frequent"))
+    lexicon = _lexicon(stored(encoded_fragments(frequent, pieces), "frequent"), pieces)
     known = context.broadcast(lexicon)
 
     source = texts_of(docs)
@@ -353,17 +353,19 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
         for batch in rows_of(batches):
             for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = _text(data)
-                more = set(fragments(text, p)).difference(lex)
+                more = [f for f in set(fragments(text, p)).difference(lex) if len(f) <= LONG]
                 seen.setdefault(bucket, set()).update(more)
                 held += len(more)
-            if held > 500_000:
+            if held > 150_000:
                 yield from flush()
                 seen, held = {}, 0
         yield from flush()
 
+    # as many partitions as buckets, so that a partition's edges are sorted in memory
     wanted = (
         dealt.select("bucket", "data")
         .mapInArrow(rare, "bucket int, fragment string")
+        .repartition(buckets, "fragment")
         .groupBy("fragment")
         .agg(F.collect_set("bucket").alias("buckets"))
     )
@@ -412,7 +414,7 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
 
     def assemble(docs: pa.Table, lexicons: pa.Table) -> pa.Table:
         p, lex = model.value, known.value
-        own: dict[str, bytes] = {}
+        own = lex.others = {}
         unpack = zstandard.ZstdDecompressor().decompress
         for row in lexicons.to_pylist():
             sizes = np.frombuffer(unpack(row["sizes"]), np.int32).reshape(2, -1)
@@ -424,7 +426,7 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
         values, counts, same = [], [], []
         for data in docs["data"]:
             text = unpack(data.as_py()).decode(errors="replace")
-            ids = b"".join([lex[f] if f in lex else own[f] for f in fragments(text, p)])
+            ids = b"".join(map(lex.__getitem__, fragments(text, p)))
             values.append(ids)
             counts.append(len(ids) // 4)
             same.append(decode(np.frombuffer(ids, np.int32).tolist(), p) == text)
