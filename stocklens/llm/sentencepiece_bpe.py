@@ -231,29 +231,44 @@ def encoded_fragments(distinct: DataFrame, pieces: Pieces, carried: str | None =
     lattice = joined.groupBy("fragment").agg(
         F.sort_array(F.collect_list(edge)).alias("edges"), *[F.first(c).alias(c) for c in keep]
     )
-    none = F.expr("CAST(array() AS array<int>)")
-    start = F.array(F.struct(F.array(F.lit(LAST)).alias("key"), none.alias("path")))
+    start = F.array(F.struct(F.array(F.lit(LAST)).alias("key"), F.lit(0).alias("s"), F.lit(-1).alias("id")))
 
     def step(best: Column, x: Column) -> Column:
         """Extends the best path to where the edge starts; edges come by their ends."""
-        before = F.get(best, x["s"])
-        fallback = _bytes_of(F.substring(F.col("fragment"), x["e"], F.lit(1)), pieces)
-        ids = F.when(x["id"] >= 0, F.array(x["id"])).otherwise(fallback)
-        key = F.when(F.size(x["key"]) == 0, before["key"]).otherwise(
-            F.sort_array(F.concat(before["key"], x["key"]))
-        )
+        before = F.get(best, x["s"])["key"]
+        key = F.when(F.size(x["key"]) == 0, before).otherwise(F.sort_array(F.concat(before, x["key"])))
 
         def better(c: Column) -> Column:
             return (
                 F.when(F.size(best) == x["e"], F.concat(best, F.array(c)))
-                .when(c["key"] < F.element_at(best, -1)["key"], F.concat(F.slice(best, 1, x["e"]), F.array(c)))
+                .when(c["key"] < F.get(best, x["e"])["key"], F.concat(F.slice(best, 1, x["e"]), F.array(c)))
                 .otherwise(best)
             )
 
-        path = F.struct(key.alias("key"), F.concat(before["path"], ids).alias("path"))
-        return F.get(F.transform(F.array(path), better), 0)  # one evaluation of the new path
+        here = F.struct(key.alias("key"), x["s"].alias("s"), x["id"].alias("id"))
+        return F.get(F.transform(F.array(here), better), 0)  # one evaluation of the new path
 
-    folded = F.aggregate("edges", start, step, lambda best: F.element_at(best, -1)["path"])
+    def back(acc: Column, x: Column) -> Column:
+        """Follows the starts of the last pieces from the end; ``acc.left`` ends are still ahead."""
+        piece = F.struct(x["id"].alias("id"), acc["at"].alias("e"))
+        taken = F.struct(
+            (acc["left"] - 1).alias("left"), x["s"].alias("at"), F.concat(F.array(piece), acc["out"]).alias("out")
+        )
+        passed = F.struct((acc["left"] - 1).alias("left"), acc["at"].alias("at"), acc["out"].alias("out"))
+        return F.when(acc["left"] == acc["at"], taken).otherwise(passed)
+
+    n = F.length("fragment")
+    none = F.expr("CAST(array() AS array<struct<id:int,e:int>>)")
+    best = F.aggregate("edges", start, step)
+    ends = F.struct(n.alias("left"), n.alias("at"), none.alias("out"))
+    path = F.aggregate(F.reverse(F.slice(best, 2, n)), ends, back, lambda acc: acc["out"])
+    lattice = lattice.select("fragment", *keep, path.alias("path"))
+    character = lambda x: F.substring(F.col("fragment"), x["e"], F.lit(1))
+    with_bytes = F.flatten(F.transform(
+        "path", lambda x: F.when(x["id"] >= 0, F.array(x["id"])).otherwise(_bytes_of(character(x), pieces))
+    ))
+    unknown = F.exists("path", lambda x: x["id"] < 0)
+    folded = F.when(unknown, with_bytes).otherwise(F.transform("path", lambda x: x["id"]))
     return lattice.select("fragment", *keep, folded.alias("ids"))
 
 
