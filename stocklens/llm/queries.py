@@ -42,7 +42,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"), with_kept=False)
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -357,8 +357,8 @@ def _kept(data: bytes, first: np.ndarray, last: np.ndarray) -> tuple[int, int, b
     return int(gone.sum()), spans, np.frombuffer(data, np.uint8)[~gone].tobytes()
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept bytes of every document.
+def deduplicated(docs: DataFrame, with_kept: bool = True) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept bytes of every document.
 
     A byte goes if a string of 100 bytes that covers it starts earlier too: in
     a smaller doc_id, or further left in the same document. Null text counts as
@@ -386,7 +386,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), zero, zero,
-                    pa.array([hashlib.sha256(t).hexdigest() for t in texts]), pa.array(texts, pa.binary()),
+                    pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
+                    pa.array(texts if with_kept else [b""] * len(texts), pa.binary()),
                 ],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
@@ -402,7 +403,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             at = here.get((row.id, row.text), slice(0, 0))
             removed, spans, kept = _kept(row.data, t.first[at], t.last[at])
             out.append([
-                None if row.missing else row.id, len(row.data), removed, spans, hashlib.sha256(kept).hexdigest(), kept,
+                None if row.missing else row.id, len(row.data), removed, spans, hashlib.sha256(kept).hexdigest(),
+                kept if with_kept else b"",
             ])
         frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
         return frame.astype({"doc_id": "Int64"})
@@ -411,4 +413,5 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     untouched = _dealt(source, marks, buckets, False).mapInArrow(whole, schema)
     touched = _dealt(source, marks, buckets, True)
     changed = touched.groupBy("bucket").cogroup(ranges.groupBy("bucket")).applyInPandas(cut, schema)
-    return untouched.union(changed)
+    found = untouched.union(changed)
+    return found if with_kept else found.drop("kept")
