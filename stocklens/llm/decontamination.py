@@ -20,9 +20,21 @@ from pyspark.sql import functions as F
 
 from stocklens.llm.common import rows_of, stored, texts_of
 
-# Fixed masks over 12 words, 8 of which count. The last is without gaps.
-MASKS = ("110110010111", "111010011011", "101100111011", "000111111110")
-SPAN = 12
+# Fixed masks of seven words each. Wherever replaced words lie in a stretch of 13
+# to 25 words, at most a fifth of them, one mask meets none; a longer stretch can
+# be cut into such pieces, one of which has its share. Tests try all places.
+MASKS = ("11011111", "111101011", "11001000011011", "1110010001011", "111000100111")
+# The same for items that count only as a whole, by their number of words.
+SHORT_MASKS = {
+    5: ("1111", "10111", "11011", "11101"),
+    6: ("11101", "100111"),
+    7: ("111011", "1101101", "101111"),
+    8: ("111011", "11011001"),
+    9: ("1111011", "110011101"),
+    10: ("1111011", "11001111", "1110100011", "1101010101", "10110111"),
+    11: ("1101111", "1100011011", "111100011"),
+    12: ("11011111", "111101011", "11000110111", "111110000011"),
+}
 MIN_OVERLAP = 13
 MIN_ITEM = 5
 SIMILARITY = 0.8
@@ -81,9 +93,9 @@ def _longest(same: np.ndarray, similarity: float) -> tuple[int, int, int]:
     return start, end, int(equal[end] - equal[start])
 
 
-def _masks(short: list[int]) -> list[str]:
-    """The fixed masks, and a full one for each length of items shorter than a mask."""
-    return [*MASKS, *("1" * n for n in sorted(short))]
+def _masks(lengths: list[int]) -> list[str]:
+    """The masks for items of these numbers of words, each once."""
+    return list(dict.fromkeys(m for n in sorted(lengths, reverse=True) for m in SHORT_MASKS.get(n, MASKS)))
 
 
 def _item_seeds(items: DataFrame) -> DataFrame:
@@ -97,7 +109,7 @@ def _item_seeds(items: DataFrame) -> DataFrame:
                 tokens = _tokens(data.as_py().decode(errors="replace"), seen)
                 n = len(tokens)
                 found, at = [], []
-                for mask in MASKS if n >= SPAN else ("1" * n,) if n >= MIN_ITEM else ():
+                for mask in _masks([n]) if n >= MIN_ITEM else ():
                     seeds = _seeds(tokens, mask)
                     found += seeds.view(np.int64).tolist()
                     at += range(len(seeds))
@@ -131,8 +143,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     reported under null, and repeated rows once.
 
     What is broadcast is a bit table of fixed size (2 MB) over the items'
-    hashes, the number of words in the longest item, and the lengths under 12
-    words. It only spares rows; the join on the hashes decides.
+    hashes, the number of words in the longest item, and the masks for the
+    lengths that occur. It only spares rows; the join on the hashes decides.
     """
     spark = docs.sparkSession
     items = stored(_item_seeds(items), "items")
@@ -142,8 +154,9 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     sizes = items.select((F.length("tokens") / 8).cast("int").alias("n"))
     widest = sizes.agg(F.max("n")).first()[0] or 0
-    short = [r.n for r in sizes.where((F.col("n") < SPAN) & (F.col("n") >= MIN_ITEM)).distinct().collect()]
-    masks = _masks(short)
+    cut = F.least("n", F.lit(MIN_OVERLAP)).alias("n")
+    masks = _masks([r.n for r in sizes.where(F.col("n") >= MIN_ITEM).select(cut).distinct().collect()])
+    span = max(map(len, masks), default=0)
     slot = F.explode(F.array(*[
         F.shiftrightunsigned("hash", s).bitwiseAND(F.lit((1 << BITS) - 1)) for s in SHIFTS
     ]))
@@ -170,15 +183,17 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         def hits_of(texts: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             """Document, places and hashes of hits; texts are laid out with gaps that match nothing."""
-            gap = np.zeros(SPAN, np.uint64)
+            gap = np.zeros(span, np.uint64)
             line = np.concatenate([x for t in texts for x in (t, gap)])
-            starts = np.cumsum([0, *(len(t) + SPAN for t in texts)])
+            starts = np.cumsum([0, *(len(t) + span for t in texts)])
             places, hashes = [], []
             for mask in masks:
                 found = _seeds(line, mask)
                 at = may_hit(found)
                 places.append(at)
                 hashes.append(found[at])
+            if not masks:
+                return
             places, hashes = np.concatenate(places), np.concatenate(hashes)
             order = np.argsort(places, kind="stable")
             places, hashes = places[order], hashes[order]
@@ -198,7 +213,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                     first = max(0, int(places[part[0]]) - widest)
                     out["doc_id"].append(doc)
                     out["start"].append(first)
-                    out["tokens"].append(tokens[first : int(places[part[-1]]) + SPAN + widest].tobytes())
+                    out["tokens"].append(tokens[first : int(places[part[-1]]) + span + widest].tobytes())
                     out["hashes"].append(hashes[part].view(np.int64).tolist())
                     out["places"].append((places[part] - first).tolist())
             yield pa.RecordBatch.from_arrays(

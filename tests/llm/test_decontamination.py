@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -83,3 +84,27 @@ def test_query_finds_every_copied_item(spark):
     words = lambda t: " ".join(decontamination.WORDS.findall(t.lower()))
     whole = {(d.doc_id, i.item_id) for d in texts for i in items if words(i.text) in words(d.text)}
     assert whole <= set(found)
+
+
+def test_a_mask_meets_only_kept_words_wherever_words_are_replaced():
+    for n in range(5, 26):
+        masks = [(len(m), int(m[::-1], 2)) for m in decontamination._masks([n])]
+        places = [kept << at for length, kept in masks for at in range(n - length + 1)]
+        replaced = [sum(1 << i for i in at) for at in itertools.combinations(range(n), n // 5)]
+        assert not [r for r in replaced if all(r & p for p in places)], n
+
+
+def test_replaced_words_at_every_place_are_found(spark, docs):
+    lengths = [*range(5, 14), 15]
+    originals = {n: [f"{chr(96 + n)}{k}" for k in range(n)] for n in lengths}
+    items = spark.createDataFrame([(n, " ".join(w)) for n, w in originals.items()], "item_id long, text string")
+    texts, expected = [], {}
+    for n, words in originals.items():
+        for at in itertools.combinations(range(n), n // 5):
+            text = " ".join("new" if k in at else w for k, w in enumerate(words))
+            texts.append((len(texts), f"some words {text} and more"))
+            expected[len(texts) - 1, n] = plain_hits(texts[-1][1], " ".join(words))
+    assert None not in expected.values()
+    assert _found(decontamination.contaminated(docs(*texts), items)) == expected
+    few = items.where("item_id = 5")
+    assert set(_found(decontamination.contaminated(docs(*texts), few))) == {(d, n) for d, n in expected if n == 5}
