@@ -3,10 +3,12 @@
 Base rules find spans that pass a check of their kind. Generators of high
 recall propose spans that may overlap each other and the base, such as a phone
 number whose match the base rule ran on into the number after it. Boosted trees
-score every proposal by its format and context. They learn from the proposals
-themselves, those that equal a base span being the positive ones; a threshold
-per kind is calibrated on proposals kept out of the fit. Proposals that reach
-it join the base spans.
+score every proposal by its format and context. They learn from proposals that
+equal a base span, from base spans rewritten in the spellings the base does not
+know, and, as negative ones, from proposals and rewritten spans that fail the
+check of their kind or stand in a token; all others have no label. A threshold
+per kind is calibrated on labelled spans kept out of the fit. Proposals that
+reach it join the base spans.
 
 Everything here is DataFrame expressions. Spans are code points, end exclusive.
 """
@@ -49,14 +51,14 @@ GENERATORS = (
     ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])", r"[0-9]{13}"),
     ("card", r"(?<![0-9])3[47][0-9]{2}[\x20-]?[0-9]{6}[\x20-]?[0-9]{5}(?![0-9])", r"[0-9](?:[\x20-]?[0-9]){12}"),
     ("phone", r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{4}(?![0-9])", r"\+[0-9]"),
-    ("phone", r"(?<![0-9+.])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.])", r"[0-9][\x20.-][0-9]{3}[\x20.-][0-9]{4}"),
+    ("phone", r"(?<![0-9+.])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.])", r"[0-9]\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
 )
 
 SPAN = "array<struct<s:int,e:int,m:string>>"
 FEATURES = (
-    "kind", "length", "digits", "separators", "luhn", "octets", "before", "after", "plus",
-    "brackets", "digits_before", "digits_after", "cue", "dots", "at", "digit_groups",
+    "kind", "length", "digits", "separators", "luhn", "octets", "before", "after",
+    "brackets", "digits_before", "digits_after", "cue", "dots", "digit_groups",
 )
 
 
@@ -137,13 +139,11 @@ def _features(kind: str, x: Column, text: Column) -> Column:
         "octets": truth(F.rlike(m, F.lit(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"))),
         "before": _side(F.when(s == 0, "").otherwise(F.substring(text, s, F.lit(1)))),
         "after": _side(F.substring(text, e + 1, F.lit(1))),
-        "plus": truth(m.startswith("+")),
         "brackets": truth(m.contains("(")),
         "digits_before": F.length(_digits(before)),
         "digits_after": F.length(_digits(after)),
         "cue": truth(F.rlike(before, F.lit(r"(?i)(?:token|secret|key|id|no\.?)\W*$"))),
         "dots": F.least(F.length(F.regexp_replace(m, "[^.]", "")), F.lit(9)),
-        "at": truth(m.contains("@")),
         "digit_groups": F.least(F.size(F.split(m, "[^0-9]+")), F.lit(12)),
     }
     return F.array(*[values[name].cast("int") for name in FEATURES])
@@ -152,8 +152,62 @@ def _features(kind: str, x: Column, text: Column) -> Column:
 PROPOSAL = "array<struct<kind:int,s:int,e:int,f:array<int>,y:int>>"
 
 
+NO_LABEL = -1
+
+
+def _label(kind: str, x: Column, f: Column, base: Column) -> Column:
+    """1 for a base span, 0 for what fails its check or stands in a word or token, else no label.
+
+    What overlaps a base span without being one has none: it cannot be chosen.
+    """
+    before, after, cue = (f[FEATURES.index(name)] for name in ("before", "after", "cue"))
+    inside = (before == 2) | (after == 2) if kind != "email" else F.lit(False)
+    return (
+        F.when(F.exists(base, lambda b: (b["s"] == x["s"]) & (b["e"] == x["e"])), 1)
+        .when(F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])), NO_LABEL)
+        .when(~_passes(kind, x["m"]) | inside | ((before == 4) & (cue == 1)), 0)
+        .otherwise(NO_LABEL)
+    )
+
+
+def _rewritten(kind: str, m: Column) -> list[tuple[Column, int]]:
+    """Other spellings of a base span, and corrupt ones that fail its check, with their labels."""
+    if kind == "email":
+        name, host = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
+        return [
+            (F.concat(name, F.lit(f" {a}at{z} "), F.replace(host, F.lit("."), F.lit(f" {a}dot{z} "))), 1)
+            for a, z in ("()", "[]")
+        ]
+    if kind == "ip":
+        return [(F.regexp_replace(m, "^[0-9]+", "999"), 0)]
+    if kind == "card":
+        last = F.pmod(F.right(m, F.lit(1)).cast("int") + 1, F.lit(10)).cast("string")
+        return [(F.concat(F.left(m, F.length(m) - 1), last), 0)]
+    return [
+        (F.regexp_replace(m, r"^\+[0-9]{1,3}[\x20.-]?", ""), 1),
+        (F.concat(m, F.lit(" 190.137.223.204")), 0),  # run on
+    ]
+
+
+def _taught(kind: str, base: Column, text: Column) -> list[Column]:
+    """Rewritten base spans in the places of the base spans, where a generator would propose them."""
+    generated = "|".join(f"(?:{p})" for k, p, _ in GENERATORS if k == kind)
+
+    def spans(number: int, label: int) -> Column:
+        written = F.transform(
+            base, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), _rewritten(kind, x["m"])[number][0].alias("m"))
+        )
+        whole = F.filter(written, lambda x: F.rlike(x["m"], F.lit(f"^(?:{generated})$")))
+        return F.transform(whole, lambda x: F.struct(
+            F.lit(KINDS.index(kind)).alias("kind"), x["s"].alias("s"), x["e"].alias("e"),
+            _features(kind, x, text).alias("f"), F.lit(label).alias("y"),
+        ))
+
+    return [spans(i, y) for i, (_, y) in enumerate(_rewritten(kind, F.lit("")))]
+
+
 def with_proposals(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with base_ (spans of each kind) and proposed_ (kind, span, features, label)."""
+    """``docs`` with base_ (spans of each kind), proposed_ (kind, span, features, label) and taught_ (the same)."""
     t = F.coalesce(F.col(text), F.lit(""))
     base = F.struct(*[
         F.filter(_found(t, PATTERNS[k], GATES[k]), _passing(k)).alias(k) for k in KINDS
@@ -162,16 +216,21 @@ def with_proposals(docs: DataFrame, text: str) -> DataFrame:
 
     def proposals(kind: str, pattern: str, gate: str) -> Column:
         known = F.col("base_")[kind]
-        return F.transform(
+        described = F.transform(
             _found(t, pattern, gate),
+            lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), _features(kind, x, t).alias("f")),
+        )
+        return F.transform(
+            described,
             lambda x: F.struct(
-                F.lit(KINDS.index(kind)).alias("kind"), x["s"].alias("s"), x["e"].alias("e"),
-                _features(kind, x, t).alias("f"),
-                F.when(F.exists(known, lambda b: (b["s"] == x["s"]) & (b["e"] == x["e"])), 1).otherwise(0).alias("y"),
+                F.lit(KINDS.index(kind)).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["f"].alias("f"),
+                _label(kind, x, x["f"], known).alias("y"),
             ),
         )
 
     parts = [proposals(*g).cast(PROPOSAL) for g in GENERATORS]
+    taught = [x.cast(PROPOSAL) for k in KINDS for x in _taught(k, F.col("base_")[k], t)]
+    docs = docs.withColumn("taught_", F.concat(*taught))
     plain = F.struct(*[
         F.transform(F.col("base_")[k], lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in KINDS
     ])
@@ -263,16 +322,18 @@ def _grown(rows: DataFrame, depth: int, rate: float, ridge: float, least: float)
 
 
 def fit(proposed: DataFrame, bound: int = 20_000, trees: int = 6, depth: int = 3, precision: float = 0.95) -> Boosted:
-    """Trees and thresholds of at most ``bound`` proposals, picked by a hash.
+    """Trees and thresholds of at most ``bound`` labelled proposals, picked by a hash.
 
-    ``proposed`` has proposed_ by document. A fourth of the proposals sets the
+    ``proposed`` has proposed_ and taught_ by document; a rewritten span falls on
+    the same side as its original. A fourth of the proposals sets the
     thresholds: for each kind the least margin from which ``precision`` of them
     are positive. A kind without enough proposals selects none.
     """
-    rows = proposed.select("doc_id", F.explode("proposed_").alias("p")).select(
+    labelled = F.filter(F.concat("proposed_", "taught_"), lambda p: p["y"] != NO_LABEL)
+    rows = proposed.select("doc_id", F.explode(labelled).alias("p")).select(
         "p.kind", "p.f", "p.y", F.xxhash64("doc_id", "p.s", "p.e", "p.kind").alias("pick")
     )
-    rows = stored(rows.orderBy("pick").limit(bound), "proposals")
+    rows = stored(rows.orderBy("pick", "f", "y").limit(bound), "proposals")
     learn = rows.where(F.pmod("pick", F.lit(4)) != 3)
     counts = learn.agg(F.count("*").alias("n"), F.sum("y").alias("y")).first()
     if not counts.n or not 0 < counts.y < counts.n:
@@ -351,7 +412,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     other than doc_id and text are not read.
     """
     proposed = stored(
-        with_proposals(docs.select("doc_id", "text"), "text").select("doc_id", "base_", "proposed_"), "pii"
+        with_proposals(docs.select("doc_id", "text"), "text").select("doc_id", "base_", "proposed_", "taught_"), "pii"
     )
     found = with_spans(proposed, fit(proposed))
     return found.select(
@@ -370,7 +431,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     and rows stay as they are; null text stays null.
     """
     learned = stored(
-        with_proposals(docs.select("doc_id", "text"), "text").select("doc_id", "proposed_"), "pii"
+        with_proposals(docs.select("doc_id", "text"), "text").select("doc_id", "proposed_", "taught_"), "pii"
     )
     found = with_spans(with_proposals(docs, "text"), fit(learned))
     by_place = F.array_sort(F.transform(

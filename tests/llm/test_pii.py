@@ -115,3 +115,17 @@ def test_redaction(docs, prose):
                 expected = re.sub(pattern, f"[{kind.upper()}]", expected)
         assert found[i].text == expected
     assert pii.redacted(df.limit(0)).count() == 0
+
+
+def test_spellings_the_base_does_not_know_are_added(docs, prose):
+    rows = _filled(prose) + [
+        (3000, "call (017) 555-7713 now"), (3001, "write to jo.doe (at) mail (dot) example (dot) org please"),
+        (3002, "order 4539148803436468 and host 256.1.1.1 here"), (3003, 'secret = "a1234567890123456b"'),
+    ]
+    found = _check(pii.personal_data(docs(*rows)), rows)
+    assert found[3000] == "phone:5:19"
+    assert found[3001] == "email:9:49"
+    assert found[3002] == found[3003] == ""
+    out = {r.doc_id: r.text for r in pii.redacted(docs(*rows)).collect()}
+    assert out[3000] == "call [PHONE] now"
+    assert out[3001] == "write to [EMAIL] please"
