@@ -322,19 +322,24 @@ def _grown(rows: DataFrame, depth: int, rate: float, ridge: float, least: float)
 
 
 def fit(proposed: DataFrame, bound: int = 20_000, trees: int = 6, depth: int = 3, precision: float = 0.95) -> Boosted:
-    """Trees and thresholds of at most ``bound`` labelled proposals, picked by a hash.
+    """Trees of at most ``bound`` labelled proposals, and thresholds of all kept out of the fit.
 
     ``proposed`` has proposed_ and taught_ by document; a rewritten span falls on
-    the same side as its original. A fourth of the proposals sets the
-    thresholds: for each kind the least margin from which ``precision`` of them
-    are positive. A kind without enough proposals selects none.
+    the same side as its original. Each kind has its own share of ``bound``,
+    picked by a hash from three fourths of the proposals. All of the last fourth
+    sets the thresholds: for each kind the least margin from which ``precision``
+    of them are positive. A kind without enough proposals selects none.
     """
     labelled = F.filter(F.concat("proposed_", "taught_"), lambda p: p["y"] != NO_LABEL)
     rows = proposed.select("doc_id", F.explode(labelled).alias("p")).select(
         "p.kind", "p.f", "p.y", F.xxhash64("doc_id", "p.s", "p.e", "p.kind").alias("pick")
     )
-    rows = stored(rows.orderBy("pick", "f", "y").limit(bound), "proposals")
-    learn = rows.where(F.pmod("pick", F.lit(4)) != 3)
+    inside = F.pmod("pick", F.lit(4)) != 3
+    shares = [
+        rows.where(inside & (F.col("kind") == k)).orderBy("pick", "f", "y").limit(bound // len(KINDS))
+        for k in range(len(KINDS))
+    ]
+    learn = stored(reduce(DataFrame.union, shares), "proposals")
     counts = learn.agg(F.count("*").alias("n"), F.sum("y").alias("y")).first()
     if not counts.n or not 0 < counts.y < counts.n:
         return Boosted((), -10.0 if not counts.y else 0.0, {})
@@ -348,7 +353,7 @@ def fit(proposed: DataFrame, bound: int = 20_000, trees: int = 6, depth: int = 3
         )
     model = Boosted(tuple(grown), offset, {})
     margins = (
-        rows.where(F.pmod("pick", F.lit(4)) == 3)
+        rows.where(~inside)
         .groupBy("kind", F.round(model.margin(F.col("f")), 9).alias("margin"))
         .agg(F.count("*").alias("n"), F.sum("y").alias("y"))
         .collect()  # a row for each kind and set of leaves

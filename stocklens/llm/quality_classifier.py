@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from stocklens.llm.common import rows_of, stored, texts_of
 
 BUCKETS = 1 << 14
+STEPS = 1 << 16
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -114,12 +115,22 @@ def fit_ordinal(
     return OrdinalModel(theta[:BUCKETS].astype(np.float32), thresholds())
 
 
+def _held_out() -> Column:
+    """Whether a document is in the fourth that is kept out of the fit."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 3
+
+
+def _graded(ratings: DataFrame, grade: str) -> DataFrame:
+    """doc_id and its least grade."""
+    rated = ratings.where(F.col("doc_id").isNotNull() & F.col(grade).isNotNull())
+    return rated.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(grade).cast("int").alias("grade"))
+
+
 def rated_rows(docs: DataFrame, ratings: DataFrame, grade: str, bound: int) -> DataFrame:
-    """doc_id, data and ``grade`` of at most ``bound`` rated texts, picked by the hash of their id."""
+    """doc_id, data and ``grade`` of at most ``bound`` rated texts of the fit, picked by the hash of their id."""
     picked = (
-        ratings.where(F.col("doc_id").isNotNull() & F.col(grade).isNotNull())
-        .groupBy("doc_id")
-        .agg(F.min(grade).cast("int").alias("grade"))
+        _graded(ratings, grade)
+        .where(~_held_out())
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(bound)
         .select(F.col("doc_id").alias("picked_"), "grade")
@@ -133,10 +144,10 @@ def fit(
 ) -> OrdinalModel:
     """The model of a bounded sample of rated texts, fitted in one task.
 
-    Grades are whole numbers from 0. A quarter of the sample is kept out of the
-    fit; the limit is set there, so that at most ``lost_good`` of the texts with
-    a grade in the upper half would be rejected, and is 0.5 at most. Without
-    ratings, or with one grade alone, the model accepts every text.
+    Grades are whole numbers from 0. A quarter of the rated texts is kept out of
+    the fit; the limit is set on all of them, so that at most ``lost_good`` of the
+    texts with a grade in the upper half would be rejected, and is 0.5 at most.
+    Without ratings, or with one grade alone, the model accepts every text.
     """
     rows = stored(rated_rows(docs, ratings, grade, bound), "rated")
 
@@ -158,44 +169,51 @@ def fit(
         sample = sample.sort_values(["pick", "index", "values"], kind="stable")
         grades = np.maximum(sample["grade"].to_numpy(), 0)
         top = int(grades.max())
-        out = np.arange(len(sample)) % 4 == 3
-        if len(set(grades[~out])) < 2 or not out.any():
-            return pd.DataFrame({"weights": [b""], "thresholds": [b""], "limit": [0.0]})
+        if len(set(grades)) < 2:
+            return pd.DataFrame({"weights": [b""], "thresholds": [b""]})
         index = [np.frombuffer(x, np.int32) for x in sample["index"]]
         values = [np.frombuffer(x, np.float32) for x in sample["values"]]
-        inside = np.flatnonzero(~out)
         model = fit_ordinal(
-            np.concatenate([index[i] for i in inside]),
-            np.concatenate([values[i] for i in inside]).astype(float),
-            np.cumsum([len(index[i]) for i in inside]),
-            grades[inside],
-            top,
+            np.concatenate(index), np.concatenate(values).astype(float), np.cumsum([len(i) for i in index]), grades, top
         )
-        upper = upper_grade(top)
-        good = [
-            tail(model, float(model.weights[index[i]] @ values[i]), upper)
-            for i in np.flatnonzero(out & (grades >= upper))
-        ]
-        limit = min(0.5, float(np.quantile(good, lost_good))) if good else 0.0
-        return pd.DataFrame({
-            "weights": [model.weights.tobytes()],
-            "thresholds": [model.thresholds.tobytes()],
-            "limit": [limit],
-        })
+        return pd.DataFrame({"weights": [model.weights.tobytes()], "thresholds": [model.thresholds.tobytes()]})
 
     pick = F.xxhash64("doc_id").alias("pick")
     found = (
         rows.select("data", "grade", pick)
         .mapInArrow(featured, "index binary, values binary, grade int, pick long")
         .groupBy(F.lit("all").alias("all"))
-        .applyInPandas(fitted, "weights binary, thresholds binary, limit double")
+        .applyInPandas(fitted, "weights binary, thresholds binary")
         .first()
     )
     if found is None or not found.weights:
         return OrdinalModel(np.zeros(BUCKETS, np.float32), np.zeros(1), 0.0)
-    return OrdinalModel(
-        np.frombuffer(found.weights, np.float32), np.frombuffer(found.thresholds), found.limit
+    model = OrdinalModel(np.frombuffer(found.weights, np.float32), np.frombuffer(found.thresholds))
+    model.limit = min(0.5, _lowest(docs, _graded(ratings, grade), model, lost_good))
+    return model
+
+
+def _lowest(docs: DataFrame, graded: DataFrame, model: OrdinalModel, lost: float) -> float:
+    """The limit that at most ``lost`` of all good texts kept out of the fit lie below; 0 without such texts.
+
+    Texts are scored where they lie and only ids and scores meet the ratings.
+    Scores are counted in steps of 1 / STEPS, and the limit is one of these.
+    """
+    judged = scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(_held_out()), model)
+    good = graded.where(_held_out() & (F.col("grade") >= upper_grade(len(model.thresholds)))).select("doc_id")
+    counts = (
+        judged.select("doc_id", F.floor(F.col("tail_") * STEPS).alias("step"))
+        .join(good, "doc_id")
+        .groupBy("step")
+        .agg(F.count("*").alias("n"))
+        .collect()  # at most STEPS + 1 rows
     )
+    left = lost * sum(r.n for r in counts)
+    for step, n in sorted((r.step, r.n) for r in counts):
+        left -= n
+        if left < 0:
+            return step / STEPS
+    return 0.0
 
 
 def upper_grade(top: int) -> int:
@@ -203,11 +221,6 @@ def upper_grade(top: int) -> int:
     return top // 2 + 1 if top > 1 else 1
 
 
-def tail(model: OrdinalModel, score: float, grade: int) -> float:
-    """P(grade or above)."""
-    return float(_sigmoid(np.array(score - model.thresholds[grade - 1])))
-
-
 def scored(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """``docs`` with expected_ (grade), tail_ (probability of the upper grades) and accepted_.
 

@@ -129,3 +129,13 @@ def test_spellings_the_base_does_not_know_are_added(docs, prose):
     out = {r.doc_id: r.text for r in pii.redacted(docs(*rows)).collect()}
     assert out[3000] == "call [PHONE] now"
     assert out[3001] == "write to [EMAIL] please"
+
+
+def test_a_hot_kind_leaves_the_others_their_thresholds(docs, prose):
+    hot = [(5000 + i, " ".join(str(4539148803430000 + 100 * i + k) for k in range(100))) for i in range(100)]
+    fits = [
+        pii.fit(pii.with_proposals(docs(*rows), "text"), bound=400).thresholds
+        for rows in (_filled(prose), _filled(prose) + hot)
+    ]
+    assert {pii.KINDS[k] for k in fits[0]} == {"email", "ip", "phone"}
+    assert {pii.KINDS[k] for k in fits[1]} >= {"email", "ip", "phone"}

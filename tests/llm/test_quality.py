@@ -132,3 +132,18 @@ def test_features_of_any_text(text):
     index, values = quality_classifier.features(text, quality_classifier._Buckets())
     assert len(index) == len(values)
     assert np.isfinite(values).all()
+
+
+def test_limit_comes_from_all_held_out_texts(spark, docs, prose):
+    def text(i: int) -> str:
+        return " ".join(w.upper() + "!!" if k % 40 < i % 40 else w for k, w in enumerate(prose(i, 40).split()))
+
+    df = docs(*((i, text(i)) for i in range(1200)))
+    labels = spark.createDataFrame([(i, int(i % 40 < 20 or i % 7 == 0)) for i in range(1200)], "doc_id long, quality int")
+    model = quality_classifier.fit(df, labels, bound=100, lost_good=0.05)
+    rated = quality_classifier.scored(df, model).join(labels, "doc_id").where("pmod(xxhash64(doc_id), 4) = 3 AND quality = 1")
+    good = sorted(r.tail_ for r in rated.collect())
+    assert len(good) > 100
+    steps = quality_classifier.STEPS
+    assert model.limit == min(0.5, np.floor(good[int(0.05 * len(good))] * steps) / steps)
+    assert 0 < model.limit < 0.5
