@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from stocklens.llm.common import stored
 
 BLOCK, ALLOW = "block", "allow"
+SETTLED = 1e-9  # share of a host's mass that a round may still change
+EVEN = 1e-7  # share of a host's mass by which trust and distrust may differ and count as equal
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LINK = r"(?i)\bhref\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#\"'\s<>]+)"
 
@@ -112,14 +114,14 @@ def seeds(ruled: DataFrame) -> DataFrame:
     return counts.select("host", most("allowed").alias("trust"), most("blocked").alias("distrust"))
 
 
-def propagate(
-    links: DataFrame, start: DataFrame, damping: float = 0.85, rounds: int = 8
-) -> DataFrame:
-    """(host, trust, distrust) after ``rounds`` of personalised PageRank.
+def propagate(links: DataFrame, start: DataFrame, damping: float = 0.85) -> DataFrame:
+    """(host, trust, distrust) of personalised PageRank.
 
     Trust and distrust start evenly on their seeds. Mass on hosts without links
     ends there, which scales all shares alike. Each round joins the shares
-    held so far with the links and is written out.
+    held so far with the links and is written out. Rounds end when none changes
+    the mass of any host by more than ``SETTLED`` of it, so that no host that a
+    seed reaches is left out; every seed has mass 1 until then.
     """
     out = links.groupBy("src").agg(F.sum("n").alias("total"))
     forth = links.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share"))
@@ -134,20 +136,25 @@ def propagate(
     sums = start.agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")).first()
     weight = {k: 1.0 / sums[k] if sums[k] else 0.0 for k in ("trust", "distrust")}
     kinds = [
-        start.where(F.col(k) > 0).select("host", F.lit(k).alias("kind"), F.lit(weight[k]).alias("mass"))
+        start.where(F.col(k) > 0).select("host", F.lit(k).alias("kind"), F.lit(1.0).alias("mass"))
         for k in weight
     ]
     source = stored(kinds[0].union(kinds[1]), "seeds")
-    held = source
-    restart = source.withColumn("mass", F.col("mass") * (1 - damping))
-    for _ in range(rounds):
+    held = restart = source.withColumn("mass", F.col("mass") * (1 - damping))
+    settled = False
+    while not settled:
         moved = held.join(edges, ["host", "kind"]).select(
             F.col("dst").alias("host"), "kind", (F.col("mass") * F.col("share") * damping).alias("mass")
         )
+        before = held.select("host", "kind", F.lit(0.0).alias("mass"), F.col("mass").alias("last"))
+        after = moved.union(restart).withColumn("last", F.lit(0.0))
         held = stored(
-            moved.union(restart).groupBy("host", "kind").agg(F.sum("mass").alias("mass")), "ranks"
+            after.union(before).groupBy("host", "kind").agg(F.sum("mass").alias("mass"), F.sum("last").alias("last")),
+            "ranks",
         )
-    amount = lambda k: F.sum(F.when(F.col("kind") == k, F.col("mass")).otherwise(0.0)).alias(k)
+        settled = held.where(F.abs(F.col("mass") - F.col("last")) > SETTLED * F.col("mass")).isEmpty()
+        held = held.select("host", "kind", "mass")
+    amount = lambda k: F.sum(F.when(F.col("kind") == k, F.col("mass") * weight[k]).otherwise(0.0)).alias(k)
     return held.groupBy("host").agg(amount("trust"), amount("distrust"))
 
 
@@ -164,7 +171,7 @@ def judged_pages(
     ruled = with_rule(with_host(pages), rules)
     ranks = propagate(host_links(pages), seeds(ruled)).withColumnRenamed("host", "ranked")
     trust, distrust = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("trust", "distrust"))
-    bad = F.round(distrust - limit * (trust + distrust), 12) > 0  # not by the order of a sum
+    bad = distrust - limit * (trust + distrust) > EVEN * (trust + distrust)  # not by the order of a sum
     return ruled.join(ranks, F.col("host") == F.col("ranked"), "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", F.when(bad, BLOCK).otherwise(ALLOW)).alias("verdict"),

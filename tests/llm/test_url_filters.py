@@ -119,3 +119,19 @@ def test_a_hot_host_and_many_links(pages):
 def test_the_main_path_is_native(spark, pages):
     plan = url_filters.judged_pages(pages([(1, "http://a.com/", "")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_far_host_is_reached(pages):
+    rows = [(0, "http://bad.net/", "")]
+    rows += [(i, f"http://h{i}.com/", f'<a href="http://{"bad.net" if i == 1 else f"h{i - 1}.com"}/">') for i in range(1, 13)]
+    found = {r.page_id: r.verdict for r in url_filters.judged_pages(pages(rows)).collect()}
+    assert set(found.values()) == {"block"}
+
+
+def test_small_shares_decide_as_large_ones(pages):
+    rows, target = [(0, "http://bad.net/", "")], "bad.net"
+    for hop in range(7):
+        rows += [(100 * hop + k + 1, f"http://h{hop}x{k}.com/", f'<a href="http://{target}/">') for k in range(100)]
+        target = f"h{hop}x0.com"
+    found = {r.page_id: r.verdict for r in url_filters.judged_pages(pages(rows)).collect()}
+    assert set(found.values()) == {"block"}
