@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stocklens.llm import (
     decontamination,
     language_model,
+    merkle,
     oracle,
     pii,
     quality_classifier,
@@ -71,6 +72,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scores(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_classifier,
@@ -83,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_simhash,
         op9_quality_rules,
         op10_lm_scoring,
+        op11_merkle_manifest,
     )
 
     def shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -96,4 +102,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_quality_rules": oracle.QUALITY_RULES}
+    return {"op9_quality_rules": oracle.QUALITY_RULES, "op11_merkle_manifest": oracle.MERKLE_MANIFEST}
