@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stocklens.llm import (
+    alignment,
     decontamination,
     language_model,
     merkle,
@@ -76,6 +77,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_classifier,
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_quality_rules,
         op10_lm_scoring,
         op11_merkle_manifest,
+        op12_tokenizer_alignment,
     )
 
     def shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
