@@ -10,6 +10,7 @@ from stocklens.llm import (
     alignment,
     decontamination,
     language_model,
+    main_text,
     merkle,
     oracle,
     pii,
@@ -81,6 +82,10 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_classifier,
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_lm_scoring,
         op11_merkle_manifest,
         op12_tokenizer_alignment,
+        op13_html_extraction,
     )
 
     def shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
