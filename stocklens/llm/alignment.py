@@ -20,7 +20,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -35,7 +35,7 @@ BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 HOT = 1 << 18  # pairs of ids that are looked up without a join
-SEEN = 300_000  # fragments a worker keeps
+SEEN = 800_000  # fragments a worker keeps
 LARGE = 256  # links of a group from which on equal ids are counted first
 FLUSH = 1 << 21  # pairs that are counted at a time
 
@@ -96,9 +96,9 @@ class Aligner:
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=models.pieces)
         byte_of = _byte_of_character()
-        self.bytes_a = {
-            i: bytes(byte_of[c] for c in t) for t, i in self.a.get_vocab().items() if all(c in byte_of for c in t)
-        }
+        names_a = {i: t for t, i in self.a.get_vocab().items()}
+        top = max(names_a, default=-1) + 1
+        self.bytes_a = [bytes(byte_of.get(c, 0) for c in names_a.get(i, "")) for i in range(top)]
         size = self.b.get_piece_size()
         names = [self.b.id_to_piece(i) for i in range(size)]
         self.byte_pieces = {i for i in range(size) if self.b.is_byte(i)}
@@ -111,7 +111,6 @@ class Aligner:
         as_bytes = np.zeros(size, bool)
         as_bytes[list(self.byte_pieces)] = True
         self.is_byte_piece = as_bytes
-        top = max(self.bytes_a, default=0) + 1
         self.comma_a, self.bar_a = [f"{i}," for i in range(top)], [f"{i}|" for i in range(top)]
         self.comma_b, self.end_b = [f"{i}," for i in range(size)], [f"{i};" for i in range(size)]
         self.keep = keep
@@ -146,24 +145,29 @@ class Aligner:
         """Ends of the groups of a stretch, by decoded bytes: tokens of each so far."""
         return list(common_ends([len(self.bytes_a[i]) for i in a], [len(self.bytes_b[i]) for i in b]))
 
-    def _keep(self, fragment: str, numbers, text: str, pairs: bytes) -> None:
-        at = self.place[fragment] = len(self.texts)
-        self.texts.append(text)
-        self.pairs.append(pairs)
-        if at >= len(self.numbers):  # one slice of documents may hold more than is kept after it
+    def _keep(self, fragments: list[str], numbers: np.ndarray, texts: list[str], pairs: list[bytes]) -> None:
+        start = len(self.texts)
+        end = start + len(fragments)
+        while end > len(self.numbers):  # one slice of documents may hold more than is kept after it
             self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)])
             self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
-        self.numbers[at], self.uses[at] = numbers, 0
+        self.place.update(zip(fragments, range(start, end), strict=True))
+        self.texts += texts
+        self.pairs += pairs
+        self.numbers[start:end], self.uses[start:end] = numbers, 0
 
     def learn(self, fragments: list[str]) -> None:
         """Aligns fragments not seen before: together where a space may stand between them."""
-        together = [f for f in fragments if f and not f[-1].isspace()]
+        alone = [f for f in fragments if not f or f[-1].isspace()]
+        together = fragments
+        if alone:
+            apart = set(alone)
+            together = [f for f in fragments if f not in apart]
         if not self._learn(together):
-            for f in together:
-                self._learn([f]) or self._keep(f, (-1, 0, 0, 0), "", b"")
-        for f in fragments:
-            if not f or f[-1].isspace():
-                self._learn([f]) or self._keep(f, (-1, 0, 0, 0), "", b"")
+            alone += together
+        for f in alone:
+            if not self._learn([f]):
+                self._keep([f], np.array([[-1, 0, 0, 0]]), [""], [b""])
 
     def _learn(self, fragments: list[str]) -> bool:
         """Whether both tokenizers give the bytes of the joined fragments back; if so, they are kept."""
@@ -178,7 +182,7 @@ class Aligner:
         else:  # a space at a text's end, of which the second library gives nothing by itself
             ids_b, spans_b = [self.b.piece_to_id(SPACE)], [(0, 0)]
         data = (" " + text).encode()
-        if b"".join([self.bytes_b[i] for i in ids_b]) != data or b"".join([self.bytes_a.get(i, b"") for i in ids_a]) != data:
+        if b"".join([self.bytes_b[i] for i in ids_b]) != data or b"".join([self.bytes_a[i] for i in ids_a]) != data:
             return False
         a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
         at_a = np.fromiter(chain.from_iterable(spans_a), np.int64, 2 * len(a)).reshape(-1, 2)
@@ -218,10 +222,12 @@ class Aligner:
         pair_ends = (8 * np.r_[0, pair_to][group_to]).tolist()
         written, widths = self._written(ids_a, ids_b, to_a, to_b, n_a, n_b)
         text_ends = np.r_[0, np.cumsum(widths)][group_to].tolist()
-        from_pair = from_text = 0
-        for k, fragment in enumerate(fragments):
-            self._keep(fragment, numbers[k], written[from_text : text_ends[k]], table[from_pair : pair_ends[k]])
-            from_pair, from_text = pair_ends[k], text_ends[k]
+        self._keep(
+            fragments,
+            numbers,
+            [written[i:j] for i, j in pairwise([0, *text_ends])],
+            [table[i:j] for i, j in pairwise([0, *pair_ends])],
+        )
         return True
 
     def _linked(self, a, b, from_a, from_b, n_a, n_b) -> tuple[bytes, np.ndarray]:
@@ -267,14 +273,18 @@ class Aligner:
     def documents(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
         """n_a, n_b, n_groups, n_links, groups_sha256, and distinct pairs with their links, of each text."""
         found = [self.fragments(t) if t else [] for t in texts]
-        if len(self.place) > self.keep // 2:
-            new = {f for parts in found for f in parts if f not in self.place}
-            if len(self.place) + len(new) > self.keep:
-                self.forget()
-        self.learn(list(dict.fromkeys(f for parts in found for f in parts if f not in self.place)))
+        new = self._new(found)
+        if len(self.place) + len(new) > self.keep:
+            self.forget()
+            new = self._new(found)
+        self.learn(new)
         for parts in found:
             yield self._document(parts)
 
+    def _new(self, found: list[list[str]]) -> list[str]:
+        place = self.place
+        return list(dict.fromkeys([f for parts in found for f in parts if f not in place]))
+
     def _document(self, found: list[str]) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
         none = 0, 0, 0, 0, "", np.zeros(0, np.uint32), np.zeros(0, np.int64)
         if not found:
