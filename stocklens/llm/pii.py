@@ -11,11 +11,16 @@ per kind is calibrated on labelled spans kept out of the fit. Proposals that
 reach it join the base spans.
 
 Everything here is DataFrame expressions. Spans are code points, end exclusive.
+Arrays of spans are made and merged in one pass each, block by block, and texts
+are looked into by pieces of fixed size, so work grows with the text also where
+one holds very many spans. Documents travel as one struct; no column of theirs
+can clash with those added here.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -45,7 +50,7 @@ GATES = {
 }
 # Proposals: kind, pattern, gate.
 GENERATORS = (
-    ("email", r"[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?\(dot\)\x20?|\x20?\[dot\]\x20?)[A-Za-z0-9-]{1,63}+)++", r"@|\(at\)|\[at\]"),
+    ("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:(?:\.|\x20?\(dot\)\x20?|\x20?\[dot\]\x20?)[A-Za-z0-9-]++)++", r"@|\(at\)|\[at\]"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}+(?:\.[0-9]{1,3}+){3}(?!\.?[0-9])", r"[0-9]\.[0-9]"),
     ("card", r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![0-9])", r"[0-9](?:[\x20-]?[0-9]){12}"),
     ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])", r"[0-9]{13}"),
@@ -56,29 +61,109 @@ GENERATORS = (
 )
 
 SPAN = "array<struct<s:int,e:int,m:string>>"
+PLACES = "array<struct<kind:int,s:int,e:int>>"
 FEATURES = (
     "kind", "length", "digits", "separators", "luhn", "octets", "before", "after",
     "brackets", "digits_before", "digits_after", "cue", "dots", "digit_groups",
 )
 
 
+BLOCK = 128  # entries that are appended to one array
+PIECE = 1024  # characters
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed a single time."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _scan(items: Column, state: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """What ``step`` emits for each item, given the state it left at the one before.
+
+    ``step`` returns the new state and an array of type ``kind`` to append.
+    Blocks of ``BLOCK`` items have arrays of their own: an append copies no
+    more than a block.
+    """
+    none = F.expr(f"CAST(array() AS {kind})")
+    nothing = F.expr(f"CAST(array() AS array<{kind}>)")
+
+    def inner(acc: Column, x: Column) -> Column:
+        new, out = step(acc["state"], x)
+        return F.struct(new.alias("state"), F.concat(acc["out"], out).alias("out"))
+
+    def outer(acc: Column, block: Column) -> Column:
+        done = F.aggregate(block, F.struct(acc["state"].alias("state"), none.alias("out")), inner)
+        return _once(done, lambda d: F.struct(
+            d["state"].alias("state"), F.concat(acc["blocks"], F.array(d["out"])).alias("blocks")
+        ))
+
+    def scanned(items: Column) -> Column:
+        n = F.size(items)
+        firsts = F.sequence(F.lit(0), n - 1, F.lit(BLOCK))
+        block = lambda at: F.sequence(at, F.least(at + (BLOCK - 1), n - 1))
+        # single entries are taken out, as a slice copies the whole array
+        blocks = F.transform(firsts, lambda at: F.transform(block(at), lambda i: F.get(items, i)))
+        start = F.struct(state.alias("state"), nothing.alias("blocks"))
+        return F.when(n > 0, F.aggregate(blocks, start, outer, lambda acc: F.flatten(acc["blocks"]))).otherwise(none)
+
+    return _once(items, scanned)
+
+
+def _pieces(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` characters."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}+"), F.lit(0))
+
+
+def _between(pieces: Column, s: Column, e: Column) -> Column:
+    """Characters from ``s`` to ``e`` of the text cut into pieces."""
+    first = F.floor(s / PIECE).cast("int")
+    last = F.floor(e / PIECE).cast("int")
+    short = F.concat(F.get(pieces, first), F.when(last > first, F.coalesce(F.get(pieces, last), F.lit(""))).otherwise(""))
+    joined = F.when(last <= first + 1, short).otherwise(F.array_join(F.slice(pieces, first + 1, last - first + 1), ""))
+    cut = _once(joined, lambda j: F.substring(j, s - first * PIECE + 1, e - s))
+    return F.when((e > s) & (first < F.size(pieces)), cut).otherwise("")
+
+
+def _place(spans: Column, s: Column) -> Column:
+    """How many of the spans, sorted and apart from each other, start at ``s`` or before; by halving."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(spans) + F.lit(1))).cast("int"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["low"] + acc["high"]) / 2).cast("int")
+        ahead = F.get(spans, middle)["s"] <= s
+        return F.when(acc["low"] >= acc["high"], acc).otherwise(F.struct(
+            F.when(ahead, middle + 1).otherwise(acc["low"]).alias("low"),
+            F.when(ahead, acc["high"]).otherwise(middle).alias("high"),
+        ))
+
+    start = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+    return F.when(F.size(spans) == 0, 0).otherwise(F.aggregate(steps, start, halve, lambda acc: acc["low"]))
+
+
+def _meets(spans: Column, s: Column, e: Column) -> Column:
+    """Whether one of the spans, sorted and apart from each other, overlaps [s, e)."""
+    before = lambda n: F.coalesce(F.get(spans, n - 1)["e"] > s, F.lit(False))
+    after = lambda n: F.coalesce(F.get(spans, n)["s"] < e, F.lit(False))
+    return _once(_place(spans, s), lambda n: before(n) | after(n))
+
+
 def _found(text: Column, pattern: str, gate: str) -> Column:
     """Start, end and text of all matches, from the pieces between them."""
-    pieces = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
+    gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
     both = F.zip_with(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), pieces, lambda m, gap: F.struct(m.alias("m"), gap.alias("gap"))
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), gaps, lambda m, gap: F.struct(m.alias("m"), gap.alias("gap"))
     )
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"CAST(array() AS {SPAN})").alias("out"))
 
-    def add(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["gap"]
+    def add(at: Column, x: Column) -> tuple[Column, Column]:
+        s = at + x["gap"]
         e = s + F.length(x["m"])
-        span = F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"))
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        return e, F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))
 
     # the last piece has no match after it
-    spans = F.aggregate(F.filter(both, lambda x: x["m"].isNotNull()), start, add, lambda acc: acc["out"])
-    return F.when(F.rlike(text, F.lit(gate)), spans).otherwise(F.expr(f"CAST(array() AS {SPAN})"))
+    matches = F.filter(both, lambda x: x["m"].isNotNull())
+    none = F.expr(f"CAST(array() AS {SPAN})")
+    spans = _scan(matches, F.lit(0), add, SPAN)
+    return F.when(F.rlike(text, F.lit(gate)), spans).otherwise(none)
 
 
 def _digits(m: Column) -> Column:
@@ -125,10 +210,15 @@ def _side(c: Column) -> Column:
     )
 
 
-def _features(kind: str, x: Column, text: Column) -> Column:
+def _features(kind: str, x: Column, pieces: Column) -> Column:
     m, s, e = x["m"], x["s"], x["e"]
-    before = F.substring(text, F.greatest(s - 11, F.lit(1)), F.least(s, F.lit(12)))
-    after = F.substring(text, e + 1, F.lit(12))
+    around = F.struct(
+        _between(pieces, F.greatest(s - 12, F.lit(0)), s).alias("before"), _between(pieces, e, e + 12).alias("after")
+    )
+    return _once(around, lambda c: _described(kind, m, c["before"], c["after"]))
+
+
+def _described(kind: str, m: Column, before: Column, after: Column) -> Column:
     truth = lambda c: F.when(c, 1).otherwise(0)
     values = {
         "kind": F.lit(KINDS.index(kind)),
@@ -137,8 +227,8 @@ def _features(kind: str, x: Column, text: Column) -> Column:
         "separators": F.least(F.length(F.regexp_replace(m, r"[^\x20().-]", "")), F.lit(20)),
         "luhn": truth(luhn(m)),
         "octets": truth(F.rlike(m, F.lit(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"))),
-        "before": _side(F.when(s == 0, "").otherwise(F.substring(text, s, F.lit(1)))),
-        "after": _side(F.substring(text, e + 1, F.lit(1))),
+        "before": _side(F.right(before, F.lit(1))),
+        "after": _side(F.left(after, F.lit(1))),
         "brackets": truth(m.contains("(")),
         "digits_before": F.length(_digits(before)),
         "digits_after": F.length(_digits(after)),
@@ -153,6 +243,7 @@ PROPOSAL = "array<struct<kind:int,s:int,e:int,f:array<int>,y:int>>"
 
 
 NO_LABEL = -1
+PRIOR = 10  # labelled spans that a kind's share of right ones is taken to rest on already
 
 
 def _label(kind: str, x: Column, f: Column, base: Column) -> Column:
@@ -162,9 +253,12 @@ def _label(kind: str, x: Column, f: Column, base: Column) -> Column:
     """
     before, after, cue = (f[FEATURES.index(name)] for name in ("before", "after", "cue"))
     inside = (before == 2) | (after == 2) if kind != "email" else F.lit(False)
+    same = _once(_place(base, x["s"]), lambda n: F.coalesce(
+        (F.get(base, n - 1)["s"] == x["s"]) & (F.get(base, n - 1)["e"] == x["e"]), F.lit(False)
+    ))
     return (
-        F.when(F.exists(base, lambda b: (b["s"] == x["s"]) & (b["e"] == x["e"])), 1)
-        .when(F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])), NO_LABEL)
+        F.when(same, 1)
+        .when(_meets(base, x["s"], x["e"]), NO_LABEL)
         .when(~_passes(kind, x["m"]) | inside | ((before == 4) & (cue == 1)), 0)
         .otherwise(NO_LABEL)
     )
@@ -189,7 +283,7 @@ def _rewritten(kind: str, m: Column) -> list[tuple[Column, int]]:
     ]
 
 
-def _taught(kind: str, base: Column, text: Column) -> list[Column]:
+def _taught(kind: str, base: Column, pieces: Column) -> list[Column]:
     """Rewritten base spans in the places of the base spans, where a generator would propose them."""
     generated = "|".join(f"(?:{p})" for k, p, _ in GENERATORS if k == kind)
 
@@ -200,25 +294,27 @@ def _taught(kind: str, base: Column, text: Column) -> list[Column]:
         whole = F.filter(written, lambda x: F.rlike(x["m"], F.lit(f"^(?:{generated})$")))
         return F.transform(whole, lambda x: F.struct(
             F.lit(KINDS.index(kind)).alias("kind"), x["s"].alias("s"), x["e"].alias("e"),
-            _features(kind, x, text).alias("f"), F.lit(label).alias("y"),
+            _features(kind, x, pieces).alias("f"), F.lit(label).alias("y"),
         ))
 
     return [spans(i, y) for i, (_, y) in enumerate(_rewritten(kind, F.lit("")))]
 
 
 def with_proposals(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with base_ (spans of each kind), proposed_ (kind, span, features, label) and taught_ (the same)."""
+    """row (a document), base_ (spans of each kind), proposed_ (kind, span, features, label), taught_ (the same)."""
     t = F.coalesce(F.col(text), F.lit(""))
+    packed = docs.select(F.struct("*").alias("row"), t.alias("text_"), _pieces(t).alias("pieces_"))
+    t, pieces = F.col("text_"), F.col("pieces_")
     base = F.struct(*[
         F.filter(_found(t, PATTERNS[k], GATES[k]), _passing(k)).alias(k) for k in KINDS
     ])
-    docs = docs.withColumn("base_", base)
+    packed = packed.withColumn("base_", base)
 
     def proposals(kind: str, pattern: str, gate: str) -> Column:
         known = F.col("base_")[kind]
         described = F.transform(
             _found(t, pattern, gate),
-            lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), _features(kind, x, t).alias("f")),
+            lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), _features(kind, x, pieces).alias("f")),
         )
         return F.transform(
             described,
@@ -229,12 +325,15 @@ def with_proposals(docs: DataFrame, text: str) -> DataFrame:
         )
 
     parts = [proposals(*g).cast(PROPOSAL) for g in GENERATORS]
-    taught = [x.cast(PROPOSAL) for k in KINDS for x in _taught(k, F.col("base_")[k], t)]
-    docs = docs.withColumn("taught_", F.concat(*taught))
+    taught = [x.cast(PROPOSAL) for k in KINDS for x in _taught(k, F.col("base_")[k], pieces)]
+    # several generators may propose the same span: equal ones are neighbours when sorted
+    distinct = _once(
+        F.sort_array(F.concat(*parts)), lambda all_: F.filter(all_, lambda p, i: (i == 0) | (p != F.get(all_, i - 1)))
+    )
     plain = F.struct(*[
         F.transform(F.col("base_")[k], lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in KINDS
     ])
-    return docs.withColumn("proposed_", F.array_distinct(F.concat(*parts))).withColumn("base_", plain)
+    return packed.select("row", plain.alias("base_"), distinct.alias("proposed_"), F.concat(*taught).alias("taught_"))
 
 
 # ---- boosted trees ----------------------------------------------------------------------
@@ -258,9 +357,15 @@ class Node:
 
 @dataclass(frozen=True)
 class Boosted:
+    """Trees, and for kinds with enough labelled spans the margin from which they are trusted.
+
+    ``default`` is that of the others: where the model itself is as sure as it is asked to be.
+    """
+
     trees: tuple[Node, ...]
     offset: float
     thresholds: dict[int, float]
+    default: float = math.inf
 
     def margin(self, f: Column) -> Column:
         return reduce(lambda a, t: a + t.column(f), self.trees, F.lit(self.offset))
@@ -328,10 +433,14 @@ def fit(proposed: DataFrame, bound: int = 20_000, trees: int = 6, depth: int = 3
     the same side as its original. Each kind has its own share of ``bound``,
     picked by a hash from three fourths of the proposals. All of the last fourth
     sets the thresholds: for each kind the least margin from which ``precision``
-    of them are positive. A kind without enough proposals selects none.
+    of them are positive, ``PRIOR`` spans of just that share counted in. Where
+    no labelled span of a kind was kept out, the probability of the trees has
+    to be ``precision``; so few spans differ from many only by what they show.
     """
     labelled = F.filter(F.concat("proposed_", "taught_"), lambda p: p["y"] != NO_LABEL)
-    rows = proposed.select("doc_id", F.explode(labelled).alias("p")).select(
+    # the text is left behind before there is a row for each proposal
+    short = proposed.select(F.col("row.doc_id").alias("doc_id"), labelled.alias("labelled"))
+    rows = short.select("doc_id", F.explode("labelled").alias("p")).select(
         "p.kind", "p.f", "p.y", F.xxhash64("doc_id", "p.s", "p.e", "p.kind").alias("pick")
     )
     inside = F.pmod("pick", F.lit(4)) != 3
@@ -342,7 +451,7 @@ def fit(proposed: DataFrame, bound: int = 20_000, trees: int = 6, depth: int = 3
     learn = stored(reduce(DataFrame.union, shares), "proposals")
     counts = learn.agg(F.count("*").alias("n"), F.sum("y").alias("y")).first()
     if not counts.n or not 0 < counts.y < counts.n:
-        return Boosted((), -10.0 if not counts.y else 0.0, {})
+        return Boosted((), 0.0, {})
     offset = math.log(counts.y / (counts.n - counts.y))
     grown: list[Node] = []
     for _ in range(trees):
@@ -363,9 +472,11 @@ def fit(proposed: DataFrame, bound: int = 20_000, trees: int = 6, depth: int = 3
         n = y = 0
         for row in sorted((r for r in margins if r.kind == kind), key=lambda r: -r.margin):
             n, y = n + row.n, y + row.y
-            if n >= 10 and y >= precision * n:
+            if y + PRIOR * precision >= precision * (n + PRIOR):
                 thresholds[kind] = row.margin
-    return Boosted(model.trees, offset, thresholds)
+        if n and kind not in thresholds:
+            thresholds[kind] = math.inf
+    return Boosted(model.trees, offset, thresholds, math.log(precision / (1 - precision)))
 
 
 def with_spans(proposed: DataFrame, model: Boosted) -> DataFrame:
@@ -381,28 +492,30 @@ def with_spans(proposed: DataFrame, model: Boosted) -> DataFrame:
     base = F.concat(*[F.transform(F.col("base_")[k], numbered(i)) for i, k in enumerate(KINDS)])
 
     def chosen(p: Column) -> Column:
-        limit = F.lit(None).cast("double")
+        limit = F.lit(model.default)
         for kind, threshold in model.thresholds.items():
             limit = F.when(p["kind"] == kind, F.lit(threshold)).otherwise(limit)
-        return F.coalesce(F.round(model.margin(p["f"]), 9) >= limit, F.lit(False))
+        return F.round(model.margin(p["f"]), 9) >= limit
 
-    df = proposed.withColumn("known_", base)
-    overlaps = lambda a, b: (a["kind"] == b["kind"]) & (a["s"] < b["e"]) & (b["s"] < a["e"])
-    more = F.filter(
-        F.col("proposed_"), lambda p: chosen(p) & ~F.exists(F.col("known_"), lambda b: overlaps(b, p))
-    )
+    def meets_base(p: Column) -> Column:
+        found = F.lit(False)
+        for i, kind in enumerate(KINDS):
+            found = F.when(p["kind"] == i, _meets(F.col("base_")[kind], p["s"], p["e"])).otherwise(found)
+        return found
+
+    more = F.filter(F.col("proposed_"), lambda p: chosen(p) & ~meets_base(p))
     ordered = F.array_sort(F.transform(
         more, lambda p: F.struct(p["kind"].alias("kind"), p["s"].alias("s"), p["e"].alias("e"))
     ))
-    empty = F.expr("CAST(array() AS array<struct<kind:int,s:int,e:int>>)")
 
-    def keep(acc: Column, p: Column) -> Column:
-        last = F.element_at(acc, -1)
-        free = (F.size(acc) == 0) | (last["kind"] != p["kind"]) | (last["e"] <= p["s"])
-        return F.when(free, F.concat(acc, F.array(p))).otherwise(acc)
+    def keep(last: Column, p: Column) -> tuple[Column, Column]:
+        free = (last["kind"] != p["kind"]) | (last["e"] <= p["s"])
+        return F.when(free, p).otherwise(last), F.when(free, F.array(p)).otherwise(F.expr(f"CAST(array() AS {PLACES})"))
 
-    added = F.when(F.size(ordered) > 0, F.aggregate(ordered, empty, keep)).otherwise(empty)
-    return df.withColumn("added_", added).withColumn("all_", F.array_sort(F.concat("known_", "added_")))
+    nothing = F.struct(F.lit(-1).alias("kind"), F.lit(0).alias("s"), F.lit(0).alias("e"))
+    df = proposed.withColumns({"known_": base, "ordered_": ordered})
+    df = df.withColumn("added_", _scan(F.col("ordered_"), nothing, keep, PLACES)).drop("ordered_")
+    return df.withColumn("all_", F.array_sort(F.concat("known_", "added_")))
 
 
 def _listed(spans: Column) -> Column:
@@ -416,12 +529,12 @@ def personal_data(docs: DataFrame) -> DataFrame:
     Null text counts as empty and has no spans. Repeated rows stay, columns
     other than doc_id and text are not read.
     """
-    proposed = stored(
-        with_proposals(docs.select("doc_id", "text"), "text").select("doc_id", "base_", "proposed_", "taught_"), "pii"
-    )
+    found = with_proposals(docs.select("doc_id", "text"), "text")
+    kept = found.withColumn("row", F.struct(F.col("row.doc_id").alias("doc_id")))
+    proposed = stored(kept, "pii")
     found = with_spans(proposed, fit(proposed))
     return found.select(
-        "doc_id",
+        F.col("row.doc_id").alias("doc_id"),
         *[F.size(F.col("base_")[k]).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(_listed(F.array_sort("known_")), 256).alias("base_sha256"),
         _listed(F.col("all_")).alias("spans"),
@@ -435,27 +548,33 @@ def redacted(docs: DataFrame) -> DataFrame:
     Spans that overlap are replaced as one, named by the first. Other columns
     and rows stay as they are; null text stays null.
     """
-    learned = stored(
-        with_proposals(docs.select("doc_id", "text"), "text").select("doc_id", "proposed_", "taught_"), "pii"
-    )
-    found = with_spans(with_proposals(docs, "text"), fit(learned))
+    proposed = stored(with_proposals(docs, "text"), "pii")
+    found = with_spans(proposed, fit(proposed))
+    text = F.col("row")["text"]
     by_place = F.array_sort(F.transform(
         "all_", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))
     ))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     name = lambda x: F.element_at(F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS]), x["kind"] + 1)
-
-    def replace(acc: Column, x: Column) -> Column:
-        before = F.substring(F.col("text"), acc["at"] + 1, x["s"] - acc["at"])
-        fresh = F.struct(x["e"].alias("at"), F.concat(acc["out"], before, name(x)).alias("out"))
-        longer = F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out"))
-        return F.when(x["s"] >= acc["at"], fresh).otherwise(longer)
-
-    rest = lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
-    changed = F.when(F.size("all_") > 0, F.aggregate(by_place, start, replace, rest)).otherwise(F.col("text"))
-    out = found.withColumn("text", changed)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        counted = F.when(F.size("all_") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", counted)
-    return out.select(*docs.columns)
+    found = found.select("row", by_place.alias("spans_"), _pieces(text).alias("pieces_"))
+    pieces = F.col("pieces_")
+
+    def replace(at: Column, x: Column) -> tuple[Column, Column]:
+        fresh = F.array(_between(pieces, at, x["s"]), name(x))
+        written = F.when(x["s"] >= at, fresh).otherwise(F.array().cast("array<string>"))
+        return F.greatest(at, x["e"]), written
+
+    last = F.array_max(F.transform("spans_", lambda x: x["e"]))
+    written = F.array_join(_scan(F.col("spans_"), F.lit(0), replace, "array<string>"), "")
+    changed = F.when(F.size("spans_") > 0, F.concat(written, _between(pieces, last, F.length(text)))).otherwise(text)
+    found = found.select("row", changed.alias("text_"), (F.size("spans_") > 0).alias("is_changed_"))
+    own = F.col("row")
+
+    def value(name: str) -> Column:
+        if name == "text":
+            return F.col("text_").alias(name)
+        if name == "n_chars":
+            counted = F.length("text_").cast(docs.schema["n_chars"].dataType)
+            return F.when(F.col("is_changed_"), counted).otherwise(own[name]).alias(name)
+        return own[name].alias(name)
+
+    return found.select(*map(value, docs.columns))
