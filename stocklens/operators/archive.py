@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.constants import ARCHIVE_DAYS
@@ -49,18 +49,32 @@ def zero_qty_lines(
 ) -> DataFrame:
     """Lines at the latest version with nothing ordered; equal lines all stay.
 
-    Deleted lines take part here, although they do not decide the version. The
-    archive is read once: the version is found beside each line, in a window
-    over the item's lines in one document.
+    Deleted lines take part here, although they do not decide the version.
+    Equal lines are counted first, in every task before they meet. The latest
+    version is the maximum of what is left and joined back on the version too,
+    so the lines of one item in one document are never gathered in one place.
+    Both uses need the whole count, so the archive is read once.
     """
-    item = Window.partitionBy("no_", "document_no")
-    latest = F.max(F.when(~F.col("delete_flag"), F.col("version_no"))).over(item)
-    return (
-        _recent_lines(line_archive, header_archive, as_of, days)
-        .select("no_", "document_no", "version_no", "quantity", latest.alias("latest"))
-        .where((F.col("version_no") == F.col("latest")) & (F.col("quantity") <= 0))
-        .select(F.col("no_").alias("sku"), F.col("document_no").alias("ebe"), "quantity")
+    lines = _recent_lines(
+        line_archive.where(F.col("no_").isNotNull() & F.col("version_no").isNotNull()),
+        header_archive,
+        as_of,
+        days,
     )
+    quantity = F.col("quantity")
+    counted = lines.groupBy(
+        F.col("no_").alias("sku"),
+        F.col("document_no").alias("ebe"),
+        "version_no",
+        "delete_flag",
+        F.when(quantity <= 0, quantity).alias("quantity"),
+    ).agg(F.count(F.lit(1)).alias("n_lines"))
+    counts = F.when((F.col("n_lines") > 0) & ~F.col("delete_flag"), F.col("version_no"))
+    latest = counted.groupBy("sku", "ebe").agg(F.max(counts).alias("version_no"))
+    empty = F.when(F.col("quantity").isNotNull(), F.sequence(F.lit(1), F.col("n_lines")))
+    return counted.join(latest, ["sku", "ebe", "version_no"]).select(
+        "sku", "ebe", "quantity", F.explode(empty).alias("copy")
+    ).drop("copy")
 
 
 def zero_order_count(dim_product: DataFrame, zero_lines: DataFrame) -> DataFrame:

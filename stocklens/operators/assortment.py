@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocklens.constants import (
@@ -18,7 +18,7 @@ from stocklens.constants import (
     TURNOVER_CUTS,
     TURNOVER_LETTERS,
 )
-from stocklens.functions.quantities import contains_any, exact
+from stocklens.functions.quantities import Amount, contains_any, is_positive
 from stocklens.functions.timewin import moment
 
 # Quantities that share all but their lowest bits form one bucket, so a bucket
@@ -53,17 +53,9 @@ def vendor_division_current(hub: DataFrame, satellite: DataFrame) -> DataFrame:
     return keys.join(current, "vendor_division_hashkey").select("no_", "name")
 
 
-def _candidates(
-    dim_product: DataFrame,
-    on_order: DataFrame,
-    internal: DataFrame,
-    units: DataFrame,
-    as_of: dt.datetime,
-) -> DataFrame:
-    """Released products with their shop state, stock and best purchase group."""
-    # A product qualifies through any one purchase group, so the largest
-    # group decides; a missing quantity counts as 0.
-    best = (
+def _best_groups(on_order: DataFrame) -> DataFrame:
+    """Largest group of each product, a missing quantity as 0, and how many it has."""
+    return (
         on_order.where(F.col("product_id").isNotNull())
         .groupBy("product_id")
         .agg(
@@ -71,6 +63,18 @@ def _candidates(
             F.count(F.lit(1)).alias("n_groups"),
         )
     )
+
+
+def _candidates(
+    dim_product: DataFrame,
+    best: DataFrame,
+    internal: DataFrame,
+    units: DataFrame,
+    as_of: dt.datetime,
+) -> DataFrame:
+    """Released products with their shop state, stock and columns of ``best``."""
+    # A product qualifies through any one purchase group, so the largest decides.
+    instock = Amount.of(dim_product, "quantity_instock").column
     released = dim_product.where(
         contains_any(F.col("product_status"), ASSORTMENT_STATUSES)
         & (F.to_date("release_date") <= F.lit(as_of.date()))
@@ -84,7 +88,7 @@ def _candidates(
             & (F.col("shop_visibility_config") == SHOP_VISIBILITY_CONFIG),
             F.lit(False),
         ).alias("in_shop"),
-        F.coalesce(exact("quantity_instock"), F.lit(0)).alias("instock"),
+        F.coalesce(instock, F.lit(0)).alias("instock"),
     )
     inbound = internal.select(
         F.col("item_no").alias("product_id"),
@@ -99,29 +103,51 @@ def _candidates(
             "product_status",
             F.coalesce("sold_qty_ytd", F.lit(0)).alias("sold_qty_ytd"),
             "in_shop",
-            (F.col("instock") + F.coalesce("inbound", F.lit(0))).alias("on_hand"),
-            "best_external",
-            "n_groups",
+            "instock",
+            F.coalesce("inbound", F.lit(0)).alias("inbound"),
+            *[c for c in best.columns if c != "product_id"],
         )
     )
 
 
-def assortment_members(
+def _is_member(external: str | None) -> Column:
+    """In the shop, or something of it on hand or on order."""
+    amounts = [F.col("instock"), F.col("inbound")]
+    if external:
+        amounts.append(F.coalesce(external, F.lit(0)))
+    return F.col("in_shop") | is_positive(amounts)
+
+
+def members_by_best_group(
     dim_product: DataFrame,
-    on_order: DataFrame,
+    best: DataFrame,
     internal: DataFrame,
     units: DataFrame,
     as_of: dt.datetime,
 ) -> DataFrame:
-    """The active assortment, one row per product row."""
-    available = F.col("on_hand") + F.coalesce("best_external", F.lit(0)) > 0
+    """The active assortment, one row per product row.
+
+    ``best`` has product_id and best_external, see ``largest_purchase_group``.
+    """
+    best = best.select("product_id", "best_external")
     return (
-        _candidates(dim_product, on_order, internal, units, as_of)
-        .where(F.col("in_shop") | available)
+        _candidates(dim_product, best, internal, units, as_of)
+        .where(_is_member("best_external"))
         .select("product_id", "product_status", "sold_qty_ytd")
     )
 
 
+def assortment_members(
+    dim_product: DataFrame,
+    on_order: DataFrame,
+    internal: DataFrame,
+    units: DataFrame,
+    as_of: dt.datetime,
+) -> DataFrame:
+    """The active assortment, one row per product row, from its purchase groups."""
+    return members_by_best_group(dim_product, _best_groups(on_order), internal, units, as_of)
+
+
 def assortment_base(
     dim_product: DataFrame,
     on_order: DataFrame,
@@ -135,20 +161,20 @@ def assortment_base(
     Products without purchases have one row and are added beside the others.
     The groups of a product with more than ``groups_in_part`` are dealt into as
     many parts as that takes, and only its row is repeated, once for each part.
+    Largest group and number of groups come from one aggregate, which all sides
+    that use either of them share.
     """
-    candidates = _candidates(dim_product, on_order, internal, units, as_of)
+    best = _best_groups(on_order)
+    candidates = _candidates(dim_product, best, internal, units, as_of)
     result = ["product_id", "product_status", "sold_qty_ytd"]
-    alone = candidates.where(
-        F.col("best_external").isNull() & (F.col("in_shop") | (F.col("on_hand") > 0))
+    alone = candidates.where(F.col("best_external").isNull() & F.col("n_groups").isNull()).where(
+        _is_member(None)
     )
     n_parts = F.ceil(F.col("n_groups") / groups_in_part)
-    large = (
-        on_order.where(F.col("product_id").isNotNull())
-        .groupBy("product_id")
-        .agg(F.count(F.lit(1)).alias("n_groups"))
-        .where(F.col("n_groups") > groups_in_part)
-        .select("product_id", n_parts.alias("n_parts"))
-    )
+    # no group is without a largest quantity, but asking for it keeps the aggregate the same
+    large = best.where(
+        (F.col("n_groups") > groups_in_part) & F.col("best_external").isNotNull()
+    ).select("product_id", n_parts.alias("n_parts"))
     hashed = F.xxhash64(*on_order.columns)
     groups = (
         on_order.where(F.col("product_id").isNotNull())
@@ -165,11 +191,9 @@ def assortment_base(
         )
     )
     repeated = candidates.where(
-        F.col("in_shop") | (F.col("on_hand") + F.col("best_external") > 0)
+        F.col("n_groups").isNotNull() & _is_member("best_external")
     ).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), n_parts - 1)))
-    grouped = groups.join(repeated, ["product_id", "part"]).where(
-        F.col("in_shop") | (F.col("on_hand") + F.col("external") > 0)
-    )
+    grouped = groups.join(repeated, ["product_id", "part"]).where(_is_member("external"))
     return grouped.select(result).unionAll(alone.select(result))
 
 

@@ -10,21 +10,18 @@ from pyspark.sql import functions as F
 
 from stocklens.constants import HORIZONS, LAST_DAYS, NEXT_DAYS, SALES_SINCE, YTD_START
 from stocklens.functions import timewin
-from stocklens.functions.quantities import exact, times, whole_units
+from stocklens.functions.quantities import Amount, whole_units
 
 
 def _units(fact_sales: DataFrame, dim_product: DataFrame, when: Column, name: str) -> DataFrame:
     # Summed per surrogate key first: a bestseller reaches the join as one row.
-    per_key = (
-        fact_sales.where(when)
-        .groupBy("product_skey")
-        .agg(F.sum(exact("quantity")).alias("units"))
-    )
+    amount = Amount.of(fact_sales, "quantity")
+    per_key = fact_sales.where(when).groupBy("product_skey").agg(amount.summed().alias("units"))
     products = dim_product.select("product_skey", "product_id")
     return (
         per_key.join(products, "product_skey", "left")
         .groupBy("product_id")
-        .agg(whole_units(F.sum("units")).alias(name))
+        .agg(whole_units(amount.value(amount.again("units"))).alias(name))
     )
 
 
@@ -68,7 +65,7 @@ def forecast_next_days(
     return (
         daily_forecast.where(window)
         .groupBy("product_id")
-        .agg(F.sum(exact("snop_daily_forecast")).alias("fcst_7days"))
+        .agg(Amount.of(daily_forecast, "snop_daily_forecast").total().alias("fcst_7days"))
     )
 
 
@@ -90,7 +87,7 @@ def oos_visits(
     return (
         visits.where(window)
         .groupBy("product_id")
-        .agg(F.sum(exact("oos_visits")).alias("oos_visits"))
+        .agg(Amount.of(visits, "oos_visits").total().alias("oos_visits"))
     )
 
 
@@ -115,16 +112,11 @@ def forecast_horizons(
         return timewin.from_until(F.col("calendar_date"), start, start + timewin.days(days))
 
     longest = within(max(horizons))
-    amount = exact("daily_married_forecast")
+    amount = Amount.of(daily_forecast, "daily_married_forecast")
     totals = (
         daily_forecast.where(longest)
         .groupBy("productbusinessid")
-        .agg(
-            *[
-                F.sum(F.when(within(n), amount).otherwise(F.lit(0))).alias(f"total_{n}")
-                for n in horizons
-            ]
-        )
+        .agg(*[amount.summed(within(n)).alias(f"total_{n}") for n in horizons])
     )
     # A row outside a window adds 0 to it, so such a product has no null total.
     products = daily_forecast.groupBy("productbusinessid").agg(
@@ -135,10 +127,9 @@ def forecast_horizons(
     )
 
     def rounded(days: int) -> Column:
-        total = F.coalesce(
-            F.col(f"total_{days}"), F.when(F.col("has_other_days"), F.lit(0))
-        )
-        return F.round(times(total, F.col("n_rows")), 0).cast("bigint").alias(f"fcst_{days}days")
+        total = F.round(amount.value(F.col(f"total_{days}"), F.col("n_rows")), 0).cast("bigint")
+        none = F.when(F.col("has_other_days"), F.lit(0).cast("bigint"))
+        return F.coalesce(total, none).alias(f"fcst_{days}days")
 
     return (
         products.join(totals, "productbusinessid", "left")
@@ -170,9 +161,14 @@ def sold_units_per_sku(
         )
         .groupBy("productbusinessid", "productname")
         .agg(
-            F.sum(exact("ordered_qty")).alias("sold_units"),
-            F.sum(exact("invoiced_sales_ad")).alias("revenue"),
-            F.sum(exact("invoiced_db3_ad")).alias("profit"),
+            *[
+                Amount.of(picked, column).total().alias(name)
+                for column, name in (
+                    ("ordered_qty", "sold_units"),
+                    ("invoiced_sales_ad", "revenue"),
+                    ("invoiced_db3_ad", "profit"),
+                )
+            ]
         )
     )
     return sums.select(

@@ -18,10 +18,14 @@ from stocklens.constants import (
     STATUS_CLOSED,
     STATUS_INTERNAL,
 )
-from stocklens.functions.quantities import contains_none, exact, times
+from stocklens.functions.quantities import Amount, contains_none
 from stocklens.functions.timewin import plus_days
 
 
+# What makes a purchase group, beside the product.
+GROUP = ("purchase_id", "purchase_order_date", "expected_receipt_date", "order_type")
+
+
 def purchase_open_qty(fact_purchase: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Outstanding quantity per product and purchase.
 
@@ -29,16 +33,42 @@ def purchase_open_qty(fact_purchase: DataFrame, dim_product: DataFrame) -> DataF
     product form groups with a null ``product_id``.
     """
     products = dim_product.select("product_skey", "product_id")
+    total = Amount.of(fact_purchase, "outstanding_quantity").total()
     return (
         fact_purchase.join(products, "product_skey", "left")
-        .groupBy(
-            "product_id",
-            "purchase_id",
-            "purchase_order_date",
-            "expected_receipt_date",
-            "order_type",
-        )
-        .agg(F.sum(exact("outstanding_quantity")).alias("outstanding_quantity_external"))
+        .groupBy("product_id", *GROUP)
+        .agg(total.alias("outstanding_quantity_external"))
+    )
+
+
+def purchase_groups(fact_purchase: DataFrame) -> DataFrame:
+    """Purchase lines summed per key, purchase, dates, type and status; open ones apart.
+
+    What the ordering list needs of purchases beside their order types. Every
+    use of it needs all its columns, so Spark computes it once for all.
+    """
+    amount = Amount.of(fact_purchase, "outstanding_quantity")
+    is_open = F.col("outstanding_quantity") > 0
+    return (
+        fact_purchase.groupBy("product_skey", *GROUP, "purchase_status", is_open.alias("is_open"))
+        .agg(amount.summed().alias("outstanding"))
+        .select("*", amount.value(F.col("outstanding")).isNotNull().alias("has_quantity"))
+    )
+
+
+def largest_purchase_group(
+    groups: DataFrame, fact_purchase: DataFrame, dim_product: DataFrame
+) -> DataFrame:
+    """Largest outstanding quantity of any one purchase of each product, at least a 0 for unknown."""
+    amount = Amount.of(fact_purchase, "outstanding_quantity")
+    products = dim_product.select("product_skey", "product_id").where("product_id IS NOT NULL")
+    total = amount.value(amount.again("outstanding"))
+    return (
+        groups.join(products, "product_skey")
+        .groupBy("product_id", *GROUP)
+        .agg(total.alias("external"))
+        .groupBy("product_id")
+        .agg(F.max(F.coalesce("external", F.lit(0))).alias("best_external"))
     )
 
 
@@ -67,15 +97,12 @@ def inbound_open_internal(
         & (F.col("remaining_quantity") > 0)
         & (F.col("delete_flag") == "false")
         & (F.col("entry_type") == PURCHASE_ENTRY)
-    ).select("item_no", "document_no", exact("remaining_quantity").alias("remaining"))
+    ).select("item_no", "document_no", "remaining_quantity")
+    total = Amount.of(received, "remaining_quantity").total_times(F.col("n_lines"))
     return (
         received.join(kinds, F.col("document_no") == F.col("purchase_receipt_id"))
         .groupBy("item_no")
-        .agg(
-            F.sum(times(F.col("remaining"), F.col("n_lines")))
-            .cast("decimal(18,2)")
-            .alias("outstanding_quantity_internal")
-        )
+        .agg(total.cast("decimal(18,2)").alias("outstanding_quantity_internal"))
     )
 
 
@@ -140,12 +167,11 @@ def oldest_po_result(
 
     A product whose oldest purchase is a gift order has no row here.
     """
+    total = Amount.of(fact_purchase, "outstanding_quantity").total()
     return (
         _lines_of(fact_purchase, dim_product, oldest)
         .groupBy("product_id", "ebe", "order_type", "purchase_status", "purchase_order_date")
-        .agg(
-            F.coalesce(F.sum(exact("outstanding_quantity")), F.lit(0)).alias("open_qty_oldest_po")
-        )
+        .agg(F.coalesce(total, F.lit(0)).alias("open_qty_oldest_po"))
         .select(
             "product_id",
             "ebe",
@@ -197,54 +223,68 @@ def oldest_po_result_internal(
     )
 
 
-def oldest_po_both(fact_purchase: DataFrame, dim_product: DataFrame) -> DataFrame:
+def oldest_po_both(
+    fact_purchase: DataFrame, dim_product: DataFrame, groups: DataFrame | None = None
+) -> DataFrame:
     """Oldest external and internal purchase of each product, side by side.
 
     What the two detail lists give a report that needs only the ids and the
-    external order day. Open lines shrink to one row per product key, purchase,
-    type, status and day first, and that one pass serves both the search for
-    the oldest and its details. A product has one row per order day of its
-    oldest external purchase.
+    external order day. ``groups`` are the ``purchase_groups``, where the report
+    has them already. Conditions on a group's type
+    and status are aggregated, not filtered, so that the search for the oldest
+    and its details take the same groups. A product has one row per order day
+    of its oldest external purchase.
     """
-    fact_purchase = _open_purchases(fact_purchase)
-    oldest = _oldest(fact_purchase, dim_product, {"ext": _external(), "int": _internal()})
+    groups = purchase_groups(fact_purchase) if groups is None else groups
+    is_open = F.col("is_open") & F.col("has_quantity")
+    no_campaign = contains_none(F.col("order_type"), [CAMPAIGN_TYPE])
+    no_gift = contains_none(F.col("order_type"), [GIFT_TYPE])
+    products = dim_product.select("product_skey", "product_id")
+
+    def smallest(kind: Column) -> Column:
+        return F.min(F.when(is_open & no_campaign & kind, F.col("purchase_id")))
+
+    oldest = (
+        groups.groupBy("product_skey")
+        .agg(smallest(_external()).alias("ext"), smallest(_internal()).alias("int"))
+        .join(products, "product_skey")
+        .groupBy("product_id")
+        .agg(F.min("ext").alias("ext"), F.min("int").alias("int"))
+    )
     kinds = F.array(
         F.struct(F.col("ext").alias("ebe"), F.lit(False).alias("is_internal")),
         F.struct(F.col("int").alias("ebe"), F.lit(True).alias("is_internal")),
     )
-    oldest = oldest.select("sku", F.inline(kinds)).where(F.col("ebe").isNotNull())
-    lines = _lines_of(fact_purchase, dim_product, oldest).where(
-        ~F.col("is_internal") | _internal()
+    # met on key and purchase together, so that no join is on the product alone
+    wanted = (
+        oldest.select("product_id", F.inline(kinds))
+        .where(F.col("ebe").isNotNull())
+        .join(products, "product_id")
+        .withColumnRenamed("product_skey", "key")
     )
-    external = (
-        lines.where(~F.col("is_internal"))
-        .select(
+    is_detail = is_open & no_gift & (~F.col("is_internal") | _internal())
+    details = (
+        groups.join(
+            wanted,
+            (F.col("product_skey") == F.col("key")) & F.col("purchase_id").eqNullSafe(F.col("ebe")),
+        )
+        .groupBy(
             "product_id",
-            F.col("ebe").alias("oldest_ebe_external"),
-            F.col("purchase_order_date").alias("order_date_oldest_po"),
+            "ebe",
+            "is_internal",
+            F.when(~F.col("is_internal"), F.to_date("purchase_order_date")).alias("order_day"),
         )
-        .distinct()
+        .agg(F.bool_or(is_detail).alias("has_detail"))
+        .where("has_detail")
     )
-    internal = (
-        lines.where(F.col("is_internal"))
-        .select("product_id", F.col("ebe").alias("oldest_ebe_internal"))
-        .distinct()
+    external = details.where(~F.col("is_internal")).select(
+        "product_id",
+        F.col("ebe").alias("oldest_ebe_external"),
+        F.col("order_day").alias("order_date_oldest_po"),
+    )
+    internal = details.where("is_internal").select(
+        "product_id", F.col("ebe").alias("oldest_ebe_internal")
     )
     return external.join(internal, "product_id", "full_outer").select(
         "product_id", "oldest_ebe_internal", "oldest_ebe_external", "order_date_oldest_po"
     )
-
-
-def _open_purchases(fact_purchase: DataFrame) -> DataFrame:
-    """Distinct open purchases per product key, with their order day."""
-    return (
-        fact_purchase.where(F.col("outstanding_quantity") > 0)
-        .groupBy(
-            "product_skey",
-            "purchase_id",
-            "order_type",
-            "purchase_status",
-            F.to_date("purchase_order_date").alias("purchase_order_date"),
-        )
-        .agg(F.max("outstanding_quantity").alias("outstanding_quantity"))
-    )

@@ -85,9 +85,23 @@ class Reports:
         return assortment.assortment_base(*self._assortment_inputs())
 
     def abc_clustering(self) -> DataFrame:
-        return assortment.abc_clustering(
-            assortment.assortment_members(*self._assortment_inputs())
+        return self._clusters(self._purchase_groups())
+
+    def _purchase_groups(self) -> DataFrame:
+        return purchasing.purchase_groups(self.tables.fact_purchase)
+
+    def _clusters(self, groups: DataFrame) -> DataFrame:
+        best = purchasing.largest_purchase_group(
+            groups, self.tables.fact_purchase, self.tables.dim_product
+        )
+        members = assortment.members_by_best_group(
+            self.tables.dim_product,
+            best,
+            self.inbound_open_internal(),
+            self.units_ytd(),
+            self.dates.as_of,
         )
+        return assortment.abc_clustering(members)
 
     def oldest_po_min(self) -> DataFrame:
         return purchasing.oldest_po_min(self.tables.fact_purchase, self.tables.dim_product)
@@ -172,10 +186,11 @@ class Reports:
         )
 
     def ordering_master(self) -> DataFrame:
+        groups = self._purchase_groups()
         return ordering.ordering_master(
             self.stockout_products(),
-            self.abc_clustering(),
-            purchasing.oldest_po_both(self.tables.fact_purchase, self.tables.dim_product),
+            self._clusters(groups),
+            purchasing.oldest_po_both(self.tables.fact_purchase, self.tables.dim_product, groups),
             self.leadtime(),
             self.zero_order_count(),
             self.units_last_days(),
