@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -31,12 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one where the session names none."""
+    """The folder all executors share; a temporary one only where they are all on this machine."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="stocklens-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
+    context = spark.sparkContext
+    if not hasattr(context, "stocklens_folder"):
+        context.stocklens_folder = tempfile.mkdtemp(prefix="stocklens-")
+        atexit.register(shutil.rmtree, context.stocklens_folder, ignore_errors=True)
+    return "file://" + context.stocklens_folder
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -44,11 +51,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: whatever is lost later is read again from there, and
     what was drawn or computed once is not computed differently a second time.
+    The folder stays until ``dropped``, or until whoever owns the shared folder
+    clears it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stocklens-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stocklens_path = path
+    return found
+
+
+def dropped(found: DataFrame) -> None:
+    """Deletes what ``stored`` wrote; for what nothing reads any more, such as an earlier round."""
+    spark = found.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(found.stocklens_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remainder(doc_id: Column, modulus: int) -> Column:

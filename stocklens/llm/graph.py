@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import stored
+from stocklens.llm.common import dropped, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,9 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u")
         small = small.select(F.col("v").alias("a"), "m").union(small.select("u", "m"))
-        edges = stored(
+        last, edges = edges, stored(
             small.where("a != m").select("a", F.col("m").alias("b")).distinct(), "edges"
         )
+        dropped(last)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before:
             break

@@ -203,22 +203,21 @@ def _bytes_of(c: Column, pieces: Pieces) -> Column:
     )
 
 
-def encoded_fragments(distinct: DataFrame, pieces: Pieces, carried: str | None = None) -> DataFrame:
-    """fragment and ids of distinct fragments, with the column ``carried`` if named.
+def encoded_fragments(distinct: DataFrame, pieces: Pieces) -> DataFrame:
+    """fragment and ids of distinct fragments.
 
     Fragments have at most ``LONG`` characters. ``distinct`` should be dealt by
     fragment already; then the grouping of edges needs no shuffle. The piece
     table is broadcast: a model's vocabulary does not grow with the corpus.
     """
     spark = distinct.sparkSession
-    keep = [carried] if carried else []
     span = F.explode(F.sequence(F.lit(0), F.length("fragment") - 1)).alias("s")
-    starts = distinct.select("fragment", *keep, span)
+    starts = distinct.select("fragment", span)
     size = F.explode(
         F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("fragment") - F.col("s")))
     ).alias("size")
-    edges = starts.select("fragment", *keep, "s", size).select(
-        "fragment", *keep, "s", (F.col("s") + F.col("size")).alias("e"),
+    edges = starts.select("fragment", "s", size).select(
+        "fragment", "s", (F.col("s") + F.col("size")).alias("e"),
         F.expr("substring(fragment, s + 1, size)").alias("piece"),
     )
     table = piece_table(spark, pieces)
@@ -228,9 +227,7 @@ def encoded_fragments(distinct: DataFrame, pieces: Pieces, carried: str | None =
         "e", "s", F.coalesce("id", F.lit(-1)).alias("id"),
         F.transform(F.coalesce("key", F.expr("CAST(array() AS array<int>)")), lambda k: k + F.col("s")).alias("key"),
     )
-    lattice = joined.groupBy("fragment").agg(
-        F.sort_array(F.collect_list(edge)).alias("edges"), *[F.first(c).alias(c) for c in keep]
-    )
+    lattice = joined.groupBy("fragment").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     start = F.array(F.struct(F.array(F.lit(LAST)).alias("key"), F.lit(0).alias("s"), F.lit(-1).alias("id")))
 
     def step(best: Column, x: Column) -> Column:
@@ -262,14 +259,14 @@ def encoded_fragments(distinct: DataFrame, pieces: Pieces, carried: str | None =
     best = F.aggregate("edges", start, step)
     ends = F.struct(n.alias("left"), n.alias("at"), none.alias("out"))
     path = F.aggregate(F.reverse(F.slice(best, 2, n)), ends, back, lambda acc: acc["out"])
-    lattice = lattice.select("fragment", *keep, path.alias("path"))
+    lattice = lattice.select("fragment", path.alias("path"))
     character = lambda x: F.substring(F.col("fragment"), x["e"], F.lit(1))
     with_bytes = F.flatten(F.transform(
         "path", lambda x: F.when(x["id"] >= 0, F.array(x["id"])).otherwise(_bytes_of(character(x), pieces))
     ))
     unknown = F.exists("path", lambda x: x["id"] < 0)
     folded = F.when(unknown, with_bytes).otherwise(F.transform("path", lambda x: x["id"]))
-    return lattice.select("fragment", *keep, folded.alias("ids"))
+    return lattice.select("fragment", folded.alias("ids"))
 
 
 # ---- documents --------------------------------------------------------------------------
@@ -368,7 +365,7 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
         for batch in rows_of(batches):
             for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = _text(data)
-                more = [f for f in set(fragments(text, p)).difference(lex) if len(f) <= LONG]
+                more = [f for f in set(fragments(text, p)) if f not in lex and len(f) <= LONG]
                 seen.setdefault(bucket, set()).update(more)
                 held += len(more)
             if held > 150_000:
@@ -376,15 +373,13 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
                 seen, held = {}, 0
         yield from flush()
 
-    # as many partitions as buckets, so that a partition's edges are sorted in memory
-    wanted = (
-        dealt.select("bucket", "data")
-        .mapInArrow(rare, "bucket int, fragment string")
-        .repartition(buckets, "fragment")
-        .groupBy("fragment")
-        .agg(F.collect_set("bucket").alias("buckets"))
+    # as many partitions as buckets, so that a partition's edges are sorted in memory;
+    # edges carry no buckets, which are many for a frequent fragment, and meet the ids afterwards
+    asked = stored(dealt.select("bucket", "data").mapInArrow(rare, "bucket int, fragment string"), "rare")
+    asked = asked.repartition(buckets, "fragment")
+    others = asked.join(encoded_fragments(asked.select("fragment").distinct(), pieces), "fragment").select(
+        "fragment", "ids", "bucket"
     )
-    others = encoded_fragments(wanted, pieces, "buckets").select("fragment", "ids", F.explode("buckets").alias("bucket"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Fragments and ids by bucket, compressed."""
