@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stocklens.llm.quality_rules import BASE_RULES, CURRENT, RULES, mask
+from stocklens.llm.quality_rules import BASE_RULES, BLOCK, CURRENT, RULES, mask
 
 _FAILURES = " + ".join(
     f"CASE WHEN {condition} THEN {1 << i} ELSE 0 END" for i, condition in enumerate(RULES.values())
@@ -28,7 +28,7 @@ WITH d AS (
   SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
-         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(list_distinct(w)) AS n_distinct_words,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(list_sum(list_transform(range(0, CAST(ceil(len(w) / {BLOCK}.0) AS BIGINT)), lambda b: len(list_distinct(w[b * {BLOCK} + 1:b * {BLOCK} + {BLOCK}])))), 0) AS BIGINT) AS n_distinct_words,
          length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) AS n_letters,
          length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) AS n_capitals,
          length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclamations

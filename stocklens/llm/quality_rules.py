@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\\x20\\x09-\\x0D]"
 WINDOW = 8
+BLOCK = 500  # words among which distinct ones are counted
 
 # The rules in the order of their bits, as conditions on the measurements.
 RULES = {
@@ -25,7 +26,7 @@ RULES = {
     "long_words": "word_chars > 12 * n_words",
     "short_words": "word_chars < 2 * n_words",
     "shouting": "n_letters >= 50 AND 10 * n_capitals > 4 * n_letters",
-    "few_distinct_words": "n_words BETWEEN 50 AND 2000 AND 10 * n_distinct_words < 4 * n_words",
+    "few_distinct_words": "n_words >= 50 AND 10 * n_distinct_words < 4 * n_words",
     "exclamations": "10 * n_exclamations > 2 * n_words",
 }
 BASE_RULES = ("few_words", "repeated_windows")
@@ -66,7 +67,9 @@ def measured(docs: DataFrame) -> DataFrame:
 
     Words are runs without white space. The words of windows of eight that
     occur twice or more count as repeated, the first occurrence included.
-    Windows are compared by a 64-bit hash. Repeated rows stay, columns other
+    Windows are compared by a 64-bit hash. Distinct words are counted in every
+    block of ``BLOCK`` words, the last one shorter, and summed: their share does
+    not fall with the length of a text. Repeated rows stay, columns other
     than doc_id and text are not read.
     """
     df = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("t"))
@@ -81,7 +84,11 @@ def measured(docs: DataFrame) -> DataFrame:
         F.expr("CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '')) AS BIGINT)").alias("n_symbols"),
         F.expr("CAST(size(lines) AS BIGINT)").alias("n_lines"),
         F.expr("CAST(size(lines) - size(array_distinct(lines)) AS BIGINT)").alias("n_dup_lines"),
-        F.expr("CAST(size(array_distinct(hashes)) AS BIGINT)").alias("n_distinct_words"),
+        F.expr(
+            f"CASE WHEN size(hashes) = 0 THEN 0L WHEN size(hashes) <= {BLOCK} THEN CAST(size(array_distinct(hashes)) AS BIGINT)"
+            f" ELSE aggregate(sequence(0, size(hashes) - 1, {BLOCK}), 0L, (n, at) ->"
+            f" n + size(array_distinct(transform(sequence(at, least(at + {BLOCK}, size(hashes)) - 1), i -> get(hashes, i))))) END"
+        ).alias("n_distinct_words"),
         F.expr("CAST(length(regexp_replace(t, '[^\\\\p{L}]+', '')) AS BIGINT)").alias("n_letters"),
         F.expr("CAST(length(regexp_replace(t, '[^\\\\p{Lu}]+', '')) AS BIGINT)").alias("n_capitals"),
         F.expr("CAST(length(t) - length(replace(t, '!', '')) AS BIGINT)").alias("n_exclamations"),

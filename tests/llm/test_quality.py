@@ -147,3 +147,15 @@ def test_limit_comes_from_all_held_out_texts(spark, docs, prose):
     steps = quality_classifier.STEPS
     assert model.limit == min(0.5, np.floor(good[int(0.05 * len(good))] * steps) / steps)
     assert 0 < model.limit < 0.5
+
+
+def test_few_distinct_words_fail_at_any_length(docs, prose):
+    rng = np.random.default_rng(5)
+    few = {n: " ".join(f"w{k}" for k in rng.integers(0, 20, n)) for n in (49, 50, 499, 500, 501, 2000, 2001, 30_000)}
+    rows = list(few.items()) + [(100_000 + n, prose(n, n, words=4000)) for n in (60, 500, 501, 2000, 2001, 30_000)]
+    bit = quality_rules.mask("few_distinct_words")
+    found = {r.doc_id: r for r in quality_rules.ledger(docs(*rows)).collect()}
+    assert {i for i, r in found.items() if r.failures & bit} == {50, 499, 500, 501, 2000, 2001, 30_000}
+    for i, text in rows:
+        words = text.split()
+        assert found[i].n_distinct_words == sum(len(set(words[k : k + 500])) for k in range(0, len(words), 500))
