@@ -1,7 +1,7 @@
 """URL filters: rules first, then trust and distrust spread over links of hosts.
 
-Hosts most of whose pages a rule allows are trusted, hosts most of whose pages
-a rule blocks are distrusted. Personalised PageRank carries trust along links
+Every host that has pages a rule allows starts with trust in proportion to
+them, every host that has pages a rule blocks with distrust. Personalised PageRank carries trust along links
 and distrust against them (who links to a bad host is suspect). A host whose
 distrust outweighs its trust is blocked where no rule speaks for a page.
 """
@@ -14,11 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import stored
+from stocklens.llm.common import dropped, stored
 
 BLOCK, ALLOW = "block", "allow"
-SETTLED = 1e-9  # share of a host's mass that a round may still change
-EVEN = 1e-7  # share of a host's mass by which trust and distrust may differ and count as equal
+HOPS = 4  # links a round follows
+SETTLED = 1e-6  # share of a host's mass that a round may still change
+EVEN = 1e-4  # share of a host's mass by which trust and distrust may differ and count as equal
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LINK = r"(?i)\bhref\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#\"'\s<>]+)"
 
@@ -74,9 +75,10 @@ def with_rule(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 def host_links(pages: DataFrame) -> DataFrame:
     """(src, dst, n): links between different hosts, and from a host to the one it is under.
 
-    A host such as blog.a.example.com counts as linked with a.example.com, in
-    both directions, where that has pages too. Links without a host stay on
-    their own host and say nothing.
+    A host counts as linked, in both directions, with the nearest host above it
+    that has pages: blog.a.example.com with a.example.com, or with example.com
+    where the former has none. Links without a host stay on their own host and
+    say nothing.
     """
     own = with_host(pages.select("page_id", "url")).select("host")
     hosts = own.where("host != ''").groupBy("host").count()
@@ -91,11 +93,17 @@ def host_links(pages: DataFrame) -> DataFrame:
         .groupBy("src", "dst")
         .agg(F.count("*").alias("n"))
     )
-    above = hosts.select("host", F.regexp_replace("host", "^[^.]*[.]", "").alias("up")).where("host != up")
-    over = above.join(hosts.select(F.col("host").alias("up")), "up").select("host", "up", F.col("host").alias("h"))
-    both = over.select(F.col("host").alias("src"), F.col("up").alias("dst")).union(
-        over.select(F.col("up"), F.col("host"))
+    labels = F.split("host", "[.]")
+    names = F.transform(F.sequence(F.lit(2), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    above = hosts.where(F.size(labels) > 1).select("host", F.explode(names).alias("up")).where("up != ''")
+    over = (
+        above.join(hosts.select(F.col("host").alias("up")), "up")
+        .groupBy("host")
+        .agg(F.max_by("up", F.length("up")).alias("up"))
     )
+    both = over.select(F.explode(F.array(
+        F.struct(F.col("host").alias("src"), F.col("up").alias("dst")), F.struct(F.col("up").alias("src"), F.col("host").alias("dst"))
+    )).alias("link")).select("link.*")
     return (
         links.union(both.withColumn("n", F.lit(1).cast("long")))
         .groupBy("src", "dst")
@@ -104,24 +112,21 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def seeds(ruled: DataFrame) -> DataFrame:
-    """(host, trust, distrust): 1 for hosts most of whose pages a rule allows, or blocks."""
-    counts = ruled.where("host != ''").groupBy("host").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("ruled") == ALLOW).alias("allowed"),
-        F.count_if(F.col("ruled") == BLOCK).alias("blocked"),
+    """(host, trust, distrust): how many pages of a host a rule allows, and blocks."""
+    return ruled.where("host != ''").groupBy("host").agg(
+        F.count_if(F.col("ruled") == ALLOW).cast("double").alias("trust"),
+        F.count_if(F.col("ruled") == BLOCK).cast("double").alias("distrust"),
     )
-    most = lambda c: (2 * F.col(c) > F.col("n")).cast("double")
-    return counts.select("host", most("allowed").alias("trust"), most("blocked").alias("distrust"))
 
 
 def propagate(links: DataFrame, start: DataFrame, damping: float = 0.85) -> DataFrame:
     """(host, trust, distrust) of personalised PageRank.
 
-    Trust and distrust start evenly on their seeds. Mass on hosts without links
+    Trust and distrust start in proportion to a host's pages. Mass on hosts without links
     ends there, which scales all shares alike. Each round joins the shares
-    held so far with the links and is written out. Rounds end when none changes
+    held so far with the links, ``HOPS`` times over, and is written out. Rounds end when none changes
     the mass of any host by more than ``SETTLED`` of it, so that no host that a
-    seed reaches is left out; every seed has mass 1 until then.
+    seed reaches is left out; every page counts 1 until then.
     """
     out = links.groupBy("src").agg(F.sum("n").alias("total"))
     forth = links.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("share"))
@@ -136,24 +141,30 @@ def propagate(links: DataFrame, start: DataFrame, damping: float = 0.85) -> Data
     sums = start.agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")).first()
     weight = {k: 1.0 / sums[k] if sums[k] else 0.0 for k in ("trust", "distrust")}
     kinds = [
-        start.where(F.col(k) > 0).select("host", F.lit(k).alias("kind"), F.lit(1.0).alias("mass"))
+        start.where(F.col(k) > 0).select("host", F.lit(k).alias("kind"), F.col(k).alias("mass"))
         for k in weight
     ]
     source = stored(kinds[0].union(kinds[1]), "seeds")
     held = restart = source.withColumn("mass", F.col("mass") * (1 - damping))
-    settled = False
+    settled, last = False, None
     while not settled:
-        moved = held.join(edges, ["host", "kind"]).select(
-            F.col("dst").alias("host"), "kind", (F.col("mass") * F.col("share") * damping).alias("mass")
-        )
+        now = held
+        for _ in range(HOPS):
+            moved = now.join(edges, ["host", "kind"]).select(
+                F.col("dst").alias("host"), "kind", (F.col("mass") * F.col("share") * damping).alias("mass")
+            )
+            now = moved.union(restart).groupBy("host", "kind").agg(F.sum("mass").alias("mass"))
+        after = now.withColumn("last", F.lit(0.0))
         before = held.select("host", "kind", F.lit(0.0).alias("mass"), F.col("mass").alias("last"))
-        after = moved.union(restart).withColumn("last", F.lit(0.0))
-        held = stored(
+        fresh = stored(
             after.union(before).groupBy("host", "kind").agg(F.sum("mass").alias("mass"), F.sum("last").alias("last")),
             "ranks",
         )
-        settled = held.where(F.abs(F.col("mass") - F.col("last")) > SETTLED * F.col("mass")).isEmpty()
-        held = held.select("host", "kind", "mass")
+        settled = fresh.where(F.abs(F.col("mass") - F.col("last")) > SETTLED * F.col("mass")).isEmpty()
+        held = fresh.select("host", "kind", "mass")
+        if last:
+            dropped(last)
+        last = fresh
     amount = lambda k: F.sum(F.when(F.col("kind") == k, F.col("mass") * weight[k]).otherwise(0.0)).alias(k)
     return held.groupBy("host").agg(amount("trust"), amount("distrust"))
 

@@ -30,18 +30,20 @@ def plain_rule(host: str, path: str) -> url_filters.Rule | None:
     return max(fits, key=lambda r: len(r.text), default=None)
 
 
-def plain_ranks(links: dict, start: dict, rounds: int = 8, damping: float = 0.85) -> dict:
+def plain_ranks(links: dict, start: dict, damping: float = 0.85) -> dict:
+    """Until no host's mass changes by more than a millionth of a millionth of it."""
     total = Counter()
     for (s, _), n in links.items():
         total[s] += n
-    seeds = {h: 1 / len(start) for h in start}
-    held = dict(seeds)
-    for _ in range(rounds):
-        fresh = defaultdict(float, {h: (1 - damping) * v for h, v in seeds.items()})
+    held = seeds = {h: (1 - damping) * v / sum(start.values()) for h, v in start.items()}
+    while True:
+        fresh = defaultdict(float, seeds)
         for (s, d), n in links.items():
             fresh[d] += damping * held.get(s, 0.0) * n / total[s]
+        done = all(abs(v - held.get(h, 0.0)) <= 1e-12 * v for h, v in fresh.items())
         held = fresh
-    return held
+        if done:
+            return held
 
 
 def plain(pages: list) -> list:
@@ -55,19 +57,20 @@ def plain(pages: list) -> list:
             if host and target.lower() != host:
                 links[host, target.lower()] += 1
     for host in by_host:
-        up = host.split(".", 1)[1] if "." in host else host
-        if up != host and up in by_host:
-            links[host, up] += 1
-            links[up, host] += 1
-    seeds = {
-        v: [h for h, x in by_host.items() if 2 * x.count(v) > len(x)] for v in ("allow", "block")
+        labels = host.split(".")
+        ups = [u for k in range(1, len(labels)) if (u := ".".join(labels[k:])) in by_host and u]
+        if ups:
+            links[host, ups[0]] += 1
+            links[ups[0], host] += 1
+    start = {
+        v: {h: float(x.count(v)) for h, x in by_host.items() if v in x} for v in ("allow", "block")
     }
-    trust = plain_ranks(links, seeds["allow"])
-    distrust = plain_ranks({(d, s): n for (s, d), n in links.items()}, seeds["block"])
+    trust = plain_ranks(links, start["allow"])
+    distrust = plain_ranks({(d, s): n for (s, d), n in links.items()}, start["block"])
     out = []
     for (page, _, _), (host, path), rule in zip(pages, parts, rules, strict=True):
         t, d = trust.get(host, 0.0), distrust.get(host, 0.0)
-        verdict = rule.verdict if rule else "block" if d - 0.5 * (t + d) > 1e-12 else "allow"
+        verdict = rule.verdict if rule else "block" if d - 0.5 * (t + d) > url_filters.EVEN * (t + d) else "allow"
         out.append((page, host, path, rule.text if rule else None, verdict))
     return out
 
@@ -128,6 +131,15 @@ def test_a_far_host_is_reached(pages):
     assert set(found.values()) == {"block"}
 
 
+def test_few_ruled_pages_and_far_ancestors_decide(pages):
+    """One blocked page of many is enough where nothing is allowed, and reaches hosts two names below."""
+    rows = [(i, f"http://spam.example.com/p{i}", "") for i in range(9)] + [(9, "http://spam.example.com/de/x", "")]
+    rows += [(20, "http://a.b.spam.example.com/", ""), (21, "http://good.org/fr/", ""), (22, "http://x.y.good.org/", ""), (23, "http://far.com/", "")]
+    found = {r[0]: r[4] for r in _compare(url_filters.judged_pages(pages(rows)), rows)}
+    assert {found[i] for i in range(10)} == {"block"} and found[20] == "block"
+    assert found[22] == found[23] == "allow"
+
+
 def test_small_shares_decide_as_large_ones(pages):
     rows, target = [(0, "http://bad.net/", "")], "bad.net"
     for hop in range(7):
