@@ -14,6 +14,7 @@ number is fixed by the settings, not by the corpus.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.llm import pitman_yor as py
-from stocklens.llm.common import remainder, rows_of, stored, texts_of
+from stocklens.llm.common import dropped, remainder, rows_of, stored, texts_of
 
 CONTEXTS = 1 << 16
 FLUSH = 1 << 20  # tokens packed at a time
@@ -168,19 +169,34 @@ def _frequent(source: DataFrame) -> tuple[int, np.ndarray]:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, words, _, _ in _flushes(batches):
-            found, counts = np.unique(words, return_counts=True)
-            often = counts >= 4
-            yield pa.RecordBatch.from_arrays(
+        found: Counter = Counter()
+        n = 0
+
+        def flush() -> pa.RecordBatch:
+            often = [(w, c) for w, c in found.items() if c >= 4]
+            words = [xxhash.xxh64_intdigest(w) for w, _ in often]
+            return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([None, *found[often].view(np.int64).tolist()], pa.int64()),
-                    pa.array([len(words), *counts[often].tolist()], pa.int64()),
+                    pa.array([None, *np.array(words, np.uint64).view(np.int64).tolist()], pa.int64()),
+                    pa.array([n, *(c for _, c in often)], pa.int64()),
                 ],
                 names=["word", "n"],
             )
 
+        for batch in rows_of(batches):
+            for data in batch.column(0):
+                words = data.as_py().lower().split()
+                found.update(words)
+                found[b"\0end"] += 1  # hashed as END
+                n += len(words) + 1
+                if n >= FLUSH:
+                    yield flush()
+                    found, n = Counter(), 0
+        if n:
+            yield flush()
+
     counted = stored(
-        source.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
+        source.select("data").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
         "frequent",
     )
     total = counted.where("word IS NULL").first()
@@ -194,6 +210,10 @@ STATE = (
     "bucket int, words binary, counts binary, singles binary, dish binary, contexts binary,"
     " customers binary, totals binary"
 )
+SEATED = (
+    "bucket int, words binary, counts binary, singles binary, dish binary, contexts binary, customers binary,"
+    " tables array<binary>, root_tables array<binary>"
+)
 
 
 def _restaurants(source: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
@@ -307,21 +327,51 @@ def _hot_tables(model: py.Model, customers: np.ndarray, before: py.Totals | None
     ).astype(float)
 
 
+def _kept_seatings(row, bucket: py.Bucket) -> list[py.Seating]:
+    """The last seatings of a bucket, the newest at the end; the first one where none is kept."""
+    kept = [
+        (np.frombuffer(t, np.int32).astype(np.int64), np.frombuffer(r, np.int32).astype(np.int64))
+        for t, r in zip(row["tables"], row["root_tables"], strict=True)
+    ]
+    return [py.Seating(t, py.at_root(bucket, t), r) for t, r in kept] or [py.first_seating(bucket)]
+
+
+def _seated(state: DataFrame, model: py.Model, samples: int) -> DataFrame:
+    """The restaurants after one more sweep, with their last ``samples`` seatings."""
+    known = state.sparkSession.sparkContext.broadcast(model)
+    number = len(model.history) - 1
+
+    def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows_of(batches, 1):
+            [row] = batch.to_pylist()
+            bucket = _loaded(row)
+            kept = _kept_seatings(row, bucket)
+            new = py.sweep(known.value, bucket, kept[-1], number)
+            last = [*kept, new][-samples:] if row["tables"] else [new]
+            arrays = [
+                pa.array([[getattr(s, c).astype(np.int32).tobytes() for s in last]], pa.list_(pa.binary()))
+                for c in ("tables", "root_tables")
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], *arrays], names=[*BUCKET_COLUMNS, "tables", "root_tables"])
+
+    return stored(state.select(*BUCKET_COLUMNS, "tables", "root_tables").mapInArrow(seat, SEATED), "seated")
+
+
 def _totals(state: DataFrame, model: py.Model) -> py.Totals:
-    """Totals after one sweep more than the model has seen."""
+    """Totals of the seating that the restaurants are in."""
     rounds, hots = len(model.history), len(model.hot)
     known = state.sparkSession.sparkContext.broadcast(model)
 
     def vector(row: dict) -> np.ndarray:
         m, bucket = known.value, _loaded(row)
-        seating = py.sweeps(m, bucket, rounds)[-1]
+        seating = _kept_seatings(row, bucket)[-1]
         tables = np.bincount(bucket.context, seating.tables, minlength=CONTEXTS)
         hot, at = py.hot_places(m, bucket.words)
         by_hot = np.bincount(at[hot], seating.root_customers[hot], minlength=hots)[:hots]
         cold = [seating.root_customers[~hot].sum(), seating.root_tables[~hot].sum()]
         return np.concatenate([tables, by_hot, cold])
 
-    summed = _summed(state, BUCKET_COLUMNS, vector, CONTEXTS + hots + 2)
+    summed = _summed(state, [*BUCKET_COLUMNS, "tables", "root_tables"], vector, CONTEXTS + hots + 2)
     customers = summed[CONTEXTS : CONTEXTS + hots]
     tables = _hot_tables(model, customers, model.history[-1] if rounds else None, rounds)
     return py.Totals(
@@ -365,9 +415,15 @@ def learn(source: DataFrame, burn_in: int = 2, samples: int = 2) -> tuple[py.Mod
     model.train_tokens = int(model.customers.sum())
     share = lambda a, b: float(np.clip(a / (a + 2 * b), 0.1, 0.95)) if a else 0.5
     model.discount, model.root_discount = share(once, twice), share(root_once, root_twice)
-    for _ in range(burn_in + samples + 1):  # the first totals are those before any sweep
-        model.history.append(_totals(state, model))
-    return model, state, buckets
+    nobody = F.expr("CAST(array() AS array<binary>)")
+    seated = state.withColumns({"tables": nobody, "root_tables": nobody})
+    model.history.append(_totals(seated, model))  # before any sweep
+    for number in range(burn_in + samples):
+        last, seated = seated, _seated(seated, model, samples)
+        if number:
+            dropped(last)
+        model.history.append(_totals(seated, model))
+    return model, seated, buckets
 
 
 # ---- scoring ----------------------------------------------------------------------------
@@ -389,7 +445,8 @@ def _hot_pairs(model: py.Model, state: DataFrame, samples: int) -> tuple[np.ndar
             if not len(often):
                 continue
             counts, context, dish = bucket.customers[often], bucket.context[often], bucket.dish[often]
-            p = py.predictive(m, bucket, samples, dish, context, counts, bucket.words)
+            seatings = _kept_seatings(row, bucket)
+            p = py.predictive(m, bucket, samples, dish, context, counts, bucket.words, seatings)
             hot, at = py.hot_places(m, bucket.words)
             seen = bucket.counts.astype(float)
             seen[hot] = m.hot_counts[at[hot]]
@@ -402,7 +459,7 @@ def _hot_pairs(model: py.Model, state: DataFrame, samples: int) -> tuple[np.ndar
                 names=["pair", "log_p", "seen"],
             )
 
-    found = state.select(*BUCKET_COLUMNS).mapInArrow(pairs, "pair long, log_p double, seen double").collect()
+    found = state.mapInArrow(pairs, "pair long, log_p double, seen double").collect()
     keys = np.array([r.pair for r in found], np.int64).view(np.uint64)
     order = np.argsort(keys)
     return keys[order], np.array([r.log_p for r in found])[order], np.array([r.seen for r in found])[order]
@@ -480,9 +537,11 @@ def scores(docs: DataFrame, burn_in: int = 2, samples: int = 2) -> DataFrame:
         empty = np.zeros(0, np.int64)
         if len(restaurants):
             bucket = _loaded(restaurants.iloc[0])
+            seatings = _kept_seatings(restaurants.iloc[0], bucket)
         else:
             bucket = py.Bucket(int(key[0]), empty.view(np.uint64), empty, empty, empty, empty, empty)
-        p = py.predictive(m, bucket, samples, word, c, in_training, vocabulary)
+            seatings = [py.first_seating(bucket)] * samples
+        p = py.predictive(m, bucket, samples, word, c, in_training, vocabulary, seatings)
         seen = np.zeros(len(vocabulary))
         if len(bucket.words):
             at = np.minimum(np.searchsorted(bucket.words, vocabulary), len(bucket.words) - 1)
@@ -531,7 +590,7 @@ def scores(docs: DataFrame, burn_in: int = 2, samples: int = 2) -> DataFrame:
     packed = source.mapInArrow(pack, PACKED)
     parts = (
         packed.groupBy("bucket")
-        .cogroup(state.select(*BUCKET_COLUMNS).groupBy("bucket"))
+        .cogroup(state.groupBy("bucket"))
         .applyInPandas(score, PACKED.replace("bucket int, ", ""))
     )
     found = parts.groupBy("flush").applyInPandas(

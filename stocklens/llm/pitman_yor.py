@@ -8,8 +8,8 @@ are summed out: P(t | c) is S(c, t) prod_i (strength + discount (T + i)) P^t
 with generalised Stirling numbers S, T the tables of the other dishes and P the
 root's probability of the dish. A sweep draws t anew for every dish in every
 context, then the tables of every dish at the root, given the totals after the
-sweep before. Draws are seeded by bucket and sweep, so a sweep run again, after
-a lost executor or for a later step, gives the same seating.
+sweep before. Draws are seeded by bucket and sweep, so a sweep run again after
+a lost executor gives the same seating.
 """
 
 from __future__ import annotations
@@ -131,28 +131,39 @@ class Seating:
     root_tables: np.ndarray
 
 
-def sweeps(model: Model, bucket: Bucket, rounds: int) -> list[Seating]:
-    """The bucket's seating before the first sweep and after each of ``rounds`` sweeps."""
-    n = len(bucket.words)
-    hot, at_hot = hot_places(model, bucket.words)
-    logs, root_logs = stirling(model.discount), stirling(model.root_discount)
+def at_root(bucket: Bucket, tables: np.ndarray) -> np.ndarray:
+    """Customers of each word at the root: its tables in all contexts."""
+    return bucket.singles + np.bincount(bucket.dish, tables, minlength=len(bucket.words)).astype(np.int64)
 
-    def at_root(tables: np.ndarray) -> np.ndarray:
-        return bucket.singles + np.bincount(bucket.dish, tables, minlength=n).astype(np.int64)
 
+def first_seating(bucket: Bucket) -> Seating:
+    """Before any sweep: one table for each dish."""
     tables = np.ones(len(bucket.dish), np.int64)
-    found = [Seating(tables, at_root(tables), np.ones(n, np.int64))]
-    for number, totals in enumerate(model.history[:rounds]):
-        now = found[-1]
-        rng = np.random.default_rng([bucket.number, number])
-        root = root_of(model, totals, now, hot, at_hot)
-        others = np.maximum(totals.tables[bucket.context] - now.tables, 0.0)
-        tables = seat(rng, bucket.customers, others, root[bucket.dish], model.strength, model.discount, logs)
-        customers = at_root(tables)
-        base = np.full(n, 1.0 / (model.vocabulary + 1))
-        others = np.maximum(totals.root_tables - now.root_tables, 0.0)
-        root_tables = seat(rng, customers, others, base, model.root_strength, model.root_discount, root_logs)
-        found.append(Seating(tables, customers, root_tables))
+    return Seating(tables, at_root(bucket, tables), np.ones(len(bucket.words), np.int64))
+
+
+def sweep(model: Model, bucket: Bucket, now: Seating, number: int) -> Seating:
+    """The seating after one more sweep, given the totals after the sweep before."""
+    totals = model.history[number]
+    hot, at_hot = hot_places(model, bucket.words)
+    rng = np.random.default_rng([bucket.number, number])
+    root = root_of(model, totals, now, hot, at_hot)
+    others = np.maximum(totals.tables[bucket.context] - now.tables, 0.0)
+    logs = stirling(model.discount)
+    tables = seat(rng, bucket.customers, others, root[bucket.dish], model.strength, model.discount, logs)
+    customers = at_root(bucket, tables)
+    base = np.full(len(bucket.words), 1.0 / (model.vocabulary + 1))
+    others = np.maximum(totals.root_tables - now.root_tables, 0.0)
+    logs = stirling(model.root_discount)
+    root_tables = seat(rng, customers, others, base, model.root_strength, model.root_discount, logs)
+    return Seating(tables, customers, root_tables)
+
+
+def sweeps(model: Model, bucket: Bucket, rounds: int) -> list[Seating]:
+    """The bucket's seating before the first sweep and after each of ``rounds`` sweeps."""
+    found = [first_seating(bucket)]
+    for number in range(min(rounds, len(model.history))):
+        found.append(sweep(model, bucket, found[-1], number))
     return found
 
 
@@ -175,10 +186,12 @@ def hot_places(model: Model, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def predictive(
     model: Model, bucket: Bucket, samples: int, word: np.ndarray, context: np.ndarray,
-    counts: np.ndarray, words: np.ndarray,
+    counts: np.ndarray, words: np.ndarray, seatings: list[Seating] | None = None,
 ) -> np.ndarray:
     """Mean probability over the last ``samples`` seatings of (word, context) pairs.
 
+    ``seatings`` are those, where they are kept; else they are drawn again.
+
     ``word`` is the place in ``words`` (distinct hashes), ``counts`` how often
     the pair occurred in training.
     """
@@ -194,9 +207,9 @@ def predictive(
         multi &= False
     hot, at_hot = hot_places(model, words)
     total = np.zeros(len(word))
-    seatings = sweeps(model, bucket, len(model.history) - 1)
-    for number in range(len(model.history) - samples, len(model.history)):
-        totals, seating = model.history[number], seatings[number]
+    if seatings is None:
+        seatings = sweeps(model, bucket, len(model.history) - 1)
+    for totals, seating in zip(model.history[-samples:], seatings[-samples:], strict=True):
         customers, tables = np.zeros(len(words)), np.zeros(len(words))
         customers[known] = seating.root_customers[place[known]]
         tables[known] = seating.root_tables[place[known]]

@@ -134,3 +134,31 @@ def test_large_dishes_are_seated():
     n = np.array([65, 1000, 10**6])
     t = py.seat(rng, n, np.zeros(3), np.full(3, 0.01), 1.0, 0.5, py.stirling(0.5))
     assert (t >= 1).all() and (t <= n).all() and (np.diff(t) >= 0).all()
+
+
+@pytest.mark.parametrize(("burn_in", "samples"), [(0, 1), (1, 2)])
+def test_scores_equal_those_of_a_model_held_in_one_place(docs, prose, burn_in, samples):
+    """Counts in dictionaries and every sweep drawn again, against kept seatings and packed buckets."""
+    rows = [(i, prose(i, 40, words=60)) for i in range(60)] + [(70, ""), (None, "w1 w2"), (71, "w1 never seen")]
+    hashed = lambda t: language_model.tokens_of((t or "").encode(), language_model._Hashes()).tolist()
+    fold = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5
+    texts = [(i, [(w, u >> 48) for w, u in zip(t, [language_model.START, *t[:-1]], strict=True)]) for i, x in rows for t in [hashed(x)]]
+    pairs: Counter = Counter()
+    for i, t in texts:
+        if fold(i) != 1:
+            pairs.update(t)
+    model, bucket = _model(language_model.CONTEXTS, [(w, u, n) for (w, u), n in pairs.items()])
+    share = lambda a, b: float(np.clip(a / (a + 2 * b), 0.1, 0.95)) if a else 0.5
+    model.strength = model.root_strength = 1.0
+    model.discount = share(sum(n == 1 for n in pairs.values()), sum(n == 2 for n in pairs.values()))
+    spread = Counter(w for w, _ in pairs)
+    model.root_discount = share(sum(n == 1 for n in spread.values()), sum(n == 2 for n in spread.values()))
+    for _ in range(burn_in + samples + 1):
+        model.history.append(_totals(model, bucket, py.sweeps(model, bucket, len(model.history))[-1]))
+    found = {r.doc_id: r.score for r in language_model.scores(docs(*rows), burn_in, samples).collect()}
+    for i, t in texts:
+        words = np.unique(np.array([w for w, _ in t], np.uint64))
+        place = np.searchsorted(words, np.array([w for w, _ in t], np.uint64))
+        counts = np.array([pairs[x] for x in t])
+        p = py.predictive(model, bucket, samples, place, np.array([u for _, u in t], np.int64), counts, words)
+        assert found[i] == pytest.approx(float(np.log10(p).sum()), rel=1e-9)
