@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -69,6 +69,15 @@ def dropped(found: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def set_apart(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with only doc_id and text under their names, and what gives all names back.
+
+    Nothing an operator adds can clash with other columns then, whatever they are called.
+    """
+    names = [c if c in ("doc_id", "text") else f"other{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), lambda df: df.select(*names).toDF(*docs.columns)
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null ids count as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import rows_of, stored, texts_of
+from stocklens.llm.common import rows_of, set_apart, stored, texts_of
 
 # Fixed masks of seven words each. Wherever replaced words lie in a stretch of 13
 # to 25 words, at most a fifth of them, one mask meets none; a longer stretch can
@@ -277,4 +277,5 @@ def without_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` less the documents that hold a passage of an item; columns stay."""
     found = contaminated(docs, items).select(F.col("doc_id").alias("leaked_")).distinct()
     found = stored(found, "leaked")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked_")), "left_anti")
+    docs, named = set_apart(docs)
+    return named(docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked_")), "left_anti"))

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import stored
+from stocklens.llm.common import set_apart, stored
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -548,6 +548,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     Spans that overlap are replaced as one, named by the first. Other columns
     and rows stay as they are; null text stays null.
     """
+    names = docs.columns
+    docs, named = set_apart(docs)
     proposed = stored(with_proposals(docs, "text"), "pii")
     found = with_spans(proposed, fit(proposed))
     text = F.col("row")["text"]
@@ -569,12 +571,12 @@ def redacted(docs: DataFrame) -> DataFrame:
     found = found.select("row", changed.alias("text_"), (F.size("spans_") > 0).alias("is_changed_"))
     own = F.col("row")
 
-    def value(name: str) -> Column:
+    def value(name: str, given: str) -> Column:
         if name == "text":
             return F.col("text_").alias(name)
-        if name == "n_chars":
-            counted = F.length("text_").cast(docs.schema["n_chars"].dataType)
+        if given == "n_chars":
+            counted = F.length("text_").cast(docs.schema[name].dataType)
             return F.when(F.col("is_changed_"), counted).otherwise(own[name]).alias(name)
         return own[name].alias(name)
 
-    return found.select(*map(value, docs.columns))
+    return named(found.select(*map(value, docs.columns, names)))

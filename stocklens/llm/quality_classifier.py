@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import rows_of, stored, texts_of
+from stocklens.llm.common import rows_of, set_apart, stored, texts_of
 
 BUCKETS = 1 << 14
 STEPS = 1 << 16
@@ -263,6 +263,7 @@ def classified(docs: DataFrame, ratings: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, ratings: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is accepted; columns stay."""
+    docs, named = set_apart(docs)
     judged = scored(docs, fit(docs, ratings))
     accept: Column = F.col("accepted_")
-    return judged.where(accept).select(*docs.columns)
+    return named(judged.where(accept))

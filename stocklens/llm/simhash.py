@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import rows_of, stored, texts_of
+from stocklens.llm.common import rows_of, set_apart, stored, texts_of
 from stocklens.llm.graph import components
 
 SEED = 42
@@ -148,6 +148,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     Columns stay as they are. Rows without an id come last; among rows with
     the same id the smallest text stays, and of equal rows one.
     """
+    docs, named = set_apart(docs)
     marked = stored(with_fingerprints(docs, shingle), "marked")
     prints = marked.select(F.col("simhash_").alias("fp"), "doc_id")
     found = near_duplicates(prints).withColumnRenamed("fp", "simhash_")
@@ -182,4 +183,4 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
     single = kept.join(again, here, "left_anti")
     repeated = kept.join(again, here, "left_semi").dropDuplicates(["simhash_", "doc_id"])
-    return single.union(repeated).select(*docs.columns)
+    return named(single.union(repeated))

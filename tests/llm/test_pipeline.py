@@ -6,6 +6,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stocklens.llm import decontamination, pii, sentencepiece_bpe
@@ -89,3 +90,18 @@ def test_a_passage_is_removed_with_its_document(spark, docs, prose):
     df = docs((1, prose(1) + " " + item), (2, prose(2)))
     assert plain_hits(prose(1) + " " + item, item) is not None
     assert [r.doc_id for r in decontamination.without_passages(df, items).collect()] == [2]
+
+
+def test_columns_named_like_those_inside_come_back(spark, docs, prose):
+    names = (
+        "simhash_", "fp_", "group_", "order_", "i_", "t_", "leaked_", "expected_", "tail_", "accepted_", "base_", "proposed_",
+        "taught_", "known_", "added_", "all_", "spans_", "pieces_", "text_", "is_changed_", "row", "part", "hash", "other0", "other5",
+    )
+    df = docs((1, prose(1, 40) + " mail me@mail.example.com"), (2, prose(2, 60)), (3, None), extra=False)
+    for name in names:
+        df = df.withColumn(name, F.lit(name))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, df, PATH)
+        assert out.columns == df.columns
+        found = out.collect()
+        assert found and all(r[name] == name for r in found for name in names)
