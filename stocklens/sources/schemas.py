@@ -64,15 +64,14 @@ def conform(df: DataFrame, relation: str, extra: Sequence[str] = ()) -> DataFram
     """Select and cast the columns of ``relation`` and take ``extra`` ones as they are.
 
     Other columns are left out. A decimal keeps its own type where it has more
-    digits before or after the point than the declared one.
+    digits, in all or after the point, than the declared one.
     """
     kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
 
     def cast(f: T.StructField) -> str:
         kind, own = f.dataType, kinds.get(f.name.lower())
         if isinstance(kind, T.DecimalType) and isinstance(own, T.DecimalType):
-            before = own.precision - own.scale > kind.precision - kind.scale
-            kind = own if before or own.scale > kind.scale else kind
+            kind = own if own.precision > kind.precision or own.scale > kind.scale else kind
         return f"CAST(`{f.name}` AS {kind.simpleString()}) AS {f.name}"
 
     return df.selectExpr(*map(cast, schema(relation)), *[f"`{name}`" for name in extra])

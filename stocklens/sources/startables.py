@@ -322,7 +322,7 @@ class StarTables:
                 "*",
                 "date_sub(week_start_date, 7 * lag_weeks) AS as_of_date",
                 "after AS forecast_quantity_after_uplifts_before_adjustment",
-                "after * top_factor AS married_forecast_quantity",
+                "CAST(after * top_factor AS decimal(28,10)) AS married_forecast_quantity",
             ),
             "base_history",
         )
