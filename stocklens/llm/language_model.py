@@ -30,7 +30,7 @@ from stocklens.llm import pitman_yor as py
 from stocklens.llm.common import dropped, remainder, rows_of, stored, texts_of
 
 CONTEXTS = 1 << 16
-FLUSH = 1 << 20  # tokens packed at a time
+FLUSH = 1 << 19  # tokens packed at a time; twice as many are counted at a time
 BUCKET = 1 << 21  # tokens meant for a bucket
 HOT = 1 << 18  # tokens from which a word or pair is hot; also the most that can be
 START = xxhash.xxh64_intdigest(b"\0start")
@@ -40,7 +40,7 @@ CHUNK = 4096
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 250_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -163,8 +163,8 @@ def _source(docs: DataFrame) -> DataFrame:
 def _frequent(source: DataFrame) -> tuple[int, np.ndarray]:
     """The number of tokens, and the words that would make a bucket hot.
 
-    The limit is a share of 1 / HOT of all tokens, which is four tokens of a
-    flush on average; words that occur less in a flush are not reported from it,
+    The limit is a share of 1 / HOT of all tokens, which is four of those
+    counted at a time on average; words that occur less in a flush are not reported from it,
     so half the limit counts. Fewer than 2 HOT words can reach that.
     """
 
@@ -189,7 +189,7 @@ def _frequent(source: DataFrame) -> tuple[int, np.ndarray]:
                 found.update(words)
                 found[b"\0end"] += 1  # hashed as END
                 n += len(words) + 1
-                if n >= FLUSH:
+                if n >= 2 * FLUSH:
                     yield flush()
                     found, n = Counter(), 0
         if n:
