@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import collections
+import math
 import re
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 
 from stocklens.llm import quality_classifier, quality_rules
 from stocklens.llm.queries import oracle_sql, queries
@@ -159,3 +161,67 @@ def test_few_distinct_words_fail_at_any_length(docs, prose):
     for i, text in rows:
         words = text.split()
         assert found[i].n_distinct_words == sum(len(set(words[k : k + 500])) for k in range(0, len(words), 500))
+
+
+def plain_probabilities(text: str | None, model: quality_classifier.OrdinalModel) -> list[float]:
+    """P(grade > k) for every threshold, from dictionaries and a sum over words."""
+    words = (text or "").split()
+    shares: dict[int, float] = collections.Counter()
+    for word in words:
+        shape = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "Aa" if m[0][0].isupper() else "a", word)
+        for key in (word.lower(), "\0" + re.sub(r"\d+", "9", shape)[:12]):
+            shares[xxhash.xxh32_intdigest(key) % (quality_classifier.BUCKETS - 1) + 1] += 1 / len(words)
+    if words:
+        shares[0] += sum(a == b for a, b in zip(words, words[1:], strict=False)) / len(words)
+    score = sum(float(model.weights[b]) * math.sqrt(v) for b, v in shares.items())
+    return [1 / (1 + math.exp(-max(-30.0, min(30.0, score - t)))) for t in model.thresholds]
+
+
+def test_scores_match_plain_ones(spark, docs, prose):
+    """Four grades on odd texts, and the query on its whole table."""
+    rows = [(i, " ".join(w.upper() if k % 4 < 3 - i % 4 else w for k, w in enumerate(prose(i, 40).split()))) for i in range(160)]
+    ratings = spark.createDataFrame([(i, i % 4) for i, _ in rows], "doc_id long, quality int")
+    model = quality_classifier.fit(docs(*rows), ratings)
+    tried = rows[:40] + [(900, None), (901, ""), (902, "same same same Same 12 12,5 É1é _"), (None, "x"), (903, prose(5, 20_000))]
+    found = {r.doc_id: r for r in quality_classifier.scored(docs(*tried), model).collect()}
+    for i, text in tried:
+        above = plain_probabilities(text, model)
+        assert found[i].expected_ == pytest.approx(sum(above), rel=1e-4, abs=1e-6)
+        assert found[i].tail_ == pytest.approx(above[quality_classifier.upper_grade(3) - 1], rel=1e-4, abs=1e-6)
+    table, labels = (spark.read.parquet(f"{PATH}/{n}.parquet") for n in ("documents", "labels"))
+    model = quality_classifier.fit(table, labels)
+    found = {r.doc_id: r for r in queries()["op1_quality_classifier"](spark, PATH).collect()}
+    for r in table.collect():
+        [p] = plain_probabilities(r.text, model)
+        assert found[r.doc_id].tail_probability == pytest.approx(p, rel=1e-3, abs=1e-5)
+        assert found[r.doc_id].accepted == (found[r.doc_id].tail_probability >= model.limit)
+
+
+def test_fitted_weights_are_near_the_best(spark):
+    """No small step along the gradient of a plainly written likelihood gains much."""
+    rng = np.random.default_rng(2)
+    rows = [(np.array([0, 1 + int(x > 0), 3]), np.array([0.2, abs(x), 0.5])) for x in rng.normal(size=400)]
+    score = np.array([v[1] * (2.0 if i[1] == 2 else -2.0) for i, v in rows])
+    grades = np.digitize(score + rng.logistic(size=400), [-1.0, 1.0])
+    index, values = (np.concatenate([r[k] for r in rows]) for k in (0, 1))
+    model = quality_classifier.fit_ordinal(index, values, 3 * np.arange(1, 401), grades, 2)
+
+    def loss(weights, cuts) -> float:
+        total = 0.0
+        for (i, v), g in zip(rows, grades, strict=True):
+            s = float(weights[i] @ v)
+            above = [1.0, *(1 / (1 + math.exp(c - s)) for c in cuts), 0.0]
+            total -= math.log(above[g] - above[g + 1])
+        return total / len(rows)
+
+    best = loss(model.weights, model.thresholds)
+    assert model.weights[2] > 1 > -1 > model.weights[1]
+    for step in (-0.2, 0.2):
+        for b in range(4):
+            moved = model.weights.copy()
+            moved[b] += step
+            assert loss(moved, model.thresholds) > best - 2e-3
+        for k in range(2):
+            cuts = model.thresholds.copy()
+            cuts[k] += step
+            assert loss(model.weights, cuts) > best - 2e-3

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from stocklens.llm import toxicity
@@ -92,3 +94,62 @@ def test_query_on_held_out_rows(spark):
     held = [r for r in rows if r.held_out and r.doc_id in labels]
     assert np.mean([r.predicted == labels[r.doc_id] for r in held]) > 0.9
     assert not [r for r in rows if r.doc_id is None]
+
+
+def plain_learned(texts: list[tuple[str, int]], entries: int = 2000) -> dict[str, float]:
+    """Log-odds of words and beginnings of words, from counts of whole texts in one dictionary."""
+    counts: dict[str, list[int]] = {}
+    for text, toxic in texts:
+        words = set(toxicity.folded(text).split())
+        for term in {f" {w} " for w in words} | {" " + w[:n] for w in words for n in range(5, 10) if n <= len(w)}:
+            counts.setdefault(term, [0, 0])[toxic] += 1
+    n = [sum(y == k for _, y in texts) for k in (0, 1)]
+    odds = {
+        t: math.log((c[1] + 0.1) / (n[1] + 0.2)) - math.log((c[0] + 0.1) / (n[0] + 0.2)) for t, c in counts.items() if c[1] >= 4
+    }
+    strong = sorted((t for t, w in odds.items() if w > 2), key=lambda t: (-odds[t] * math.sqrt(counts[t][1]), len(t), t))
+    found: dict[str, float] = {}
+    for term in sorted(strong[:entries], key=lambda t: (len(t), t)):
+        if odds[term] > max((found[term[:k]] for k in range(2, len(term)) if term[:k] in found), default=0.0) + 0.7:
+            found[term] = odds[term]
+    return found
+
+
+def plain_score(text: str | None, lexicon: toxicity.Lexicon) -> tuple[float, int]:
+    """Every entry tried at every place."""
+    text = toxicity.folded(text or "")
+    inside = [(i, i + len(p)) for p in lexicon.exceptions for i in range(len(text)) if text.startswith(p, i)]
+    total, n = 0.0, 0
+    for i in range(len(text)):
+        fits = [e for e in lexicon.weights if text.startswith(e, i)]
+        if fits:
+            entry = max(fits, key=len)
+            end = i + len(entry) - 1
+            if not any(s <= i and end <= e for s, e in inside):
+                total, n = total + lexicon.weights[entry], n + 1
+    amount = total / (1 + math.log1p(text.count(" ") / 50))
+    return 1 / (1 + math.exp(-(lexicon.offset + lexicon.slope * amount))), n
+
+
+def test_lexicon_and_scores_match_plain_ones(spark, docs, prose):
+    rows, _, lexicon = _learned(spark, docs, prose)
+    toxic = {i: y for i, _, y in _corpus(prose)[1]}
+    fitted = [(t, toxic[i]) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert lexicon.weights == pytest.approx(plain_learned(fitted), rel=1e-9)
+    tried = rows[:60] + [(9000, None), (9001, ""), (9002, "gentle blorg blorg SN4RKLE grimpersnarkle " + prose(3, 200))]
+    found = {r.doc_id: r for r in toxicity.scores(docs(*tried), lexicon).collect()}
+    for i, text in tried:
+        score, n = plain_score(text, lexicon)
+        assert (found[i].score, found[i].n_matches) == (pytest.approx(score, rel=1e-9), n)
+        assert found[i].predicted == int(score >= 0.3)
+
+
+def test_query_matches_plain_scores(spark):
+    docs_, labels = (spark.read.parquet(f"{PATH}/{n}.parquet") for n in ("documents", "labels"))
+    lexicon = toxicity.learn(docs_, labels)
+    texts = {r.doc_id: r.text for r in docs_.where("length(text) < 1500").collect()}
+    found = {r.doc_id: r for r in queries()["op4_toxicity"](spark, PATH).collect()}
+    assert len(found) == docs_.count()
+    for i, text in texts.items():
+        assert found[i].score == pytest.approx(plain_score(text, lexicon)[0], rel=1e-9)
+        assert found[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
