@@ -236,13 +236,16 @@ def oldest_po_both(
     of its oldest external purchase.
     """
     groups = purchase_groups(fact_purchase) if groups is None else groups
-    is_open = F.col("is_open") & F.col("has_quantity")
+    # one condition on both columns: anything that follows for is_open alone would
+    # move below the grouping, and the groups would be computed once more for this use
+    both = F.col("is_open").cast("int") + F.col("has_quantity").cast("int")
+    groups = groups.where(both.eqNullSafe(F.lit(2)))
     no_campaign = contains_none(F.col("order_type"), [CAMPAIGN_TYPE])
     no_gift = contains_none(F.col("order_type"), [GIFT_TYPE])
     products = dim_product.select("product_skey", "product_id")
 
     def smallest(kind: Column) -> Column:
-        return F.min(F.when(is_open & no_campaign & kind, F.col("purchase_id")))
+        return F.min(F.when(no_campaign & kind, F.col("purchase_id")))
 
     oldest = (
         groups.groupBy("product_skey")
@@ -262,7 +265,7 @@ def oldest_po_both(
         .join(products, "product_id")
         .withColumnRenamed("product_skey", "key")
     )
-    is_detail = is_open & no_gift & (~F.col("is_internal") | _internal())
+    is_detail = no_gift & (~F.col("is_internal") | _internal())
     details = (
         groups.join(
             wanted,
