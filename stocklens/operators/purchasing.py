@@ -41,31 +41,32 @@ def purchase_open_qty(fact_purchase: DataFrame, dim_product: DataFrame) -> DataF
     )
 
 
-def purchase_groups(fact_purchase: DataFrame) -> DataFrame:
-    """Purchase lines summed per key, purchase, dates, type and status; open ones apart.
+def purchase_groups(fact_purchase: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Purchase lines summed per product, purchase, dates, type and status; open ones apart.
 
-    What the ordering list needs of purchases beside their order types. Every
-    use of it needs all its columns, so Spark computes it once for all.
+    What the ordering list needs of purchases beside their order types. Lines
+    are dealt by product and purchase, which every further grouping here keeps
+    to; and every use needs all the columns, so Spark computes them once for all.
     """
     amount = Amount.of(fact_purchase, "outstanding_quantity")
     is_open = F.col("outstanding_quantity") > 0
+    products = dim_product.select("product_skey", "product_id").where("product_id IS NOT NULL")
     return (
-        fact_purchase.groupBy("product_skey", *GROUP, "purchase_status", is_open.alias("is_open"))
+        fact_purchase.join(products, "product_skey")
+        .select("product_id", *GROUP, "purchase_status", "outstanding_quantity")
+        .repartition("product_id", "purchase_id")
+        .groupBy("product_id", *GROUP, "purchase_status", is_open.alias("is_open"))
         .agg(amount.summed().alias("outstanding"))
         .select("*", amount.value(F.col("outstanding")).isNotNull().alias("has_quantity"))
     )
 
 
-def largest_purchase_group(
-    groups: DataFrame, fact_purchase: DataFrame, dim_product: DataFrame
-) -> DataFrame:
+def largest_purchase_group(groups: DataFrame, fact_purchase: DataFrame) -> DataFrame:
     """Largest outstanding quantity of any one purchase of each product, at least a 0 for unknown."""
     amount = Amount.of(fact_purchase, "outstanding_quantity")
-    products = dim_product.select("product_skey", "product_id").where("product_id IS NOT NULL")
     total = amount.value(amount.again("outstanding"))
     return (
-        groups.join(products, "product_skey")
-        .groupBy("product_id", *GROUP)
+        groups.groupBy("product_id", *GROUP)
         .agg(total.alias("external"))
         .groupBy("product_id")
         .agg(F.max(F.coalesce("external", F.lit(0))).alias("best_external"))
@@ -235,41 +236,32 @@ def oldest_po_both(
     and its details take the same groups. A product has one row per order day
     of its oldest external purchase.
     """
-    groups = purchase_groups(fact_purchase) if groups is None else groups
+    groups = purchase_groups(fact_purchase, dim_product) if groups is None else groups
     # one condition on both columns: anything that follows for is_open alone would
     # move below the grouping, and the groups would be computed once more for this use
     both = F.col("is_open").cast("int") + F.col("has_quantity").cast("int")
     groups = groups.where(both.eqNullSafe(F.lit(2)))
     no_campaign = contains_none(F.col("order_type"), [CAMPAIGN_TYPE])
     no_gift = contains_none(F.col("order_type"), [GIFT_TYPE])
-    products = dim_product.select("product_skey", "product_id")
 
     def smallest(kind: Column) -> Column:
         return F.min(F.when(no_campaign & kind, F.col("purchase_id")))
 
-    oldest = (
-        groups.groupBy("product_skey")
-        .agg(smallest(_external()).alias("ext"), smallest(_internal()).alias("int"))
-        .join(products, "product_skey")
-        .groupBy("product_id")
-        .agg(F.min("ext").alias("ext"), F.min("int").alias("int"))
+    oldest = groups.groupBy("product_id").agg(
+        smallest(_external()).alias("ext"), smallest(_internal()).alias("int")
     )
     kinds = F.array(
         F.struct(F.col("ext").alias("ebe"), F.lit(False).alias("is_internal")),
         F.struct(F.col("int").alias("ebe"), F.lit(True).alias("is_internal")),
     )
-    # met on key and purchase together, so that no join is on the product alone
-    wanted = (
-        oldest.select("product_id", F.inline(kinds))
-        .where(F.col("ebe").isNotNull())
-        .join(products, "product_id")
-        .withColumnRenamed("product_skey", "key")
+    wanted = oldest.select(F.col("product_id").alias("sku"), F.inline(kinds)).where(
+        F.col("ebe").isNotNull()
     )
     is_detail = no_gift & (~F.col("is_internal") | _internal())
     details = (
         groups.join(
             wanted,
-            (F.col("product_skey") == F.col("key")) & F.col("purchase_id").eqNullSafe(F.col("ebe")),
+            (F.col("product_id") == F.col("sku")) & F.col("purchase_id").eqNullSafe(F.col("ebe")),
         )
         .groupBy(
             "product_id",

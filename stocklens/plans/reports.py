@@ -88,12 +88,10 @@ class Reports:
         return self._clusters(self._purchase_groups())
 
     def _purchase_groups(self) -> DataFrame:
-        return purchasing.purchase_groups(self.tables.fact_purchase)
+        return purchasing.purchase_groups(self.tables.fact_purchase, self.tables.dim_product)
 
     def _clusters(self, groups: DataFrame) -> DataFrame:
-        best = purchasing.largest_purchase_group(
-            groups, self.tables.fact_purchase, self.tables.dim_product
-        )
+        best = purchasing.largest_purchase_group(groups, self.tables.fact_purchase)
         members = assortment.members_by_best_group(
             self.tables.dim_product,
             best,

@@ -127,8 +127,8 @@ def test_reports_of_long_decimals(spark, make, rows, kind):
     oldest = purchasing.oldest_po_min(lines, dim)
     [row] = purchasing.oldest_po_result(lines, dim, oldest).collect()
     assert row.open_qty_oldest_po == plain([Decimal("900000000000000.5"), exact])
-    groups = purchasing.purchase_groups(lines)
-    [row] = purchasing.largest_purchase_group(groups, lines, dim).collect()
+    groups = purchasing.purchase_groups(lines, dim)
+    [row] = purchasing.largest_purchase_group(groups, lines).collect()
     assert row.best_external == exact
     ledger = make(
         "item_ledger",
