@@ -31,7 +31,7 @@ from stocklens.llm.common import dropped, remainder, rows_of, stored, texts_of
 
 CONTEXTS = 1 << 16
 FLUSH = 1 << 19  # tokens packed at a time; twice as many are counted at a time
-BUCKET = 1 << 21  # tokens meant for a bucket
+BUCKET = 1 << 20  # tokens meant for a bucket
 HOT = 1 << 18  # tokens from which a word or pair is hot; also the most that can be
 START = xxhash.xxh64_intdigest(b"\0start")
 END = xxhash.xxh64_intdigest(b"\0end")
@@ -527,6 +527,7 @@ def scores(docs: DataFrame, burn_in: int = 2, samples: int = 2) -> DataFrame:
         learned, counts = (counts & 1).astype(bool), (counts >> 1).astype(np.int64)
         order = np.lexsort((contexts, words))
         w, c = words[order], contexts[order].astype(np.int64)
+        del words, contexts
         first = _runs(w, c)
         pair = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(w))))
         in_training = np.bincount(pair, np.where(learned, counts, 0)[order], minlength=len(first))
@@ -552,6 +553,7 @@ def scores(docs: DataFrame, burn_in: int = 2, samples: int = 2) -> DataFrame:
         log_p, log_base, is_known = np.log10(p), m.base_log(seen), seen > 0
         pair_of = np.empty(len(order), np.int64)
         pair_of[order] = pair
+        del order, pair, learned
         of = lambda x: x[pair_of] * counts
         # entries of one document in one flush are added up before they go on
         where = row.astype(np.int64) * 65536 + places
