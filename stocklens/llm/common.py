@@ -14,10 +14,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Rows and bytes of a batch between Spark and a Python worker. Both hold a batch whole, and Spark
+#: doubles its buffers as they fill; the defaults are 10,000 rows and 64 MB.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per context, wherever they run."""
+    """Sends this package to the Python workers, once per context, wherever they run.
+
+    Batches sent to them are kept small where the session does not say otherwise.
+    """
+    given = spark.conf.getAll
+    for key, value in BATCHES.items():
+        if key not in given:
+            spark.conf.set(key, value)
     context = spark.sparkContext
     if getattr(context, "stocklens_sent", False):
         return

@@ -297,22 +297,27 @@ def _slots(hashes: np.ndarray) -> list[np.ndarray]:
     return [((hashes >> np.uint64(s)) & np.uint64((1 << BITS) - 1)).astype(np.int64) for s in (0, 19, 38)]
 
 
-def _dealt(source: DataFrame, marks: np.ndarray, buckets: int, marked: bool) -> DataFrame:
-    """The documents that are marked, with their bucket; or those that are not."""
+def _marked(batch: pa.RecordBatch, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a batch's documents, and which of them are marked."""
+    ids, texts = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    n = np.zeros(len(ids), np.uint64)
+    hashes = _documents(Tuples(ids, texts, n, n, n, n))
+    inside = np.ones(len(ids), bool)
+    for s in _slots(hashes):
+        inside &= (bits[s >> 3] >> (s & 7)) & 1 == 1
+    return hashes, inside
+
+
+def _dealt(source: DataFrame, marks: np.ndarray, buckets: int) -> DataFrame:
+    """The documents that are marked, with their bucket."""
     known = source.sparkSession.sparkContext.broadcast(marks)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = known.value
         for batch in rows_of(batches):
-            ids, texts = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            n = np.zeros(len(ids), np.uint64)
-            hashes = _documents(Tuples(ids, texts, n, n, n, n))
-            inside = np.ones(len(ids), bool)
-            for s in _slots(hashes):
-                inside &= (bits[s >> 3] >> (s & 7)) & 1 == 1
+            hashes, inside = _marked(batch, known.value)
             bucket = pa.array((_deal(hashes, buckets).astype(np.int64) + buckets).astype(np.int32))
             out = pa.RecordBatch.from_arrays([bucket, *batch.columns], names=["bucket", "id", "text", "data", "missing"])
-            yield out.filter(pa.array(inside == marked))
+            yield out.filter(pa.array(inside))
 
     return source.mapInArrow(deal, "bucket int, id long, text long, data binary, missing boolean")
 
@@ -371,17 +376,20 @@ def deduplicated(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     buckets = max(1, -(-total // BUCKET))
     found = stored(_sorted_tuples(_tuples(source, buckets), buckets), "stretches")
     ranges, wanted = found.where(F.col("kind") == RANGES), found.where(F.col("kind") == WANTED)
-    strings = _strings(_dealt(source, _marks(wanted), buckets, True), wanted, buckets)
+    strings = _strings(_dealt(source, _marks(wanted), buckets), wanted, buckets)
     single = stored(
         _sorted_tuples(strings, buckets).where(F.col("kind") == RANGES), "strings"
     )
     ranges = ranges.union(single)
     marks = _marks(ranges)
+    known = docs.sparkSession.sparkContext.broadcast(marks)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents that are not marked; in the same worker that tells so, as each takes memory."""
         for batch in rows_of(batches):
-            texts = [t.as_py() for t in batch.column(3)]
-            ids = [None if m else i for i, m in zip(batch.column(1).to_pylist(), batch.column(4).to_pylist(), strict=True)]
+            batch = batch.filter(pa.array(~_marked(batch, known.value)[1]))
+            texts = [t.as_py() for t in batch.column(2)]
+            ids = [None if m else i for i, m in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             zero = pa.array([0] * len(texts), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -410,8 +418,8 @@ def deduplicated(docs: DataFrame, with_kept: bool = True) -> DataFrame:
         return frame.astype({"doc_id": "Int64"})
 
     schema = RESULT + ", kept binary"
-    untouched = _dealt(source, marks, buckets, False).mapInArrow(whole, schema)
-    touched = _dealt(source, marks, buckets, True)
+    untouched = source.mapInArrow(whole, schema)
+    touched = _dealt(source, marks, buckets)
     changed = touched.groupBy("bucket").cogroup(ranges.groupBy("bucket")).applyInPandas(cut, schema)
     found = untouched.union(changed)
     return found if with_kept else found.drop("kept")

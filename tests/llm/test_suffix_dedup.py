@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from stocklens.llm import suffix_dedup
+from stocklens.llm import common, suffix_dedup
 from stocklens.llm.queries import queries
 from tests.llm.conftest import PATH
 
@@ -82,3 +82,20 @@ def test_every_string_has_its_anchor():
         for p in range(first, last + 1):
             grams.setdefault(data[p : p + 100], set()).add(gram)
     assert all(len(g) == 1 for g in grams.values())
+
+
+def test_workers_get_small_batches_one_after_the_other(docs, prose):
+    df = docs((1, prose(1)), (2, prose(1)))
+    spark = df.sparkSession
+    for key in common.BATCHES:
+        spark.conf.unset(key)
+    common.ship(spark)
+    assert {k: spark.conf.get(k) for k in common.BATCHES} == common.BATCHES
+    key = next(iter(common.BATCHES))
+    spark.conf.set(key, "77")
+    common.ship(spark)
+    assert spark.conf.get(key) == "77"  # what the session says holds
+    spark.conf.unset(key)
+    plan = suffix_dedup.deduplicated(df)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    nodes = [line.lstrip(" :+-") for line in plan]
+    assert not any(a.startswith("MapInArrow") and b.startswith("MapInArrow") for a, b in zip(nodes, nodes[1:], strict=False))
