@@ -375,8 +375,7 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
 
     # as many partitions as buckets, so that a partition's edges are sorted in memory;
     # edges carry no buckets, which are many for a frequent fragment, and meet the ids afterwards
-    asked = stored(dealt.select("bucket", "data").mapInArrow(rare, "bucket int, fragment string"), "rare")
-    asked = asked.repartition(buckets, "fragment")
+    asked = dealt.select("bucket", "data").mapInArrow(rare, "bucket int, fragment string").repartition(buckets, "fragment")
     # no bucket is negative, but asking for one lets both uses share a shuffle
     distinct = asked.groupBy("fragment").agg(F.min("bucket").alias("least")).where("least >= 0").select("fragment")
     others = asked.join(encoded_fragments(distinct, pieces), "fragment").select("fragment", "ids", "bucket")

@@ -91,3 +91,15 @@ def test_a_model_without_byte_pieces(spark):
     distinct = spark.createDataFrame([("▁ab",), ("bab",), ("▁éb",), ("aba",)], "fragment string").repartition("fragment")
     found = {r.fragment: r.ids for r in bpe.encoded_fragments(distinct, small).collect()}
     assert found == {"▁ab": [5], "bab": [3, 4], "▁éb": [1, 0, 3], "aba": [4, 2]}
+
+
+def test_rare_fragments_are_shuffled_once_and_not_written(spark, docs, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(40)) for _ in range(20)]
+    written, kept = [], bpe.stored
+    monkeypatch.setattr(bpe, "stored", lambda df, name: written.append(name) or kept(df, name))
+    docs(*enumerate(texts)).write.parquet(f"{tmp_path}/docs")
+    df = bpe.encoded(spark.read.parquet(f"{tmp_path}/docs"), bound=1)
+    assert len(df.collect()) == 20
+    assert written == ["frequent"]
+    assert df._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") == 1
