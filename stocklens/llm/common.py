@@ -56,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + context.stocklens_folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The rows, written to the shared folder and read again.
 
     Cuts the lineage: whatever is lost later is read again from there, and
@@ -66,7 +66,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stocklens-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     found = spark.read.schema(df.schema).parquet(path)
     found.stocklens_path = path
     return found

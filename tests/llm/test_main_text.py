@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 from html import unescape
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from stocklens.llm import main_text, queries
@@ -149,3 +150,24 @@ def test_query_matches_the_article_of_each_page(spark):
         article = re.search(r"<article>(.*?)</article>", r.html, re.DOTALL)[1]
         pieces = (re.sub(r"</?b>", "", p.replace("<br>", " ")) for p in re.split(r"</?(?:p|h1)>", article))
         assert got[r.page_id] == "\n".join(t for p in pieces if (t := " ".join(unescape(p).split())))
+
+
+def test_articles_and_menus_go_through_the_method_too(spark):
+    menu = "<nav><ul><li>one two three four five six</li></ul></nav>"
+    shared = "a passage that two articles of a host have in common"
+    pages = [(i, "http://a.x/", f"{menu}<article><p>own{i} {shared}</p></article>") for i in range(2)]
+    pages.append((2, "http://b.x/", f"{menu}<article><p>{shared}</p></article>"))  # another host
+    rows = main_text.extracted(spark.createDataFrame(pages, PAGES)).orderBy("page_id").collect()
+    assert [r.text for r in rows] == [f"own0 {shared}", f"own1 {shared}", shared]
+    # the menu with its element, the element of the paragraph behind it, and the passage; not the word of its own
+    assert [r.n_repeated for r in rows] == [7 + 1 + 11, 7 + 1 + 11, 0]
+
+
+def test_keys_and_slots():
+    rng = np.random.default_rng(1)
+    for bits in (27, 32, 40, 64):
+        keys = np.unique(rng.integers(0, (1 << 64) - 1, 1000, np.uint64) >> np.uint64(64 - bits))
+        assert (main_text._unsqueezed(main_text._squeezed(keys)) == keys).all()
+        first, second = main_text._slots(keys << np.uint64(64 - bits))
+        assert (first >> (main_text.SLOT - main_text.RANGE) == second >> (main_text.SLOT - main_text.RANGE)).all()
+        assert max(first.max(), second.max()) < 1 << main_text.SLOT
