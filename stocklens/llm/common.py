@@ -72,6 +72,21 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return found
 
 
+def stored_by(df: DataFrame, name: str, key: str, buckets: int, compression: str = "snappy") -> DataFrame:
+    """As ``stored``, in buckets by ``key``: grouping and joining by it need no shuffle of these rows.
+
+    Only a table of the catalog can have buckets; it is taken out again at once, and its files stay.
+    """
+    spark = df.sparkSession
+    label = f"stocklens_{name}_{uuid.uuid4().hex}"
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    writer = df.write.format("parquet").option("path", f"{shared_folder(spark)}/{label}")
+    writer.option("compression", compression).bucketBy(max(1, min(buckets, most)), key).saveAsTable(label)
+    found = spark.table(label)
+    spark.sql(f"DROP TABLE {label}")
+    return found
+
+
 def dropped(found: DataFrame) -> None:
     """Deletes what ``stored`` wrote; for what nothing reads any more, such as an earlier round."""
     spark = found.sparkSession
