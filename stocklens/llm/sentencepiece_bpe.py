@@ -14,8 +14,8 @@ the piece table, grouped by fragment again, and folded with ``aggregate``.
 
 Only distinct fragments go through the lattice. The most frequent fragments of
 a bounded sample are encoded first and broadcast; all others are encoded once
-for the whole corpus and sent back to the buckets of documents that need them.
-The sample decides where a fragment is looked up, not how it is encoded.
+for the whole corpus and sent back to the sets of documents that need them.
+Texts are written once, in such sets, and not shuffled. The sample decides where a fragment is looked up, not how it is encoded.
 """
 
 from __future__ import annotations
@@ -28,11 +28,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import rows_of, stored, texts_of
+from stocklens.llm.common import rows_of, stored, stored_by, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -41,7 +42,8 @@ LAST = (1 << 31) - 1
 LONG = 120  # characters; longer fragments are merged by a heap
 CUT = 32  # from here on fragments are also cut between characters that no piece has together
 HOT = 1 << 17
-BUCKET = 1 << 22  # bytes of text meant for a bucket
+SET = 1 << 23  # bytes of text of a set of documents
+PART = 1 << 22  # bytes of text whose rare fragments are meant for one task
 
 _FRAGMENTS = re.compile(rf"{SPACE}*(?:[^\W\d]+|\d|[^\w{SPACE}]+)|{SPACE}+")
 _WORDS = re.compile(rf"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -328,6 +330,54 @@ def _lexicon(encoded: DataFrame, pieces: Pieces) -> Lexicon:
     return Lexicon(zip(table["fragment"].to_pylist(), ids, strict=True), pieces)
 
 
+def _in_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with their set, which is named after the row of its first one."""
+    name, size = None, 0
+    for batch in rows_of(batches):
+        sets = []
+        for row, n in zip(batch.column("row").to_pylist(), pc.binary_length(batch.column("data")).to_pylist(), strict=True):
+            if name is None or size >= SET:
+                name, size = row, 0
+            sets.append(name)
+            size += n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(sets, pa.int64()), batch.column("doc_id"), batch.column("data")], names=["set", "doc_id", "data"]
+        )
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fragments and ids by set, compressed."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+
+    def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        table = table.take(np.argsort(table["set"].to_numpy(), kind="stable")).combine_chunks()
+        sets, starts = np.unique(table["set"].to_numpy(), return_index=True)
+        starts = np.append(starts, len(table)).astype(np.int32)
+        fragments, ids = (table[c].combine_chunks() for c in ("fragment", "ids"))
+        joined = pc.binary_join(pa.ListArray.from_arrays(starts, fragments), "").to_pylist()
+        sizes = np.array([pc.utf8_length(fragments), pc.list_value_length(ids)], np.int32)
+        flat = ids.flatten().to_numpy().astype(np.int32)
+        at = np.concatenate([[0], np.cumsum(sizes[1])])[starts]
+        columns = [
+            [squeeze(f.encode()) for f in joined],
+            [squeeze(sizes[:, a:z].tobytes()) for a, z in zip(starts[:-1], starts[1:], strict=True)],
+            [squeeze(flat[a:z].tobytes()) for a, z in zip(at[:-1], at[1:], strict=True)],
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(sets), *(pa.array(c, pa.binary()) for c in columns)], names=["set", "fragments", "sizes", "ids"]
+        )
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size > 200_000:
+            yield flush(held)
+            held, size = [], 0
+    if size:
+        yield flush(held)
+
 
 def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) -> DataFrame:
     """doc_id, n_tokens, ids and round_trip of every whole text.
@@ -347,8 +397,10 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
 
     source = texts_of(docs)
     total = source.agg(F.sum(F.length("data"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET))
-    dealt = source.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "data"), F.lit(buckets)).cast("int"))
+    numbered = source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "data")
+    sets = stored_by(
+        numbered.mapInArrow(_in_sets, "set long, doc_id long, data binary"), "texts", "set", -(-total // SET), "zstd"
+    )
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, lex = model.value, known.value
@@ -356,70 +408,32 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for bucket, found in seen.items():
+            for name, found in seen.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket] * len(found), pa.int32()), pa.array(list(found), pa.string())],
-                    names=["bucket", "fragment"],
+                    [pa.array([name] * len(found), pa.int64()), pa.array(list(found), pa.string())], names=["set", "fragment"]
                 )
 
         for batch in rows_of(batches):
-            for bucket, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = _text(data)
                 more = [f for f in set(fragments(text, p)) if f not in lex and len(f) <= LONG]
-                seen.setdefault(bucket, set()).update(more)
-                held += len(more)
+                own = seen.setdefault(name, set())
+                held -= len(own)
+                own.update(more)
+                held += len(own)
             if held > 150_000:
                 yield from flush()
                 seen, held = {}, 0
         yield from flush()
 
-    # as many partitions as buckets, so that a partition's edges are sorted in memory;
-    # edges carry no buckets, which are many for a frequent fragment, and meet the ids afterwards
-    asked = dealt.select("bucket", "data").mapInArrow(rare, "bucket int, fragment string").repartition(buckets, "fragment")
-    # no bucket is negative, but asking for one lets both uses share a shuffle
-    distinct = asked.groupBy("fragment").agg(F.min("bucket").alias("least")).where("least >= 0").select("fragment")
-    others = asked.join(encoded_fragments(distinct, pieces), "fragment").select("fragment", "ids", "bucket")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Fragments and ids by bucket, compressed."""
-        held: dict[int, tuple[list, list]] = {}
-        size = 0
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-
-        def flush() -> pa.RecordBatch:
-            rows = [
-                (b, squeeze("".join(f).encode()),
-                 squeeze(np.array([[len(x) for x in f], [len(x) for x in ids]], np.int32).tobytes()),
-                 squeeze(np.array([x for i in ids for x in i], np.int32).tobytes()))
-                for b, (f, ids) in held.items()
-            ]
-            kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["bucket", "fragments", "sizes", "ids"]
-            )
-
-        for batch in batches:
-            columns = (batch.column(k).to_pylist() for k in range(3))
-            for fragment, ids, bucket in zip(*columns, strict=True):
-                f, i = held.setdefault(bucket, ([], []))
-                f.append(fragment)
-                i.append(ids)
-                size += 1
-            if size > 200_000:
-                yield flush()
-                held, size = {}, 0
-        if held:
-            yield flush()
-
-    packed = others.mapInArrow(pack, "bucket int, fragments binary, sizes binary, ids binary")
-
-    def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for batch in rows_of(batches):
-            data = pa.array([squeeze(t.as_py()) for t in batch.column(2)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), data], names=["bucket", "doc_id", "data"])
-
-    texts = dealt.select("bucket", "doc_id", "data").mapInArrow(squeezed, "bucket int, doc_id long, data binary")
+    # partitions small enough that a partition's edges are sorted in memory; edges carry
+    # no sets, which are many for a frequent fragment, and meet the ids afterwards
+    parts = max(1, -(-total // PART))
+    asked = sets.select("set", "data").mapInArrow(rare, "set long, fragment string").repartition(parts, "fragment")
+    # no set is negative, but asking for one lets both uses share a shuffle
+    distinct = asked.groupBy("fragment").agg(F.min("set").alias("least")).where("least >= 0").select("fragment")
+    others = asked.join(encoded_fragments(distinct, pieces), "fragment").select("fragment", "ids", "set")
+    packed = others.mapInArrow(_pack, "set long, fragments binary, sizes binary, ids binary")
 
     def assemble(docs: pa.Table, lexicons: pa.Table) -> pa.Table:
         p, lex = model.value, known.value
@@ -434,7 +448,7 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
                 at, at_id = at + n, at_id + n_ids
         values, counts, same = [], [], []
         for data in docs["data"]:
-            text = unpack(data.as_py()).decode(errors="replace")
+            text = _text(data)
             ids = b"".join(map(lex.__getitem__, fragments(text, p)))
             values.append(ids)
             counts.append(len(ids) // 4)
@@ -449,8 +463,8 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
         })
 
     return (
-        texts.groupBy("bucket")
-        .cogroup(packed.groupBy("bucket"))
+        sets.groupBy("set")
+        .cogroup(packed.groupBy("set"))
         .applyInArrow(assemble, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
     )
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from stocklens.llm import sentencepiece_bpe as bpe
@@ -103,3 +106,33 @@ def test_rare_fragments_are_shuffled_once_and_not_written(spark, docs, tmp_path,
     assert len(df.collect()) == 20
     assert written == ["frequent"]
     assert df._jdf.queryExecution().executedPlan().toString().count("ReusedExchange") == 1
+
+
+def test_texts_are_written_once_and_never_shuffled(docs, prose):
+    made = docs(*((i, prose(i)) for i in range(40)), (None, "no id"), (41, None))
+    plan = bpe.encoded(made)._jdf.queryExecution().executedPlan().toString().split("\n")
+    shuffled = [line for at, line in enumerate(plan) if at and "Exchange" in plan[at - 1]]
+    assert shuffled and not any("data" in line for line in shuffled)
+
+
+def test_sets_and_what_is_packed_for_them():
+    rows = pa.RecordBatch.from_pydict({
+        "row": pa.array([7, 8, 9], pa.int64()), "doc_id": pa.array([1, None, 1], pa.int64()),
+        "data": pa.array([b"a" * bpe.SET, b"", b"b"], pa.binary()),
+    })
+    found = list(bpe._in_sets(iter([rows])))
+    assert [b["set"].to_pylist() for b in found] == [[7, 8, 8]]
+    batches = [
+        pa.RecordBatch.from_pydict({
+            "fragment": pa.array(f, pa.string()), "ids": pa.array(i, pa.list_(pa.int32())), "set": pa.array(b, pa.int64())
+        })
+        for f, i, b in ((["é▁", "ab"], [[1, 2], [3]], [5, 2]), (["c"], [[4, 5]], [5]), ([], [], []))
+    ]
+    unpack = zstandard.ZstdDecompressor().decompress
+    rows = [r for batch in bpe._pack(iter(batches)) for r in batch.to_pylist()]
+    assert [r["set"] for r in rows] == [2, 5]
+    assert [unpack(r["fragments"]).decode() for r in rows] == ["ab", "é▁c"]
+    sizes = [np.frombuffer(unpack(r["sizes"]), np.int32).reshape(2, -1).tolist() for r in rows]
+    assert sizes == [[[2], [1]], [[2, 1], [2, 2]]]
+    assert [np.frombuffer(unpack(r["ids"]), np.int32).tolist() for r in rows] == [[3], [1, 2, 4, 5]]
+    assert list(bpe._pack(iter([]))) == []
