@@ -10,7 +10,8 @@ continuation, so a Viterbi fold over the ends of a lattice finds the path.
 The lattice is relational. Texts fall into fragments at places no piece spans
 (before spaces, between letters and other characters, around digits). Distinct
 fragments are exploded into substrings up to the longest piece, joined with
-the piece table, grouped by fragment again, and folded with ``aggregate``.
+the piece table, and folded in Arrow batches, all fragments of a batch and of
+one length at a time.
 
 Only distinct fragments go through the lattice. The most frequent fragments of
 a bounded sample are encoded first and broadcast; all others are encoded once
@@ -30,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.llm.common import rows_of, stored, stored_by, texts_of
@@ -42,6 +43,9 @@ LAST = (1 << 31) - 1
 LONG = 120  # characters; longer fragments are merged by a heap
 CUT = 32  # from here on fragments are also cut between characters that no piece has together
 HOT = 1 << 17
+EDGES = 1 << 19  # held by a fold, and all those of one fragment
+WORDS = 1 << 18  # different words of sets whose rare fragments are looked for
+CELLS = 1 << 21  # numbers of the merges of paths, at a time
 SET = 1 << 23  # bytes of text of a set of documents
 PART = 1 << 22  # bytes of text whose rare fragments are meant for one task
 
@@ -183,92 +187,201 @@ def _ids(symbols: Iterable[str], pieces: Pieces) -> list[int]:
 # ---- the lattice ------------------------------------------------------------------------
 
 
-def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    """piece, id, and key: its own merges as rank x 128 + place. One row per piece of the model."""
-    rows = []
+def _formed(pieces: Pieces) -> Iterator[tuple[str, int, list[int]]]:
+    """Pieces with their ids and their own merges as sorted rank x 128 + place."""
     for piece, number in pieces.ids.items():
         left, done = merges(piece, pieces.ranks)
         if len(left) == 1:  # others are never the result of merging
-            rows.append((piece, number, sorted(r * PLACES + at for r, at in done)))
-    return spark.createDataFrame(rows, "piece string, id int, key array<int>")
-
-
-def _bytes_of(c: Column, pieces: Pieces) -> Column:
-    """The ids of a character that is no piece."""
-    if not pieces.bytes_:
-        return F.array(F.lit(pieces.unknown))
-    table = F.array(*[F.lit(i) for i in pieces.bytes_])
-    hexed = F.hex(F.encode(c, "UTF-8"))
-    at = F.sequence(F.lit(1), F.length(hexed) - 1, F.lit(2))
-    return F.transform(
-        at, lambda i: F.element_at(table, F.conv(F.substring(hexed, i, F.lit(2)), 16, 10).cast("int") + 1)
+            yield piece, number, sorted(r * PLACES + at for r, at in done)
+
+
+def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
+    """piece and id. One row per piece of the model that merging leads to."""
+    return spark.createDataFrame([row[:2] for row in _formed(pieces)], "piece string, id int")
+
+
+def _own_merges(pieces: Pieces) -> np.ndarray:
+    """By id, the merges inside the piece: one less than its characters, then ``LAST``."""
+    table = np.full((max(pieces.ids.values(), default=0) + 1, max(pieces.longest - 1, 1)), LAST, np.int32)
+    for _, number, key in _formed(pieces):
+        table[number, : len(key)] = key
+    return table
+
+
+def _is_before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether a row of ``a`` comes before that of ``b``, by the first number that differs."""
+    at = (a != b).argmax(axis=1)[:, None]
+    return (np.take_along_axis(a, at, 1) < np.take_along_axis(b, at, 1))[:, 0]
+
+
+def _best_paths(n: int, f: np.ndarray, s: np.ndarray, e: np.ndarray, id_: np.ndarray, own: np.ndarray, count: int):
+    """Folds the edges (s, e, id) of ``count`` fragments ``f`` of ``n`` characters, all fragments at a time.
+
+    Extends the best paths to where edges start, by their ends. Gives the pieces of the best paths
+    in order: their fragments, starts and ids.
+    """
+    order = np.argsort(e * PLACES - s, kind="stable")  # by ends, shortest first
+    f, s, e, id_ = f[order], s[order], e[order], id_[order]
+    cuts = np.flatnonzero(np.diff(e * PLACES - s)) + 1
+    keys = [np.full((count, 1), LAST, np.int32)]  # by end, merges of the best paths in order, then LAST
+    starts, ids = np.zeros((n + 1, count), np.int32), np.full((n + 1, count), -1, np.int32)
+    for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(f)], strict=True):
+        start, end, to, pick = int(s[a]), int(e[a]), f[a:z], id_[a:z]
+        if end == start + 1:  # every fragment has it, and nothing merges inside
+            best = np.full((count, max(end - 1, 1)), LAST, np.int32)
+            best[:, : keys[start].shape[1]] = keys[start]
+            keys.append(best)
+            starts[end, to], ids[end, to] = start, pick
+            continue
+        best, before = keys[end], keys[start]
+        first = np.minimum(before[to, 0], own[pick, 0] + start)
+        hope = first <= best[to, 0]  # others lose by their first merge
+        to, pick = to[hope], pick[hope]
+        if not len(to):
+            continue
+        key = np.concatenate([before[to], own[pick, : end - start - 1] + start], axis=1)
+        key.sort(axis=1)
+        width = min(best.shape[1], key.shape[1])
+        full = np.full((len(to), best.shape[1]), LAST, np.int32)
+        full[:, :width] = key[:, :width]
+        won = _is_before(full, best[to])
+        to, pick = to[won], pick[won]
+        best[to] = full[won]
+        starts[end, to], ids[end, to] = start, pick
+    at, left = np.full(count, n), np.arange(count)
+    steps = []
+    while len(left):  # follows the starts of the last pieces from the end
+        begin = starts[at[left], left]
+        steps.append((left, begin, ids[at[left], left]))
+        at[left] = begin
+        left = left[begin > 0]
+    f, s, id_ = (np.concatenate(c) for c in zip(*reversed(steps), strict=True))
+    order = np.argsort(f, kind="stable")
+    return f[order], s[order], id_[order]
+
+
+def _folded(texts: pa.Array, of: np.ndarray, s: np.ndarray, e: np.ndarray, id_: np.ndarray, own: np.ndarray, pieces: Pieces):
+    """fragment and ids, from the edges (s, e, id) of the fragments ``of`` of ``texts``, in order."""
+    lengths = pc.utf8_length(texts).to_numpy()
+    if (np.bincount(of[e == s + 1], minlength=len(texts)) != lengths).any():
+        raise ValueError("the edges of a fragment came apart")
+    by_edge = lengths[of]
+    for n in np.unique(lengths).tolist():
+        mine, edges = np.flatnonzero(lengths == n), np.flatnonzero(by_edge == n)
+        rank = np.searchsorted(mine, of[edges])
+        most = max(1, CELLS // (n * n))  # fragments at a time
+        for low in range(0, len(mine), most):
+            now = mine[low : low + most]
+            first, last = np.searchsorted(rank, [low, low + most])
+            here = edges[first:last]
+            f, begin, ids = _best_paths(n, rank[first:last] - low, s[here], e[here], id_[here], own, len(now))
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(f, minlength=len(now)))]).astype(np.int32)
+            names, found = texts.take(pa.array(now)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+            unknown = np.unique(f[ids < 0])
+            if len(unknown):  # characters that are no pieces
+                lists = []
+                for i in unknown.tolist():
+                    span, text = slice(offsets[i], offsets[i + 1]), names[i].as_py()
+                    path = zip(begin[span].tolist(), ids[span].tolist(), strict=True)
+                    lists.append([j for at, k in path for j in (_ids(text[at], pieces) if k < 0 else (k,))])
+                known = np.setdiff1d(np.arange(len(now)), unknown)
+                names = names.take(pa.array(np.append(known, unknown)))
+                found = pa.concat_arrays([found.take(pa.array(known)), pa.array(lists, found.type)])
+            yield pa.RecordBatch.from_arrays([names, found], names=["fragment", "ids"])
+
+
+def _answered(table: pa.Table, own: np.ndarray, pieces: Pieces) -> pa.Table:
+    """fragment, ids and set of the rows with a fragment, whose edges are among the rows."""
+    is_named, values = pc.is_valid(table["fragment"]).to_numpy(), table["value"].to_numpy()
+    named, edges = table["fragment"].drop_null().combine_chunks(), values[~is_named]
+    s, e, id_ = edges & (PLACES - 1), edges // PLACES & (PLACES - 1), (edges // PLACES**2 - 1).astype(np.int32)
+    after = np.cumsum(is_named)[~is_named] - 1  # the named row before
+    leading, of = np.unique(after, return_inverse=True)
+    found = pa.Table.from_batches(_folded(named.take(pa.array(leading)), of, s, e, id_, own, pieces))
+    at = pc.index_in(named, found["fragment"].combine_chunks())
+    if at.null_count:
+        raise ValueError("a fragment came apart from its edges")
+    ids = found["ids"].combine_chunks().take(at)
+    return pa.table({"fragment": named, "ids": ids, "set": pa.array(values[is_named])})
+
+
+def _answers(batches: Iterator[pa.RecordBatch], own: np.ndarray, pieces: Pieces) -> Iterator[pa.RecordBatch]:
+    """As ``_answered``, some rows at a time; the rows of a fragment lie together."""
+    held, size, bound = [], 0, EDGES
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < bound:
+            continue
+        table = pa.Table.from_batches(held)
+        places = np.flatnonzero(pc.is_valid(table["fragment"]).to_numpy())
+        named = table["fragment"].drop_null()
+        others = np.flatnonzero(pc.not_equal(named, named[-1]).to_numpy())
+        cut = int(places[others[-1] + 1]) if len(others) else 0  # the last fragment may go on in the next batch
+        if cut:
+            yield from _answered(table[:cut], own, pieces).to_batches()
+        held, size = table[cut:].to_batches(), size - cut
+        bound = max(EDGES, 2 * size)
+    if size:
+        yield from _answered(pa.Table.from_batches(held), own, pieces).to_batches()
+
+
+def _lattice(asked: DataFrame, pieces: Pieces) -> DataFrame:
+    """A row (fragment, set) for each of ``asked``, after those that lead their edges as ``value``.
+
+    ``value`` holds start, end and id + 1 of an edge, without a fragment: fewer
+    columns for the many rows that go to the folds. The piece table is broadcast:
+    a model's vocabulary does not grow with the corpus. Neither the explosions
+    nor that join move rows, so the rows of a fragment stay together; the folds
+    check that the edges of its characters are all there.
+    """
+    first = F.lit(-1)
+    span = F.when(F.col("leads"), F.sequence(first, F.length("fragment") - 1)).otherwise(F.array(first))
+    starts = asked.select("fragment", "set", F.explode(span).alias("s"))
+    room = F.least(F.lit(pieces.longest), F.length("fragment") - F.col("s"))
+    sizes = F.sequence(F.lit(1), F.when(F.col("s") < 0, F.lit(1)).otherwise(room))
+    edges = starts.select("fragment", "set", "s", F.explode(sizes).alias("size")).select(
+        "fragment", "set", "s", "size", F.expr("substring(fragment, s + 1, size)").alias("piece")
+    )
+    # a character that is no piece keeps its place without an id
+    table = F.broadcast(piece_table(asked.sparkSession, pieces))
+    joined = edges.join(table, "piece", "left").where("id IS NOT NULL OR size = 1")
+    number = F.coalesce("id", F.lit(-1)).cast("long") + 1
+    edge = (number * PLACES + F.col("s") + F.col("size")) * PLACES + F.col("s")
+    return joined.select(
+        F.when(F.col("s") < 0, F.col("fragment")).alias("fragment"),
+        F.when(F.col("s") < 0, F.col("set")).otherwise(edge).alias("value"),
     )
 
 
 def encoded_fragments(distinct: DataFrame, pieces: Pieces) -> DataFrame:
-    """fragment and ids of distinct fragments.
+    """fragment and ids of distinct fragments, which have at most ``LONG`` characters."""
+    leading = distinct.select("fragment", F.lit(0).cast("long").alias("set"), F.lit(True).alias("leads"))
+    known = distinct.sparkSession.sparkContext.broadcast((_own_merges(pieces), pieces))
 
-    Fragments have at most ``LONG`` characters. ``distinct`` should be dealt by
-    fragment already; then the grouping of edges needs no shuffle. The piece
-    table is broadcast: a model's vocabulary does not grow with the corpus.
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _answers(batches, *known.value):
+            yield batch.select(["fragment", "ids"])
+
+    return _lattice(leading, pieces).mapInArrow(fold, "fragment string, ids array<int>")
+
+
+def packed_by_set(asked: DataFrame, pieces: Pieces) -> DataFrame:
+    """Fragments and ids by set, compressed, of rows with a set and a fragment, dealt by fragment.
+
+    Each fragment is encoded once, with the least of its sets; its other rows
+    take the ids from there.
     """
-    spark = distinct.sparkSession
-    span = F.explode(F.sequence(F.lit(0), F.length("fragment") - 1)).alias("s")
-    starts = distinct.select("fragment", span)
-    size = F.explode(
-        F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("fragment") - F.col("s")))
-    ).alias("size")
-    edges = starts.select("fragment", "s", size).select(
-        "fragment", "s", (F.col("s") + F.col("size")).alias("e"),
-        F.expr("substring(fragment, s + 1, size)").alias("piece"),
-    )
-    table = piece_table(spark, pieces)
-    # a character that is no piece keeps its place without an id
-    joined = edges.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR e = s + 1")
-    edge = F.struct(
-        "e", "s", F.coalesce("id", F.lit(-1)).alias("id"),
-        F.transform(F.coalesce("key", F.expr("CAST(array() AS array<int>)")), lambda k: k + F.col("s")).alias("key"),
-    )
-    lattice = joined.groupBy("fragment").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    start = F.array(F.struct(F.array(F.lit(LAST)).alias("key"), F.lit(0).alias("s"), F.lit(-1).alias("id")))
-
-    def step(best: Column, x: Column) -> Column:
-        """Extends the best path to where the edge starts; edges come by their ends."""
-        before = F.get(best, x["s"])["key"]
-        key = F.when(F.size(x["key"]) == 0, before).otherwise(F.sort_array(F.concat(before, x["key"])))
-
-        def better(c: Column) -> Column:
-            return (
-                F.when(F.size(best) == x["e"], F.concat(best, F.array(c)))
-                .when(c["key"] < F.get(best, x["e"])["key"], F.concat(F.slice(best, 1, x["e"]), F.array(c)))
-                .otherwise(best)
-            )
-
-        here = F.struct(key.alias("key"), x["s"].alias("s"), x["id"].alias("id"))
-        return F.get(F.transform(F.array(here), better), 0)  # one evaluation of the new path
-
-    def back(acc: Column, x: Column) -> Column:
-        """Follows the starts of the last pieces from the end; ``acc.left`` ends are still ahead."""
-        piece = F.struct(x["id"].alias("id"), acc["at"].alias("e"))
-        taken = F.struct(
-            (acc["left"] - 1).alias("left"), x["s"].alias("at"), F.concat(F.array(piece), acc["out"]).alias("out")
-        )
-        passed = F.struct((acc["left"] - 1).alias("left"), acc["at"].alias("at"), acc["out"].alias("out"))
-        return F.when(acc["left"] == acc["at"], taken).otherwise(passed)
-
-    n = F.length("fragment")
-    none = F.expr("CAST(array() AS array<struct<id:int,e:int>>)")
-    best = F.aggregate("edges", start, step)
-    ends = F.struct(n.alias("left"), n.alias("at"), none.alias("out"))
-    path = F.aggregate(F.reverse(F.slice(best, 2, n)), ends, back, lambda acc: acc["out"])
-    lattice = lattice.select("fragment", path.alias("path"))
-    character = lambda x: F.substring(F.col("fragment"), x["e"], F.lit(1))
-    with_bytes = F.flatten(F.transform(
-        "path", lambda x: F.when(x["id"] >= 0, F.array(x["id"])).otherwise(_bytes_of(character(x), pieces))
-    ))
-    unknown = F.exists("path", lambda x: x["id"] < 0)
-    folded = F.when(unknown, with_bytes).otherwise(F.transform("path", lambda x: x["id"]))
-    return lattice.select("fragment", folded.alias("ids"))
+    least = asked.groupBy("fragment").agg(F.min("set").alias("least"))
+    # a merge join leaves nothing to sort
+    rows = asked.join(least, "fragment").sortWithinPartitions("fragment")
+    rows = rows.select("fragment", "set", (F.col("set") == F.col("least")).alias("leads"))
+    known = asked.sparkSession.sparkContext.broadcast((_own_merges(pieces), pieces))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _pack(_answers(batches, *known.value))
+
+    return _lattice(rows, pieces).mapInArrow(fold, "set long, fragments binary, sizes binary, ids binary")
 
 
 # ---- documents --------------------------------------------------------------------------
@@ -404,36 +517,37 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, lex = model.value, known.value
-        seen: dict[int, set[str]] = {}
+        seen: dict[int, tuple[set[str], set[str]]] = {}  # by set: different words, and fragments
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for name, found in seen.items():
+            for name, (words, found) in seen.items():
+                found.update(fragments(" ".join(words), p))
+                own = [f for f in found if f not in lex and len(f) <= LONG]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(found), pa.int64()), pa.array(list(found), pa.string())], names=["set", "fragment"]
+                    [pa.array([name] * len(own), pa.int64()), pa.array(own, pa.string())], names=["set", "fragment"]
                 )
 
         for batch in rows_of(batches):
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = seen.setdefault(name, (set(), set()))
+                held -= sum(map(len, own))
                 text = _text(data)
-                more = [f for f in set(fragments(text, p)) if f not in lex and len(f) <= LONG]
-                own = seen.setdefault(name, set())
-                held -= len(own)
-                own.update(more)
-                held += len(own)
-            if held > 150_000:
+                words = text.replace(SPACE, " ").split(" ")
+                if "" in words:  # a fragment with several spaces, or of nothing else
+                    own[1].update(fragments(text, p))
+                else:
+                    own[0].update(words)
+                held += sum(map(len, own))
+            if held > WORDS:
                 yield from flush()
                 seen, held = {}, 0
         yield from flush()
 
-    # partitions small enough that a partition's edges are sorted in memory; edges carry
-    # no sets, which are many for a frequent fragment, and meet the ids afterwards
+    # partitions small enough that a partition's rows are sorted in memory
     parts = max(1, -(-total // PART))
     asked = sets.select("set", "data").mapInArrow(rare, "set long, fragment string").repartition(parts, "fragment")
-    # no set is negative, but asking for one lets both uses share a shuffle
-    distinct = asked.groupBy("fragment").agg(F.min("set").alias("least")).where("least >= 0").select("fragment")
-    others = asked.join(encoded_fragments(distinct, pieces), "fragment").select("fragment", "ids", "set")
-    packed = others.mapInArrow(_pack, "set long, fragments binary, sizes binary, ids binary")
+    packed = packed_by_set(asked, pieces)
 
     def assemble(docs: pa.Table, lexicons: pa.Table) -> pa.Table:
         p, lex = model.value, known.value

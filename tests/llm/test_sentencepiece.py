@@ -136,3 +136,42 @@ def test_sets_and_what_is_packed_for_them():
     assert sizes == [[[2], [1]], [[2, 1], [2, 2]]]
     assert [np.frombuffer(unpack(r["ids"]), np.int32).tolist() for r in rows] == [[3], [1, 2, 4, 5]]
     assert list(bpe._pack(iter([]))) == []
+
+
+def test_fragments_are_encoded_once_for_all_sets_and_folded_in_batches(spark, pieces):
+    """No fold is interpreted row by row; rows of a fragment may fall into several Arrow batches."""
+    found = sorted({f for t in _texts() for f in bpe.fragments(t, pieces) if len(f) <= bpe.LONG})[:300]
+    rows = [(n % 7 + k, f) for n, f in enumerate(found) for k in range(n % 4 + 1)] + [(2, found[2])] * 3
+    asked = spark.createDataFrame(rows, "set long, fragment string").repartition(2, "fragment")
+    packed = bpe.packed_by_set(asked, pieces)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate(" not in plan and "collect_list" not in plan
+    unpack = zstandard.ZstdDecompressor().decompress
+    answers = []
+    for r in packed.collect():
+        sizes = np.frombuffer(unpack(r["sizes"]), np.int32).reshape(2, -1)
+        joined, ids = unpack(r["fragments"]).decode(), np.frombuffer(unpack(r["ids"]), np.int32).tolist()
+        ends, ids_ends = np.cumsum(sizes[0]).tolist(), np.cumsum(sizes[1]).tolist()
+        for n, m, end, ids_end in zip(*sizes.tolist(), ends, ids_ends, strict=True):
+            answers.append((r["set"], joined[end - n : end], ids[ids_end - m : ids_end]))
+    expected = [(s, f, bpe._ids(bpe.merges(f, pieces.ranks)[0], pieces)) for s, f in rows]
+    assert sorted(answers) == sorted(expected)
+
+
+def test_batches_are_cut_between_fragments_only(pieces, monkeypatch):
+    def edge(s: int, e: int, piece: str) -> tuple:
+        return None, ((pieces.ids[piece] + 1) * bpe.PLACES + e) * bpe.PLACES + s
+
+    own = [edge(0, 1, "a"), edge(0, 2, "an"), edge(1, 2, "n")]
+    rows = [("an", 4), ("an", 1), *own, ("an", 9), ("a", 3), edge(0, 1, "a"), ("a", 5)]
+    schema = pa.schema([("fragment", pa.string()), ("value", pa.int64())])
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True))], schema) for r in rows]
+    monkeypatch.setattr(bpe, "EDGES", 2)
+    table = bpe._own_merges(pieces)
+    found = [tuple(r.values()) for b in bpe._answers(iter(batches), table, pieces) for r in b.to_pylist()]
+    both = [[pieces.ids["an"]], [pieces.ids["a"]]]
+    assert found == [("an", both[0], 4), ("an", both[0], 1), ("an", both[0], 9), ("a", both[1], 3), ("a", both[1], 5)]
+    with pytest.raises(ValueError, match="came apart"):
+        list(bpe._answers(iter(batches[:2] + batches[3:]), table, pieces))
+    with pytest.raises(ValueError, match="came apart"):
+        list(bpe._answers(iter([*batches[:5], batches[6]]), table, pieces))
