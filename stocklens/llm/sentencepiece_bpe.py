@@ -560,19 +560,22 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
             for n, n_ids in zip(sizes[0].tolist(), (4 * sizes[1]).tolist(), strict=True):
                 own[joined[at : at + n]] = ids[at_id : at_id + n_ids]
                 at, at_id = at + n, at_id + n_ids
-        values, counts, same = [], [], []
-        for data in docs["data"]:
-            text = _text(data)
-            ids = b"".join(map(lex.__getitem__, fragments(text, p)))
-            values.append(ids)
-            counts.append(len(ids) // 4)
-            same.append(decode(np.frombuffer(ids, np.int32).tolist(), p) == text)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-        flat = pa.array(np.frombuffer(b"".join(values), np.int32))
+        values = [b"".join(map(lex.__getitem__, fragments(_text(data), p))) for data in docs["data"]]
+        flat = np.frombuffer(b"".join(values), np.int32)
+        counts = np.array([len(ids) // 4 for ids in values], np.int64)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        # all texts of the set are decoded at once; what differs as bytes is compared as text
+        spelled = pa.array(p.texts, pa.large_binary()).take(pa.array(flat))
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(spelled).to_numpy())])[offsets].tolist()
+        joined = memoryview(spelled.buffers()[2] or b"")
+        same = []
+        for data, ids, start, end in zip(docs["data"], values, ends[:-1], ends[1:], strict=True):
+            equal = bytes(joined[start:end]) == b" " + data.as_py()
+            same.append(equal or decode(np.frombuffer(ids, np.int32).tolist(), p) == _text(data))
         return pa.table({
             "doc_id": docs["doc_id"].combine_chunks(),
             "n_tokens": pa.array(counts, pa.int64()),
-            "ids": pa.ListArray.from_arrays(offsets, flat),
+            "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
             "round_trip": pa.array(same, pa.bool_()),
         })
 
