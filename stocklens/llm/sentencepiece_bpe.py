@@ -44,7 +44,7 @@ LONG = 120  # characters; longer fragments are merged by a heap
 CUT = 32  # from here on fragments are also cut between characters that no piece has together
 HOT = 1 << 17
 EDGES = 1 << 19  # held by a fold, and all those of one fragment
-WORDS = 1 << 18  # different words of sets whose rare fragments are looked for
+WORDS = 1 << 19  # different words of sets whose rare fragments are looked for; a set has some 250,000
 CELLS = 1 << 21  # numbers of the merges of paths, at a time
 SET = 1 << 23  # bytes of text of a set of documents
 PART = 1 << 22  # bytes of text whose rare fragments are meant for one task
@@ -530,6 +530,9 @@ def encoded(docs: DataFrame, pieces: Pieces | None = None, bound: int = 8000) ->
 
         for batch in rows_of(batches):
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if name not in seen and held > WORDS // 4:  # as a rule, once for each set
+                    yield from flush()
+                    seen, held = {}, 0
                 own = seen.setdefault(name, (set(), set()))
                 held -= sum(map(len, own))
                 text = _text(data)
